@@ -1,0 +1,404 @@
+"""One query per operator, over the given tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.fixtures import (
+    EVENTS,
+    EVENTS_AS_OF,
+    ORDERS_AS_OF,
+    RULES,
+    SEED_BEFORE,
+    WINDOW,
+    shown,
+    sources,
+    staging,
+    table,
+)
+from dockside.functions.coerce import to_day, to_integer, to_text
+from dockside.functions.dates import compact_day, date_window, utc_day
+from dockside.functions.keys import strict_key, tolerant_key
+from dockside.operators import reports
+from dockside.operators.filters import listed, non_blank, recent_batches, within
+from dockside.operators.joins import attach, fits
+from dockside.operators.latest import latest_per_key
+from dockside.operators.retention import delete_out_of_window, delete_stale
+from dockside.operators.upsert import upsert
+from dockside.plans import breakout as br
+from dockside.plans import po_inbound as inb
+from dockside.plans.datasets import KEY
+from dockside.plans.refresh import coerced, load_batch
+from dockside.rules import MISSING_TYPE
+from dockside.session import scratch_path, tune
+from dockside.sinks.tables import append_batch, create_tables, publish, read_final
+from dockside.sources.inputs import SourceTables, run_sql
+from dockside.sources.naming import plain_names
+from dockside.streaming.incremental import upsert_stream
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def over_sources(build: Callable[[SourceTables], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(sources(tune(spark), sf_dir))
+
+
+def over_staging(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(staging(tune(spark), sf_dir))
+
+
+# --- sources -----------------------------------------------------------------
+
+
+def src_windowed_extract(src: SourceTables) -> DataFrame:
+    return within(src.pohdr, "dateexp", WINDOW)
+
+
+def src_param_binding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "SELECT po, postr, dateexp FROM {headers} WHERE dateexp BETWEEN :start_date AND :end_date"
+    return run_sql(tune(spark), text, WINDOW, headers=sources(spark, sf_dir).pohdr)
+
+
+def src_rename_columns(src: SourceTables) -> DataFrame:
+    raw = src.pohdr.toDF("PO#", "PO#MAN", "POCODE", "POSTR#", "DATEEXP", "DATECANC", "DATESHIP")
+    return plain_names(raw)
+
+
+# --- filters -----------------------------------------------------------------
+
+
+def fil_in_list(src: SourceTables) -> DataFrame:
+    return src.pohdr.where(
+        listed(F.col("postr"), RULES.dc_stores) & listed(F.col("pocode"), RULES.order_codes)
+    ).select("po", "postr", "pocode")
+
+
+def fil_outer_to_inner(src: SourceTables) -> DataFrame:
+    joined = src.pohdr.join(src.potype, "po", "left").where(listed(F.col("type"), RULES.inbound_types))
+    return joined.select("po", F.coalesce("type", F.lit(MISSING_TYPE)).alias("type"))
+
+
+def fil_rolling_window(src: SourceTables) -> DataFrame:
+    return within(src.pohdr, "dateexp", date_window(ORDERS_AS_OF)).select("po", "dateexp")
+
+
+# --- joins -------------------------------------------------------------------
+
+
+def join_star_inner(src: SourceTables) -> DataFrame:
+    orders = inb.tracked_orders(src, WINDOW, RULES)
+    known = inb.items(src.skufile, src.vendmain)
+    lines = attach(attach(src.podtl, orders, "po", fits(orders)), known, "sku", fits(known))
+    return lines.select("po", "type", "sku", "style", "vendname", "oounit", "rcunit")
+
+
+def join_left_latest_receipt(src: SourceTables) -> DataFrame:
+    return src.pohdr.join(inb.latest_receipts(src.purhst, RULES), "po", "left").select("po", "postr", "latest_datercv")
+
+
+def detail_sums(src: SourceTables) -> DataFrame:
+    return src.podtl.groupBy("po", "sku").agg(F.sum("oounit").alias("ooqty"))
+
+
+def join_left_invoice(src: SourceTables) -> DataFrame:
+    joined = detail_sums(src).join(inb.invoiced_units(src.invdtl), ["po", "sku"], "left")
+    return joined.select("po", "sku", "ooqty", F.coalesce("unitinvc_per_sku", F.lit(0)).alias("unitinvc_per_sku"))
+
+
+def join_left_shipments_fanout(src: SourceTables) -> DataFrame:
+    shipped = inb.shipped_units(inb.tracked_notices(src.asnhdr, RULES), src.asndtl)
+    joined = detail_sums(src).join(shipped, ["po", "sku"], "left")
+    return joined.select("po", "sku", "ooqty", "shipnotice_date", F.coalesce("asn_qty", F.lit(0)).alias("shipped_qty"))
+
+
+def children_of(src: SourceTables) -> DataFrame:
+    typed = inb.headers_with_any_type(inb.family_headers(src.family_hdr), src.potype)
+    return inb.child_units(typed, src.podtl, inb.item_copies(src.skufile), RULES)
+
+
+def allocations_of(src: SourceTables) -> DataFrame:
+    family = inb.family_headers(src.family_hdr)
+    return inb.allocated_units(src.wim, src.asndtl, family, inb.item_copies(src.skufile))
+
+
+def join_agg_to_agg(src: SourceTables) -> DataFrame:
+    return inb.breakout_and_allocated(children_of(src), allocations_of(src))
+
+
+def join_left_breakout_alloc(src: SourceTables) -> DataFrame:
+    lines = src.pohdr.select("po", "po_man").join(detail_sums(src), "po")
+    joined = lines.join(join_agg_to_agg(src), ["po_man", "sku"], "left")
+    return joined.select(
+        "po",
+        "po_man",
+        "sku",
+        "ooqty",
+        F.coalesce("breakoutqty", F.lit(0)).alias("breakoutqty"),
+        F.coalesce("allocated", F.lit(0)).alias("allocated"),
+    )
+
+
+def join_semi_exists(src: SourceTables) -> DataFrame:
+    parents = br.parent_orders(src, WINDOW, RULES).select("po_man")
+    children = br.child_headers(src.pohdr, src.potype, RULES)
+    return attach(children, parents, "po_man", fits(parents), "left_semi").select("po", "po_man", "postr", "dateexp")
+
+
+def join_existence_distinct(src: SourceTables) -> DataFrame:
+    headers = inb.tracked_headers(src.pohdr, WINDOW, RULES)
+    return br.with_details(headers, src.podtl).select("po", "po_man", "pocode", "dateexp", "postr").distinct()
+
+
+def join_parent_summary(src: SourceTables) -> DataFrame:
+    return br.parent_summary(br.parent_orders(src, WINDOW, RULES))
+
+
+# --- aggregations ------------------------------------------------------------
+
+
+def agg_sum_wide_key(src: SourceTables) -> DataFrame:
+    orders = inb.tracked_orders(src, WINDOW, RULES)
+    receipts = inb.latest_receipts(src.purhst, RULES)
+    known = inb.items(src.skufile, src.vendmain)
+    small = fits(orders)
+    return inb.order_lines(orders.join(receipts, "po", "left"), src.podtl, known, small, fits(known))
+
+
+def agg_distinct_parents(src: SourceTables) -> DataFrame:
+    return br.parent_orders(src, WINDOW, RULES).distinct()
+
+
+def agg_listagg_ordered(src: SourceTables) -> DataFrame:
+    return br.store_list(br.parent_orders(src, WINDOW, RULES), "po_man", "postr", "parent_stores")
+
+
+def agg_child_qty(src: SourceTables) -> DataFrame:
+    parents = br.parent_orders(src, WINDOW, RULES).select("po_man")
+    children = attach(br.child_headers(src.pohdr, src.potype, RULES), parents, "po_man", fits(parents), "left_semi")
+    known = inb.items(src.child_sku, src.vendmain)
+    return br.child_quantities(children, src.child_dtl, known, fits(children), fits(known))
+
+
+def agg_pivot_store(src: SourceTables) -> DataFrame:
+    children = br.child_headers(src.pohdr, src.potype, RULES)
+    known = inb.items(src.child_sku, src.vendmain)
+    rows = br.child_quantities(children, src.child_dtl, known, False, fits(known))
+    return br.store_pivot(rows, [F.col("po_man"), F.col("sku"), F.col("dateexp")], RULES)
+
+
+# --- scalar functions --------------------------------------------------------
+
+
+def fn_coalesce_case(src: SourceTables) -> DataFrame:
+    joined = src.pohdr.join(src.potype, "po", "left")
+    return joined.select(
+        "po",
+        F.coalesce("type", F.lit(MISSING_TYPE)).alias("type"),
+        F.when(F.col("type") == RULES.child_type, F.lit(1)).otherwise(0).cast("bigint").alias("is_child"),
+    )
+
+
+def fn_string_ops(src: SourceTables) -> DataFrame:
+    return src.pohdr.select(
+        "po",
+        F.col("postr").cast("string").alias("store_text"),
+        F.trim("po_man").alias("po_man_trimmed"),
+        non_blank(F.col("po_man")).cast("bigint").alias("has_po_man"),
+    )
+
+
+def fn_record_key_sql(src: SourceTables) -> DataFrame:
+    joined = src.podtl.join(src.pohdr.select("po", "po_man", "dateexp"), "po")
+    return joined.select(
+        "po",
+        "sku",
+        compact_day(F.col("dateexp")).alias("day"),
+        strict_key(F.col("po"), F.col("sku"), F.col("dateexp")).alias("record_key"),
+        strict_key(F.col("po_man"), F.col("sku"), F.col("dateexp")).alias("manager_key"),
+    )
+
+
+def fn_date_arith(rows: DataFrame) -> DataFrame:
+    loaded = utc_day(F.col("load_timestamp"))
+    return rows.select(
+        "event_id",
+        loaded.alias("load_day"),
+        F.date_sub(loaded, 14).alias("two_weeks_before"),
+        F.date_add(loaded, 60).alias("sixty_days_after"),
+    )
+
+
+def fn_record_key_null_safe(src: SourceTables) -> DataFrame:
+    headers = src.pohdr.select("po", "po_man", F.when(F.col("po") % 29 != 0, F.col("dateexp")).alias("dateexp"))
+    joined = src.podtl.select("po", "sku").join(headers, "po")
+    return joined.select(
+        "po", "sku", tolerant_key(F.col("po_man"), F.col("sku"), F.col("dateexp")).alias("record_key")
+    )
+
+
+# --- type coercion -----------------------------------------------------------
+
+
+def typ_int_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(tune(spark), sf_dir, "lineitem")
+    whole = F.col("l_quantity").cast("bigint").cast("string")
+    kind = F.col("l_orderkey") % 7
+    raw = (
+        F.when(kind == 0, None)
+        .when(kind == 1, "")
+        .when(kind == 2, "abc")
+        .when(kind == 3, "1e3")
+        .when(kind == 4, F.concat(whole, F.lit(".0")))
+        .otherwise(whole)
+    )
+    return lines.select("l_orderkey", "l_linenumber", to_integer(raw, label="quantity").alias("quantity"))
+
+
+def typ_date_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(tune(spark), sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date")
+    kind = F.col("o_orderkey") % 5
+    raw = (
+        F.when(kind == 0, F.date_format(day, "yyyy-MM-dd"))
+        .when(kind == 1, compact_day(day))
+        .when(kind == 2, "2025-13-01")
+        .when(kind == 4, "9999-12-31")
+    )
+    return orders.select("o_orderkey", to_day(raw).alias("order_day"))
+
+
+def typ_string_coerce(src: SourceTables) -> DataFrame:
+    raw = F.when(F.col("po") % 23 == 0, "None").otherwise(F.col("po_man"))
+    return src.pohdr.select("po", to_text(raw).alias("po_man"))
+
+
+# --- table upkeep ------------------------------------------------------------
+
+
+def recent(rows: DataFrame) -> DataFrame:
+    return recent_batches(rows, EVENTS_AS_OF)
+
+
+def newest(rows: DataFrame) -> DataFrame:
+    return latest_per_key(rows, KEY, EVENTS.newest_first)
+
+
+def seed(rows: DataFrame) -> DataFrame:
+    """The final table as it stood before the later batches."""
+    return newest(rows.where(F.col("load_date") < F.lit(SEED_BEFORE)))
+
+
+def mrg_upsert(rows: DataFrame) -> DataFrame:
+    return shown(upsert(seed(rows), newest(recent(rows)), KEY))
+
+
+def del_out_of_window(rows: DataFrame) -> DataFrame:
+    return shown(delete_out_of_window(rows, "business_date", EVENTS_AS_OF))
+
+
+def del_stale(rows: DataFrame) -> DataFrame:
+    kept = delete_out_of_window(rows, "business_date", EVENTS_AS_OF)
+    return shown(delete_stale(newest(recent(rows)), kept))
+
+
+def fresh_tables(spark: SparkSession, label: str) -> str:
+    """An empty pair of event tables in a database of its own."""
+    path = scratch_path(spark, label)
+    database = path.rsplit("/", 1)[-1].replace("-", "_")
+    create_tables(spark, database, EVENTS, path)
+    return database
+
+
+def snk_append_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = fresh_tables(tune(spark), "append")
+    append_batch(spark, database, EVENTS, staging(spark, sf_dir), "all")
+    back = spark.table(f"{database}.{EVENTS.staging_table}")
+    return back.select("record_key", "business_date", "event_id", "value", "load_date")
+
+
+def seeded_tables(spark: SparkSession, label: str, seed_rows: DataFrame) -> str:
+    database = fresh_tables(spark, label)
+    publish(spark, database, EVENTS, seed(seed_rows))
+    return database
+
+
+def load_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Earlier batches are staged; the last day's batch goes through the load."""
+    rows = coerced(staging(tune(spark), sf_dir), EVENTS)
+    database = seeded_tables(spark, "lifecycle", rows)
+    earlier = F.col("load_date") < F.lit(EVENTS_AS_OF)
+    append_batch(spark, database, EVENTS, rows.where(earlier), "earlier")
+    stamp = datetime(EVENTS_AS_OF.year, EVENTS_AS_OF.month, EVENTS_AS_OF.day, tzinfo=timezone.utc)
+    load_batch(spark, database, EVENTS, rows.where(~earlier).drop("load_date"), EVENTS_AS_OF, stamp)
+    return shown(read_final(spark, database, EVENTS))
+
+
+def str_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches land in files out of order and are worked off in micro-batches."""
+    rows = staging(tune(spark), sf_dir)
+    database = seeded_tables(spark, "stream", coerced(rows, EVENTS))
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "progress")
+    rows.repartition(4, "load_timestamp").select(*EVENTS.schema.names).write.parquet(landing)
+    upsert_stream(
+        spark, database, EVENTS, landing, checkpoint, EVENTS_AS_OF, files_per_batch=2
+    ).awaitTermination()
+    return shown(read_final(spark, database, EVENTS))
+
+
+QUERIES: dict[str, Query] = {
+    "src_windowed_extract": over_sources(src_windowed_extract),
+    "src_param_binding": src_param_binding,
+    "src_rename_columns": over_sources(src_rename_columns),
+    "snk_append_staging": snk_append_staging,
+    "fil_in_list": over_sources(fil_in_list),
+    "fil_date_between": over_sources(lambda src: within(src.pohdr, "dateexp", WINDOW).select("po", "dateexp")),
+    "fil_non_blank": over_sources(lambda src: src.pohdr.where(non_blank(F.col("po_man"))).select("po", "po_man")),
+    "fil_outer_to_inner": over_sources(fil_outer_to_inner),
+    "fil_recent_batches": over_staging(lambda rows: shown(recent(rows))),
+    "fil_rolling_window": over_sources(fil_rolling_window),
+    "join_star_inner": over_sources(join_star_inner),
+    "join_left_latest_receipt": over_sources(join_left_latest_receipt),
+    "join_left_invoice": over_sources(join_left_invoice),
+    "join_left_shipments_fanout": over_sources(join_left_shipments_fanout),
+    "join_left_breakout_alloc": over_sources(join_left_breakout_alloc),
+    "join_agg_to_agg": over_sources(join_agg_to_agg),
+    "join_semi_exists": over_sources(join_semi_exists),
+    "join_existence_distinct": over_sources(join_existence_distinct),
+    "join_allocation_chain": over_sources(allocations_of),
+    "join_parent_summary": over_sources(join_parent_summary),
+    "agg_sum_wide_key": over_sources(agg_sum_wide_key),
+    "agg_max_date": over_sources(lambda src: inb.latest_receipts(src.purhst, RULES)),
+    "agg_conditional_sum": over_sources(children_of),
+    "agg_invoice_sum": over_sources(lambda src: inb.invoiced_units(src.invdtl)),
+    "agg_asn_sum": over_sources(
+        lambda src: inb.shipped_units(inb.tracked_notices(src.asnhdr, RULES), src.asndtl)
+    ),
+    "agg_distinct_parents": over_sources(agg_distinct_parents),
+    "agg_listagg_ordered": over_sources(agg_listagg_ordered),
+    "agg_pivot_store": over_sources(agg_pivot_store),
+    "agg_child_qty": over_sources(agg_child_qty),
+    "agg_daily_counts": over_staging(lambda rows: reports.rows_per_day(rows, utc_day(F.col("load_timestamp")))),
+    "win_latest_per_key": over_staging(lambda rows: shown(newest(recent(rows)))),
+    "sort_po_output": over_sources(lambda src: inb.po_inbound_sorted(src, WINDOW, RULES)),
+    "topk_recent_dates": over_staging(lambda rows: reports.newest_days(rows, utc_day(F.col("load_timestamp")))),
+    "fn_coalesce_case": over_sources(fn_coalesce_case),
+    "fn_string_ops": over_sources(fn_string_ops),
+    "fn_record_key_sql": over_sources(fn_record_key_sql),
+    "fn_date_arith": over_staging(fn_date_arith),
+    "fn_record_key_null_safe": over_sources(fn_record_key_null_safe),
+    "typ_int_coerce": typ_int_coerce,
+    "typ_date_coerce": typ_date_coerce,
+    "typ_string_coerce": over_sources(typ_string_coerce),
+    "mrg_upsert": over_staging(mrg_upsert),
+    "del_out_of_window": over_staging(del_out_of_window),
+    "del_stale": over_staging(del_stale),
+    "po_inbound": over_sources(lambda src: inb.po_inbound(src, WINDOW, RULES)),
+    "po_inbound_dedup": over_sources(lambda src: inb.po_inbound_dedup(src, WINDOW, RULES)),
+    "breakout_pivot": over_sources(lambda src: br.breakout(src, WINDOW, RULES)),
+    "load_lifecycle": load_lifecycle,
+    "str_incremental_upsert": str_incremental_upsert,
+}
