@@ -117,12 +117,13 @@ def join_left_shipments_fanout(src: SourceTables) -> DataFrame:
 
 def children_of(src: SourceTables) -> DataFrame:
     typed = inb.headers_with_any_type(inb.family_headers(src.family_hdr), src.potype)
-    return inb.child_units(typed, src.podtl, inb.item_copies(src.skufile), RULES)
+    return inb.known_only(inb.child_units(typed, src.podtl, RULES), inb.item_copies(src.skufile), "ooqty")
 
 
 def allocations_of(src: SourceTables) -> DataFrame:
-    family = inb.family_headers(src.family_hdr)
-    return inb.allocated_units(src.wim, src.asndtl, family, inb.item_copies(src.skufile))
+    repeats = inb.notice_repeats(src.wim, inb.family_headers(src.family_hdr))
+    allocated = inb.allocated_units(src.asndtl, repeats, fits(repeats))
+    return inb.known_only(allocated, inb.item_copies(src.skufile), "qty")
 
 
 def join_agg_to_agg(src: SourceTables) -> DataFrame:

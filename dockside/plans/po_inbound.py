@@ -1,14 +1,18 @@
 """Purchase-order inbound view: one row per order, item and shipment notice date.
 
-The tracked orders of a date window are few next to the fact tables, so each
-fact table is first cut down to them where the key set is small enough to
-broadcast, then summed to its join grain, then joined.  Sums come before joins
-everywhere: a key that holds much of a fact table is combined in the map tasks.
+The tracked orders of a date window are few next to the fact tables.  Where
+their keys are small enough to broadcast, each fact table is cut down to them
+as it is read.  Where they are not, the orders are written once and the fact
+tables that serve two branches are shuffled once, summed, written and reused.
+Sums come before joins where they can: a key that holds much of a fact table is
+combined in the map tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockside.functions.dates import DateWindow
@@ -18,6 +22,7 @@ from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, attach, fits, n
 from dockside.operators.latest import latest_per_key
 from dockside.operators.reports import in_order
 from dockside.rules import MISSING_TYPE, OrderRules
+from dockside.session import written
 from dockside.sources.inputs import SourceTables
 
 INBOUND_ORDER = ("shipnotice_date", "latest_datercv", "rcvdqty", "ooqty")
@@ -85,20 +90,21 @@ def order_lines(
 
     The ship date is part of the grain although the view does not show it.
     """
-    header = ("postr", "datecanc", "po", "type", "po_man", "dateexp", "pocode", "dateship")
-    sums = (F.max("latest_datercv").alias("latest_datercv"), F.sum("ooqty").alias("ooqty"), F.sum("rcvdqty").alias("rcvdqty"))
+    header = [c for c in orders.columns if c != "latest_datercv"]
+    sums = (
+        F.max("latest_datercv").alias("latest_datercv"),
+        F.sum("ooqty").alias("ooqty"),
+        F.sum("rcvdqty").alias("rcvdqty"),
+    )
     per_order = (
         attach(details, orders, "po", small_orders)
-        .select(*header, "sku", "latest_datercv", F.col("oounit").alias("ooqty"), F.col("rcunit").alias("rcvdqty"))
+        .withColumnsRenamed({"oounit": "ooqty", "rcunit": "rcvdqty"})
         .groupBy(*header, "sku")
         .agg(*sums)
     )
     # The second grouping reuses the shuffle of the first: its key contains it.
-    return (
-        attach(per_order, known_items, "sku", small_items)
-        .groupBy(*header, "sku", "style", "skudesc1", "ss", "vendname")
-        .agg(*sums)
-    )
+    item = [c for c in known_items.columns if c != "sku"]
+    return attach(per_order, known_items, "sku", small_items).groupBy(*header, "sku", *item).agg(*sums)
 
 
 def family_headers(headers: DataFrame) -> DataFrame:
@@ -107,64 +113,53 @@ def family_headers(headers: DataFrame) -> DataFrame:
 
 
 def item_copies(skufile: DataFrame) -> DataFrame:
-    """Known items, and how often each is listed."""
+    """Known items, and how often each is listed (once, in a clean item file)."""
     return skufile.groupBy("sku").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def known_only(sums: DataFrame, copies: DataFrame, quantity: str, small: bool) -> DataFrame:
+def known_only(sums: DataFrame, copies: DataFrame, *quantities: str) -> DataFrame:
     """Sums of known items.
 
-    Joining details to items and then summing gives the same, but would move
+    Joining details to items before summing gives the same, but would move
     every detail row by item.
     """
-    joined = attach(sums, copies, "sku", small)
-    return joined.select("po_man", "sku", (F.col(quantity) * F.col("copies")).alias(quantity))
+    scaled = {q: F.col(q) * F.col("copies") for q in quantities}
+    return attach(sums, copies, "sku", fits(copies)).withColumns(scaled).drop("copies")
 
 
 def child_units(
-    typed_family: DataFrame,
-    details: DataFrame,
-    copies: DataFrame,
-    rules: OrderRules,
-    small_family: bool = False,
-    small_copies: bool = False,
+    typed_family: DataFrame, details: DataFrame, rules: OrderRules, small_family: bool = False
 ) -> DataFrame:
     """Units on child orders per managing order and item; other types count 0."""
     is_child = F.col("type") == rules.child_type
-    sums = (
+    return (
         attach(details, typed_family, "po", small_family)
         .groupBy("po_man", "sku")
         .agg(F.sum(F.when(is_child, F.col("oounit")).otherwise(0)).alias("ooqty"))
     )
-    return known_only(sums, copies, "ooqty", small_copies)
 
 
-def allocated_units(
-    history: DataFrame,
-    notice_details: DataFrame,
-    family: DataFrame,
-    copies: DataFrame,
-    budget: JoinBudget = DEFAULT_BUDGET,
-    small_family: bool = False,
-    small_copies: bool = False,
-) -> DataFrame:
+def notice_repeats(history: DataFrame, family: DataFrame, small_family: bool = False) -> DataFrame:
+    """How often the warehouse history ties a notice to a managing order."""
+    return (
+        attach(history, family, "po", small_family)
+        .groupBy(F.col("genasn").alias("asn"), "po_man")
+        .agg(F.count(F.lit(1)).alias("repeats"))
+    )
+
+
+def allocated_units(notice_details: DataFrame, repeats: DataFrame, small_repeats: bool = False) -> DataFrame:
     """Notice units reached through the warehouse history, per managing order and item.
 
     History meets notice details by notice alone, so every history row of a
     notice counts its units again.  The repeats are counted first and
-    multiplied in, so they are never spelled out as rows.
+    multiplied in; they are never spelled out as rows.
     """
-    repeats = (
-        attach(history, family, "po", small_family)
-        .groupBy(F.col("genasn").alias("asn"), "po_man")
-        .agg(F.count(F.lit(1)).alias("repeats"))
-    )
-    sums = (
-        attach(notice_details, repeats, "asn", fits(repeats, budget))
+    return (
+        attach(notice_details, repeats, "asn", small_repeats)
         .groupBy("po_man", "sku")
         .agg(F.sum(F.col("qty") * F.col("repeats")).alias("qty"))
     )
-    return known_only(sums, copies, "qty", small_copies)
 
 
 def breakout_and_allocated(children: DataFrame, allocated: DataFrame) -> DataFrame:
@@ -180,6 +175,17 @@ def breakout_and_allocated(children: DataFrame, allocated: DataFrame) -> DataFra
     )
 
 
+def used_sums(facts: DataFrame, users: list[DataFrame], on: str, label: str) -> DataFrame:
+    """Facts that any user joins by ``on``, summed per ``on`` and item, for all users at once."""
+    keys = reduce(DataFrame.union, [user.select(on) for user in users]).distinct()
+    sums = [F.sum(c).alias(c) for c in facts.columns if c not in (on, "sku")]
+    return written(facts.join(keys, on, "left_semi").groupBy(on, "sku").agg(*sums), label)
+
+
+def or_zero(quantity: str | Column) -> Column:
+    return F.coalesce(quantity, F.lit(0))
+
+
 def po_inbound(
     src: SourceTables,
     window: DateWindow,
@@ -187,37 +193,48 @@ def po_inbound(
     budget: JoinBudget = DEFAULT_BUDGET,
 ) -> DataFrame:
     """The inbound view; call ``in_order`` on it for a sorted listing."""
+    # Order headers: those tracked, and those managed together with them.
     orders = tracked_orders(src, window, rules)
     small_orders = fits(orders, budget)
+    if not small_orders:
+        orders = written(orders, "orders")
     order_keys = orders.select("po")
+    managers = orders.where(non_blank(F.col("po_man"))).select("po_man").distinct()
+    family = family_headers(src.family_hdr).join(managers, "po_man", "left_semi")
+    small_family = fits(family, budget)
+    if not small_family:
+        family = written(family, "family")
+    family_types = narrow(src.potype, family.select("po"), "po", small_family)
+    typed_family = headers_with_any_type(family, family_types)
+
+    # Notices: those of tracked orders, and those the warehouse ties to a family.
+    notices = narrow(tracked_notices(src.asnhdr, rules), order_keys, "po", small_orders)
+    small_notices = fits(notices, budget)
+    repeats = notice_repeats(src.wim, family, small_family)
+    small_repeats = fits(repeats, budget)
+
+    details, notice_details = src.podtl, src.asndtl
+    if not (small_orders and small_family):
+        details = used_sums(details, [orders, family], "po", "details")
+    if not (small_notices and small_repeats):
+        notice_details = used_sums(notice_details, [notices, repeats], "asn", "notices")
 
     receipts = latest_receipts(narrow(src.purhst, order_keys, "po", small_orders), rules)
-    known_items = items(src.skufile, src.vendmain)
+    known_items = items(src.skufile, src.vendmain).join(item_copies(src.skufile), "sku")
     lines = order_lines(
-        orders.join(receipts, "po", "left"), src.podtl, known_items, small_orders, fits(known_items, budget)
+        orders.join(receipts, "po", "left"), details, known_items, small_orders, fits(known_items, budget)
     )
-
     invoices = invoiced_units(narrow(src.invdtl, order_keys, "po", small_orders))
-
-    notices = narrow(tracked_notices(src.asnhdr, rules), order_keys, "po", small_orders)
-    shipments = shipped_units(notices, src.asndtl, fits(notices, budget))
-
-    managers = orders.where(non_blank(F.col("po_man"))).select("po_man")
-    family = narrow(family_headers(src.family_hdr), managers, "po_man", small_orders)
-    small_family = fits(family, budget)
-    family_types = narrow(src.potype, family.select("po"), "po", small_family)
-    copies = item_copies(src.skufile)
-    small_copies = fits(copies, budget)
-    typed_family = headers_with_any_type(family, family_types)
+    shipments = shipped_units(notices, notice_details, small_notices).withColumn("shipped_sku", F.col("sku"))
+    # Lines hold known items only, so the breakouts need no look at the item file
+    # beyond how often an item is listed.
     breakouts = breakout_and_allocated(
-        child_units(typed_family, src.podtl, copies, rules, small_family, small_copies),
-        allocated_units(src.wim, src.asndtl, family, copies, budget, small_family, small_copies),
+        child_units(typed_family, details, rules, small_family),
+        allocated_units(notice_details, repeats, small_repeats),
     )
-
-    shipped = shipments.withColumn("shipped_sku", F.col("sku"))
     return (
         lines.join(invoices, ["po", "sku"], "left")
-        .join(shipped, ["po", "sku"], "left")
+        .join(shipments, ["po", "sku"], "left")
         .join(breakouts, ["po_man", "sku"], "left")
         .select(
             F.col("postr").alias("store"),
@@ -234,11 +251,11 @@ def po_inbound(
             F.col("datecanc").alias("cancel_date"),
             "ooqty",
             "rcvdqty",
-            F.coalesce("breakoutqty", F.lit(0)).alias("breakoutqty"),
-            F.coalesce("allocated", F.lit(0)).alias("allocated"),
-            F.coalesce("unitinvc_per_sku", F.lit(0)).alias("unitinvc_per_sku"),
+            or_zero(F.col("breakoutqty") * F.col("copies")).alias("breakoutqty"),
+            or_zero(F.col("allocated") * F.col("copies")).alias("allocated"),
+            or_zero("unitinvc_per_sku").alias("unitinvc_per_sku"),
             "shipped_sku",
-            F.coalesce("asn_qty", F.lit(0)).alias("shipped_qty"),
+            or_zero("asn_qty").alias("shipped_qty"),
             "latest_datercv",
             "shipnotice_date",
             strict_key(F.col("po"), F.col("sku"), F.col("dateexp")).alias("record_key"),

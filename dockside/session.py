@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings.  Joins too big to broadcast are shuffled on their key;
 # a hot key is then split by AQE, also where an aggregate sits on top of the
@@ -32,6 +32,7 @@ def local_session(name: str = "dockside", cores: str = "*", shuffle_partitions:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
@@ -50,3 +51,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="dockside-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` as a table in the scratch folder: computed once, read many times.
+
+    Reads of it survive the loss of any executor, and its files tell Spark its
+    true size.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, label)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

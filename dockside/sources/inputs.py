@@ -24,13 +24,16 @@ TABLE_COLUMNS = {
     "wim": ("genasn", "po"),
 }
 
+# Second names, and the table each stands for.
+SECOND_NAMES = {"family_hdr": "pohdr", "child_dtl": "podtl", "child_sku": "skufile"}
+
 
 @dataclass(frozen=True)
 class SourceTables:
     """Inputs of the plans, one DataFrame per logical table.
 
     Some tables are read under a second name by part of the queries; those
-    default to the first.
+    default to the first.  Columns the plans do not know are left out.
     """
 
     pohdr: DataFrame  # order headers
@@ -48,9 +51,11 @@ class SourceTables:
     child_sku: DataFrame | None = None
 
     def __post_init__(self):
-        for alias, name in (("family_hdr", "pohdr"), ("child_dtl", "podtl"), ("child_sku", "skufile")):
-            if getattr(self, alias) is None:
-                object.__setattr__(self, alias, getattr(self, name))
+        for name in (*TABLE_COLUMNS, *SECOND_NAMES):
+            first = SECOND_NAMES.get(name, name)
+            rows = getattr(self, name)
+            rows = getattr(self, first) if rows is None else rows
+            object.__setattr__(self, name, rows.select(*TABLE_COLUMNS[first]))
 
 
 @dataclass(frozen=True)
@@ -102,17 +107,11 @@ def open_table(spark: SparkSession, ref: TableRef) -> DataFrame:
 
 
 def open_sources(spark: SparkSession, refs: Mapping[str, TableRef]) -> SourceTables:
-    """Open every referenced table and keep the columns the plans know."""
-    known = {f.name for f in fields(SourceTables)}
-    unknown = set(refs) - known
+    """Open every referenced table."""
+    unknown = set(refs) - {f.name for f in fields(SourceTables)}
     if unknown:
         raise ValueError(f"unknown source tables: {sorted(unknown)}")
-    second_names = {"family_hdr": "pohdr", "child_dtl": "podtl", "child_sku": "skufile"}
-    opened = {}
-    for name, ref in refs.items():
-        columns = TABLE_COLUMNS[second_names.get(name, name)]
-        opened[name] = open_table(spark, ref).select(*columns)
-    return SourceTables(**opened)
+    return SourceTables(**{name: open_table(spark, ref) for name, ref in refs.items()})
 
 
 def run_sql(spark: SparkSession, text: str, window: DateWindow | None = None, **frames: DataFrame) -> DataFrame:
