@@ -151,7 +151,7 @@ def join_semi_exists(src: SourceTables) -> DataFrame:
 
 def join_existence_distinct(src: SourceTables) -> DataFrame:
     headers = inb.tracked_headers(src.pohdr, WINDOW, RULES)
-    return br.with_details(headers, src.podtl).select("po", "po_man", "pocode", "dateexp", "postr").distinct()
+    return br.with_details(headers, src.podtl, fits(headers)).select("po", "po_man", "pocode", "dateexp", "postr").distinct()
 
 
 def join_parent_summary(src: SourceTables) -> DataFrame:

@@ -1,7 +1,7 @@
 """Joins whose physical form depends on a measured size.
 
-Every side offered for broadcast is measured first, in one aggregate over just
-its own columns.  Below the budget it is broadcast and the big side never
+Every side offered for broadcast is measured first, in one aggregate over its
+own columns or while it is written.  Below the budget it is broadcast and the big side never
 shuffles.  Above it the join is an ordinary shuffle join, where AQE splits a
 hot key at run time (see ``session.RUNTIME_SETTINGS``).
 """
@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dockside.session import written
+
 
 @dataclass(frozen=True)
 class JoinBudget:
@@ -28,17 +30,30 @@ DEFAULT_BUDGET = JoinBudget()
 ROW_OVERHEAD = 40
 
 
-def measured_bytes(rows: DataFrame) -> int:
-    """In-memory size of ``rows``: one word per column plus the text lengths."""
+def size_of(rows: DataFrame) -> Column:
+    """Aggregate: in-memory size, one word per column plus the text lengths."""
     texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
-    text_bytes = [F.sum(F.octet_length(F.col(name))) for name in texts]
-    total = sum((F.coalesce(t, F.lit(0)) for t in text_bytes), F.lit(0).cast("bigint"))
+    text_bytes = [F.coalesce(F.sum(F.octet_length(F.col(name))), F.lit(0)) for name in texts]
     per_row = 8 * len(rows.columns) + ROW_OVERHEAD
-    return rows.agg((F.count(F.lit(1)) * per_row + total).alias("bytes")).first()["bytes"]
+    return sum(text_bytes, F.count(F.lit(1)) * per_row).alias("bytes")
+
+
+def measured_bytes(rows: DataFrame) -> int:
+    return rows.agg(size_of(rows)).first()["bytes"]
 
 
 def fits(side: DataFrame, budget: JoinBudget = DEFAULT_BUDGET) -> bool:
-    return budget.broadcast_bytes > 0 and measured_bytes(side) <= budget.broadcast_bytes
+    return measured_bytes(side) <= budget.broadcast_bytes
+
+
+def once(rows: DataFrame, label: str, budget: JoinBudget = DEFAULT_BUDGET) -> tuple[DataFrame, bool]:
+    """``rows`` as a scratch table, and whether it fits; measured as it is written.
+
+    For a side that several joins use: it is computed one time in all.
+    """
+    seen = Observation()
+    table = written(rows.observe(seen, size_of(rows)), label)
+    return table, seen.get["bytes"] <= budget.broadcast_bytes
 
 
 def attach(rows: DataFrame, side: DataFrame, on: str | list[str], small: bool, how: str = "inner") -> DataFrame:

@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 
 from dockside.functions.dates import DateWindow
 from dockside.operators.filters import non_blank
-from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, attach, fits, narrow
+from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, attach, fits, narrow, once
 from dockside.operators.reports import in_order
 from dockside.plans.po_inbound import items, tracked_headers, typed_headers
 from dockside.rules import OrderRules
+from dockside.session import side_by_side
 from dockside.sources.inputs import SourceTables
 
 PARENT_COLUMNS = ("po", "po_man", "pocode", "type", "dateexp", "postr")
 
 
-def with_details(orders: DataFrame, details: DataFrame, budget: JoinBudget = DEFAULT_BUDGET) -> DataFrame:
+def with_details(orders: DataFrame, details: DataFrame, small_orders: bool = False) -> DataFrame:
     """Orders that have at least one detail row."""
-    present = narrow(details.select("po"), orders.select("po"), "po", fits(orders.select("po"), budget))
+    present = narrow(details.select("po"), orders.select("po"), "po", small_orders)
     return orders.join(present.distinct(), "po", "left_semi")
 
 
@@ -28,7 +29,8 @@ def parent_orders(
     """Tracked orders of the parent type that name a managing order."""
     headers = tracked_headers(src.pohdr, window, rules).where(non_blank(F.col("po_man")))
     typed = typed_headers(headers, src.potype, (rules.parent_type,)).select(*PARENT_COLUMNS)
-    return with_details(typed, src.podtl, budget)
+    orders, small = once(typed, "parents", budget)
+    return with_details(orders, src.podtl, small)
 
 
 def store_list(stores: DataFrame, group: str, store: str, name: str) -> DataFrame:
@@ -115,13 +117,15 @@ def breakout(
     it at header grain both limits the children to tracked parents and adds the
     parent columns, before any detail row is touched.
     """
-    summary = parent_summary(parent_orders(src, window, rules, budget))
-    children = attach(child_headers(src.pohdr, src.potype, rules), summary, "po_man", fits(summary, budget))
     known_items = items(src.child_sku, src.vendmain)
-    carried = ("parent_exp_date", "parent_stores")
-    quantities = child_quantities(
-        children, src.child_dtl, known_items, fits(children, budget), fits(known_items, budget), carried
+    (summary, small_summary), small_items = side_by_side(
+        lambda: once(parent_summary(parent_orders(src, window, rules, budget)), "summary", budget),
+        lambda: fits(known_items, budget),
     )
+    tied = attach(child_headers(src.pohdr, src.potype, rules), summary, "po_man", small_summary)
+    children, small_children = once(tied, "children", budget)
+    carried = ("parent_exp_date", "parent_stores")
+    quantities = child_quantities(children, src.child_dtl, known_items, small_children, small_items, carried)
     grain = [
         F.col("po_man"),
         F.col("ss").alias("ss_num"),

@@ -2,10 +2,12 @@
 
 The tracked orders of a date window are few next to the fact tables.  Where
 their keys are small enough to broadcast, each fact table is cut down to them
-as it is read.  Where they are not, the orders are written once and the fact
-tables that serve two branches are shuffled once, summed, written and reused.
-Sums come before joins where they can: a key that holds much of a fact table is
-combined in the map tasks.
+as it is read.  Where they are not, a fact table that serves two branches is
+shuffled once, summed, written and reused.  Sums come before joins where they
+can: a key that holds much of a fact table is combined in the map tasks.
+
+``po_inbound`` runs jobs of its own before it returns: header-sized key sets are
+written to scratch tables and measured on the way.
 """
 
 from __future__ import annotations
@@ -18,11 +20,11 @@ from pyspark.sql import functions as F
 from dockside.functions.dates import DateWindow
 from dockside.functions.keys import strict_key
 from dockside.operators.filters import listed, non_blank, within
-from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, attach, fits, narrow
+from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, attach, fits, narrow, once
 from dockside.operators.latest import latest_per_key
 from dockside.operators.reports import in_order
 from dockside.rules import MISSING_TYPE, OrderRules
-from dockside.session import written
+from dockside.session import side_by_side, written
 from dockside.sources.inputs import SourceTables
 
 INBOUND_ORDER = ("shipnotice_date", "latest_datercv", "rcvdqty", "ooqty")
@@ -193,41 +195,36 @@ def po_inbound(
     budget: JoinBudget = DEFAULT_BUDGET,
 ) -> DataFrame:
     """The inbound view; call ``in_order`` on it for a sorted listing."""
-    # Order headers: those tracked, and those managed together with them.
-    orders = tracked_orders(src, window, rules)
-    small_orders = fits(orders, budget)
-    if not small_orders:
-        orders = written(orders, "orders")
+    orders, small_orders = once(tracked_orders(src, window, rules), "orders", budget)
     order_keys = orders.select("po")
-    managers = orders.where(non_blank(F.col("po_man"))).select("po_man").distinct()
-    family = family_headers(src.family_hdr).join(managers, "po_man", "left_semi")
-    small_family = fits(family, budget)
-    if not small_family:
-        family = written(family, "family")
-    family_types = narrow(src.potype, family.select("po"), "po", small_family)
-    typed_family = headers_with_any_type(family, family_types)
 
-    # Notices: those of tracked orders, and those the warehouse ties to a family.
-    notices = narrow(tracked_notices(src.asnhdr, rules), order_keys, "po", small_orders)
-    small_notices = fits(notices, budget)
-    repeats = notice_repeats(src.wim, family, small_family)
-    small_repeats = fits(repeats, budget)
+    # Headers managed together with tracked orders, and notices of tracked orders.
+    managers = orders.where(non_blank(F.col("po_man"))).select("po_man").distinct()
+    managed = attach(family_headers(src.family_hdr), managers, "po_man", small_orders, "left_semi")
+    noticed = attach(tracked_notices(src.asnhdr, rules), order_keys.distinct(), "po", small_orders, "left_semi")
+    known_items = items(src.skufile, src.vendmain).join(item_copies(src.skufile), "sku")
+    (family, small_family), (notices, small_notices), small_items = side_by_side(
+        lambda: once(managed, "family", budget),
+        lambda: once(noticed, "notices", budget),
+        lambda: fits(known_items, budget),
+    )
+    # Notices that the warehouse ties to a family.
+    repeats, small_repeats = once(notice_repeats(src.wim, family, small_family), "repeats", budget)
 
     details, notice_details = src.podtl, src.asndtl
     if not (small_orders and small_family):
         details = used_sums(details, [orders, family], "po", "details")
     if not (small_notices and small_repeats):
-        notice_details = used_sums(notice_details, [notices, repeats], "asn", "notices")
+        notice_details = used_sums(notice_details, [notices, repeats], "asn", "notice_details")
 
     receipts = latest_receipts(narrow(src.purhst, order_keys, "po", small_orders), rules)
-    known_items = items(src.skufile, src.vendmain).join(item_copies(src.skufile), "sku")
-    lines = order_lines(
-        orders.join(receipts, "po", "left"), details, known_items, small_orders, fits(known_items, budget)
-    )
+    lines = order_lines(orders.join(receipts, "po", "left"), details, known_items, small_orders, small_items)
     invoices = invoiced_units(narrow(src.invdtl, order_keys, "po", small_orders))
     shipments = shipped_units(notices, notice_details, small_notices).withColumn("shipped_sku", F.col("sku"))
     # Lines hold known items only, so the breakouts need no look at the item file
     # beyond how often an item is listed.
+    family_types = narrow(src.potype, family.select("po"), "po", small_family)
+    typed_family = headers_with_any_type(family, family_types)
     breakouts = breakout_and_allocated(
         child_units(typed_family, details, rules, small_family),
         allocated_units(notice_details, repeats, small_repeats),

@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from dockside.functions.dates import as_day, date_window
 from dockside.plans.datasets import DatasetSpec, default_datasets, extract
 from dockside.plans.refresh import load_batch
-from dockside.session import tune
+from dockside.session import scratch_tables, tune
 from dockside.sinks.tables import create_tables
 from dockside.sources.inputs import SourceTables
 
@@ -70,8 +70,9 @@ def run(
     for name in chosen:
         spec = specs[name]
         try:
-            rows = spec.sample(spark, day) if samples else extract(spec, src, window)
-            loaded = load_batch(spark, database, spec, rows, day, loaded_at, use_merge)
+            with scratch_tables(spark):
+                rows = spec.sample(spark, day) if samples else extract(spec, src, window)
+                loaded = load_batch(spark, database, spec, rows, day, loaded_at, use_merge)
             if loaded:
                 outcome = {"status": "success", "rows_fetched": loaded, "rows_loaded": loaded}
             else:

@@ -4,6 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,13 +58,45 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+# Scratch tables of the surrounding ``scratch_tables`` block, if there is one.
+_OPEN_SCRATCH: ContextVar[list[str] | None] = ContextVar("open_scratch", default=None)
+
+SCRATCH_DATABASE = "dockside_scratch"
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """Drop at the end what ``written`` makes inside the block."""
+    made: list[str] = []
+    token = _OPEN_SCRATCH.set(made)
+    try:
+        yield
+    finally:
+        _OPEN_SCRATCH.reset(token)
+        for name in made:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def written(rows: DataFrame, label: str) -> DataFrame:
-    """``rows`` as a table in the scratch folder: computed once, read many times.
+    """``rows`` as a scratch table: computed once, read many times.
 
     Reads of it survive the loss of any executor, and its files tell Spark its
-    true size.
+    true size.  Outside a ``scratch_tables`` block the table stays, since the
+    result built on it is still to be read.
     """
     spark = rows.sparkSession
-    path = scratch_path(spark, label)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    if not spark.catalog.databaseExists(SCRATCH_DATABASE):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DATABASE} LOCATION '{scratch_path(spark, 'dockside')}'")
+    name = f"{SCRATCH_DATABASE}.{label}_{uuid.uuid4().hex}"
+    made = _OPEN_SCRATCH.get()
+    if made is not None:
+        made.append(name)
+    rows.write.format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+def side_by_side(*jobs: Callable[[], Any]) -> list[Any]:
+    """Results of jobs that do not wait for each other, submitted together."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(copy_context().run, job) for job in jobs]
+        return [job.result() for job in running]
