@@ -116,8 +116,8 @@ def join_left_shipments_fanout(src: SourceTables) -> DataFrame:
 
 
 def children_of(src: SourceTables) -> DataFrame:
-    typed = inb.headers_with_any_type(inb.family_headers(src.family_hdr), src.potype)
-    return inb.known_only(inb.child_units(typed, src.podtl, RULES), inb.item_copies(src.skufile), "ooqty")
+    family = inb.with_child_types(inb.family_headers(src.family_hdr), src.potype, RULES)
+    return inb.known_only(inb.child_units(family, src.podtl), inb.item_copies(src.skufile), "ooqty")
 
 
 def allocations_of(src: SourceTables) -> DataFrame:

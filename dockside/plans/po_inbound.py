@@ -39,8 +39,10 @@ def typed_headers(headers: DataFrame, types: DataFrame, wanted: tuple) -> DataFr
     return headers.join(limited, "po").withColumn("type", F.coalesce("type", F.lit(MISSING_TYPE)))
 
 
-def headers_with_any_type(headers: DataFrame, types: DataFrame) -> DataFrame:
-    return headers.join(types, "po", "left")
+def with_child_types(headers: DataFrame, types: DataFrame, rules: OrderRules) -> DataFrame:
+    """Headers and how often each is typed as a child order; one row per header."""
+    counted = types.groupBy("po").agg(F.count_if(F.col("type") == rules.child_type).alias("child_types"))
+    return headers.join(counted, "po", "left")
 
 
 def tracked_headers(headers: DataFrame, window: DateWindow, rules: OrderRules) -> DataFrame:
@@ -129,16 +131,10 @@ def known_only(sums: DataFrame, copies: DataFrame, *quantities: str) -> DataFram
     return attach(sums, copies, "sku", fits(copies)).withColumns(scaled).drop("copies")
 
 
-def child_units(
-    typed_family: DataFrame, details: DataFrame, rules: OrderRules, small_family: bool = False
-) -> DataFrame:
+def child_units(family: DataFrame, details: DataFrame, small_family: bool = False) -> DataFrame:
     """Units on child orders per managing order and item; other types count 0."""
-    is_child = F.col("type") == rules.child_type
-    return (
-        attach(details, typed_family, "po", small_family)
-        .groupBy("po_man", "sku")
-        .agg(F.sum(F.when(is_child, F.col("oounit")).otherwise(0)).alias("ooqty"))
-    )
+    units = F.when(F.col("child_types") > 0, F.col("oounit") * F.col("child_types")).otherwise(0)
+    return attach(details, family, "po", small_family).groupBy("po_man", "sku").agg(F.sum(units).alias("ooqty"))
 
 
 def notice_repeats(history: DataFrame, family: DataFrame, small_family: bool = False) -> DataFrame:
@@ -224,9 +220,8 @@ def po_inbound(
     # Lines hold known items only, so the breakouts need no look at the item file
     # beyond how often an item is listed.
     family_types = narrow(src.potype, family.select("po"), "po", small_family)
-    typed_family = headers_with_any_type(family, family_types)
     breakouts = breakout_and_allocated(
-        child_units(typed_family, details, rules, small_family),
+        child_units(with_child_types(family, family_types, rules), details, small_family),
         allocated_units(notice_details, repeats, small_repeats),
     )
     return (
