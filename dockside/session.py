@@ -1,4 +1,4 @@
-"""Session settings the plans count on, and the shared scratch folder."""
+"""Session settings the plans count on, and the shared scratch tables."""
 
 from __future__ import annotations
 
@@ -12,9 +12,9 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime SQL settings.  Joins too big to broadcast are shuffled on their key;
-# a hot key is then split by AQE, also where an aggregate sits on top of the
-# join (that costs one more shuffle, so Spark wants to be told).
+# Joins too big to broadcast are shuffled on their key; a hot key is then split
+# by AQE, also where an aggregate sits on top of the join (that costs one more
+# shuffle, so Spark wants to be told).
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -22,10 +22,26 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Shuffle partitions per core: AQE merges small ones, but never splits the
+# partitions of an aggregate, so a cluster starts with many.
+PARTITIONS_PER_CORE = 8
+
+
+def cluster_settings(cores: int) -> dict[str, str]:
+    """Sizes for a cluster: few columns of wide files are read, so splits are big."""
+    return {
+        "spark.sql.shuffle.partitions": str(max(200, PARTITIONS_PER_CORE * cores)),
+        "spark.sql.files.maxPartitionBytes": "512m",
+    }
+
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Set the runtime settings that the caller has left unset."""
-    for name, value in RUNTIME_SETTINGS.items():
+    """Set what the caller has left unset."""
+    wanted = dict(RUNTIME_SETTINGS)
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        wanted.update(cluster_settings(context.defaultParallelism))
+    for name, value in wanted.items():
         if spark.conf.get(name, None) is None:
             spark.conf.set(name, value)
     return spark

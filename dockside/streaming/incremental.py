@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from datetime import date
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dockside.operators.filters import recent_batches
-from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, fits
+from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, attach, fits
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_out_of_window
 from dockside.operators.upsert import upsert
@@ -28,7 +29,7 @@ from dockside.sinks.tables import (
 
 
 def apply_arrivals(
-    rows: DataFrame, number: int, database: str, spec: DatasetSpec, as_of: date | str, budget: JoinBudget
+    rows: DataFrame, batch_id: str, database: str, spec: DatasetSpec, as_of: date | str, budget: JoinBudget
 ) -> None:
     """Stage one micro-batch and upsert the keys it brought.
 
@@ -38,14 +39,13 @@ def apply_arrivals(
     complete batches and is left out.
     """
     spark = rows.sparkSession
-    batch_id = f"stream{number:012d}"
     if not append_batch(spark, database, spec, coerced(rows, spec), batch_id):
         return
     recent = recent_batches(read_staging(spark, database, spec, with_load_day=True), as_of, spec.recent_days, LOAD_DAY)
     recent = recent.select(*spec.schema.names)
     arrived = spark.table(staging_name(database, spec)).where(F.col(BATCH) == batch_id).select(KEY).distinct()
     small = fits(arrived, budget)
-    touched = recent.join(arrived.hint("broadcast") if small else arrived, KEY, "left_semi")
+    touched = attach(recent, arrived, KEY, small, "left_semi")
     latest = latest_per_key(touched, KEY, spec.newest_first)
     merged = upsert(read_final(spark, database, spec), latest, KEY, small_source=small)
     if spec.cleanup_final:
@@ -63,15 +63,20 @@ def upsert_stream(
     files_per_batch: int = 1000,
     budget: JoinBudget = DEFAULT_BUDGET,
 ) -> StreamingQuery:
-    """Work through the stamped parquet batches in ``landing``, then stop."""
+    """Work through the stamped parquet batches in ``landing``, then stop.
+
+    A staged batch is named after the checkpoint and its number there, which a
+    replay repeats and another stream cannot.
+    """
     create_tables(spark, database, spec)
-    arriving = (
-        spark.readStream.schema(spec.schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
-    )
+    stream = sha256(checkpoint.encode()).hexdigest()[:16]
+    arriving = spark.readStream.schema(spec.schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     return (
         arriving.writeStream.queryName(f"{spec.name}_upserts")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda rows, number: apply_arrivals(rows, number, database, spec, as_of, budget))
+        .foreachBatch(
+            lambda rows, number: apply_arrivals(rows, f"{stream}{number:012d}", database, spec, as_of, budget)
+        )
         .trigger(availableNow=True)
         .start()
     )
