@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from dockside.functions.coerce import to_day, to_integer, to_text
 from dockside.operators.filters import recent_batches
 from dockside.operators.latest import latest_per_key
-from dockside.operators.retention import delete_out_of_window, delete_stale
+from dockside.operators.retention import delete_out_of_window
 from dockside.operators.upsert import upsert
 from dockside.plans.datasets import KEY, STAMP, DatasetSpec, with_key
 from dockside.sinks.tables import (
@@ -46,29 +46,43 @@ def prepared(rows: DataFrame, spec: DatasetSpec, stamp: datetime) -> DataFrame:
     return (ready.withColumns(absent) if absent else ready).select(*spec.schema.names)
 
 
-def kept_rows(rows: DataFrame, spec: DatasetSpec, staging: DataFrame, as_of: date | str) -> DataFrame:
-    """Retention and removal of stale rows, as far as the dataset has them on."""
-    if spec.cleanup_final:
-        rows = delete_out_of_window(rows, spec.date_column, as_of, spec.days_back, spec.days_forward)
-    if spec.cleanup_stale:
-        # Stale means older than the newest batch that staging retention leaves.
-        left = delete_out_of_window(staging, spec.date_column, as_of) if spec.cleanup_staging else staging
-        rows = delete_stale(rows, left, STAMP)
-    return rows
+def newest_stamp(staging: DataFrame, spec: DatasetSpec, as_of: date | str) -> int | None:
+    """Load time, in microseconds, of the newest batch that staging retention leaves."""
+    left = delete_out_of_window(staging, spec.date_column, as_of) if spec.cleanup_staging else staging
+    return left.agg(F.unix_micros(F.max(STAMP)).alias("newest")).first()["newest"]
 
 
 def next_final(final: DataFrame, staging: DataFrame, spec: DatasetSpec, as_of: date | str) -> DataFrame:
-    """Upsert of the recent batches, then retention, then stale removal: one plan.
+    """The final table after upsert of the recent batches, retention and stale removal.
 
-    The deletes are applied to the old rows before the upsert as well.  That
-    changes nothing (an old row that would be deleted is either replaced or
-    deleted) and it keeps most of the old state out of the shuffle.
+    ``staging`` comes with its load day.  The deletes are moved ahead of the
+    upsert, which gives the same rows: an old row that they delete would be
+    replaced or deleted afterwards, and a staged row older than the newest batch
+    would be deleted afterwards.  So a nightly run reads the newest batch, and
+    next to nothing of the old state, instead of two weeks of batches and all of it.
     """
-    latest = latest_per_key(
-        recent_batches(staging, as_of, spec.recent_days, LOAD_DAY).select(*spec.schema.names), KEY, spec.newest_first
-    )
-    merged = upsert(kept_rows(final, spec, staging, as_of), latest, KEY)
-    return kept_rows(merged, spec, staging, as_of)
+
+    def in_time(rows: DataFrame) -> DataFrame:
+        if not spec.cleanup_final:
+            return rows
+        return delete_out_of_window(rows, spec.date_column, as_of, spec.days_back, spec.days_forward)
+
+    recent = recent_batches(staging, as_of, spec.recent_days, LOAD_DAY)
+    newest = newest_stamp(staging, spec, as_of) if spec.cleanup_stale else None
+    if newest is None:
+        latest = latest_per_key(recent.select(*spec.schema.names), KEY, spec.newest_first)
+        return in_time(upsert(in_time(final), latest, KEY))
+
+    stamp = F.timestamp_micros(F.lit(newest))
+    newest_day = datetime.fromtimestamp(newest // 1_000_000, timezone.utc).date()
+    fresh = recent.where((F.col(LOAD_DAY) >= F.lit(newest_day)) & (F.col(STAMP) >= stamp))
+    latest = latest_per_key(fresh.select(*spec.schema.names), KEY, spec.newest_first)
+    old = in_time(final.where(F.col(STAMP).isNull() | (F.col(STAMP) >= stamp)))
+    if old.isEmpty():
+        return in_time(latest)
+    # Any recent batch replaces the old row of its keys, also one that goes stale.
+    untouched = old.join(recent.select(KEY).distinct(), KEY, "left_anti").select(*spec.schema.names)
+    return in_time(untouched.unionByName(latest))
 
 
 def load_batch(

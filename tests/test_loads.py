@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import date, datetime, timedelta, timezone
+from random import Random
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from dockside.functions.dates import date_window
+from dockside.operators.filters import recent_batches
 from dockside.operators.joins import JoinBudget
+from dockside.operators.latest import latest_per_key
+from dockside.operators.retention import delete_out_of_window, delete_stale
+from dockside.operators.upsert import upsert
 from dockside.plans.datasets import DatasetSpec, breakout_spec, default_datasets, extract, inbound_spec
-from dockside.plans.refresh import load_batch, prepared
+from dockside.plans.refresh import load_batch, next_final, prepared
 from dockside.plans.runs import create_all, run
 from dockside.schemas import BREAKOUT_SCHEMA, INBOUND_SCHEMA, table_schema
 from dockside.session import SCRATCH_DATABASE, scratch_path
@@ -280,3 +285,49 @@ def test_micro_batches_end_where_one_batch_does(spark, database, budget):
     progress = scratch_path(spark, "progress")
     stream()
     assert final_rows(spark, database) == sorted(expected + [("d", 1)], key=str)
+
+
+def step_by_step(final, staging, spec):
+    """The same state, one step after the other as the steps are defined."""
+    latest = latest_per_key(
+        recent_batches(staging, TODAY, spec.recent_days).select(*spec.schema.names), "record_key", spec.newest_first
+    )
+    rows = upsert(final, latest, "record_key")
+    left = delete_out_of_window(staging, "d", TODAY) if spec.cleanup_staging else staging
+    if spec.cleanup_final:
+        rows = delete_out_of_window(rows, "d", TODAY)
+    return delete_stale(rows, left) if spec.cleanup_stale else rows
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_next_state_equals_the_steps(spark, seed):
+    random = Random(seed)
+    days = [-31, -30, 0, 5, 60, 61, None]
+
+    def rows(count, keys, oldest, newest):
+        return [
+            (
+                random.choice(keys),
+                None if (day := random.choice(days)) is None else TODAY + timedelta(day),
+                random.randrange(3),
+                NOW - timedelta(days=random.randint(newest, oldest)),
+            )
+            for _ in range(count)
+        ]
+
+    staged = rows(40, "abcdefgh", 16, seed % 3)
+    if seed % 2:
+        # The newest batch lies outside the window and leaves staging again.
+        staged += [(k, TODAY + timedelta(90), 1, NOW) for k in "abc"]
+    staging = spark.createDataFrame(staged, SPEC.schema).withColumn("load_date", F.to_date("load_timestamp"))
+    old = {key: (key, *rest) for key, *rest in rows(12, "defghxyz", 3, 0)}
+    final = spark.createDataFrame([*old.values(), ("w", TODAY, 1, None)], SPEC.schema)
+    for spec in (
+        SPEC,
+        replace(SPEC, cleanup_staging=False),
+        replace(SPEC, cleanup_final=False),
+        replace(SPEC, cleanup_stale=False),
+    ):
+        for state in (staging, staging.limit(0)):
+            got = next_final(final, state, spec, TODAY).collect()
+            assert sorted(map(str, got)) == sorted(map(str, step_by_step(final, state, spec).collect()))
