@@ -219,7 +219,8 @@ ORACLE: dict[str, str] = {
     "win_latest_per_key": over_lifecycle(f"SELECT {COLUMNS} FROM newest"),
     "sort_po_output": over_views("SELECT * FROM inbound ORDER BY po, sku, shipnotice_date NULLS LAST", *INBOUND),
     "topk_recent_dates": over_views(
-        "SELECT load_date AS date, COUNT(*) AS records FROM staged GROUP BY 1 ORDER BY 1 DESC LIMIT 10"
+        "SELECT business_date AS date, COUNT(*) AS records FROM staged GROUP BY 1 "
+        "ORDER BY 1 DESC NULLS LAST LIMIT 10"
     ),
     "fn_coalesce_case": over_views(
         "SELECT h.po, COALESCE(t.type, 'INVALID') AS type, "

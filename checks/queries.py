@@ -25,7 +25,7 @@ from dockside.functions.dates import compact_day, date_window, utc_day
 from dockside.functions.keys import strict_key, tolerant_key
 from dockside.operators import reports
 from dockside.operators.filters import listed, non_blank, recent_batches, within
-from dockside.operators.joins import attach, fits
+from dockside.operators.joins import attach, keep_matching, sized
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_out_of_window, delete_stale
 from dockside.operators.upsert import upsert
@@ -90,9 +90,9 @@ def fil_rolling_window(src: SourceTables) -> DataFrame:
 
 
 def join_star_inner(src: SourceTables) -> DataFrame:
-    orders = inb.tracked_orders(src, WINDOW, RULES)
-    known = inb.items(src.skufile, src.vendmain)
-    lines = attach(attach(src.podtl, orders, "po", fits(orders)), known, "sku", fits(known))
+    orders = sized(inb.tracked_orders(src, WINDOW, RULES))
+    known = sized(inb.items(src.skufile, src.vendmain))
+    lines = attach(attach(src.podtl, orders, "po"), known, "sku")
     return lines.select("po", "type", "sku", "style", "vendname", "oounit", "rcunit")
 
 
@@ -122,7 +122,7 @@ def children_of(src: SourceTables) -> DataFrame:
 
 def allocations_of(src: SourceTables) -> DataFrame:
     repeats = inb.notice_repeats(src.wim, inb.family_headers(src.family_hdr))
-    allocated = inb.allocated_units(src.asndtl, repeats, fits(repeats))
+    allocated = inb.allocated_units(src.asndtl, sized(repeats))
     return inb.known_only(allocated, inb.item_copies(src.skufile), "qty")
 
 
@@ -144,14 +144,14 @@ def join_left_breakout_alloc(src: SourceTables) -> DataFrame:
 
 
 def join_semi_exists(src: SourceTables) -> DataFrame:
-    parents = br.parent_orders(src, WINDOW, RULES).select("po_man")
-    children = br.child_headers(src.pohdr, src.potype, RULES)
-    return attach(children, parents, "po_man", fits(parents), "left_semi").select("po", "po_man", "postr", "dateexp")
+    parents = sized(br.parent_orders(src, WINDOW, RULES).select("po_man"))
+    children = keep_matching(br.child_headers(src.pohdr, src.potype, RULES), parents, "po_man")
+    return children.select("po", "po_man", "postr", "dateexp")
 
 
 def join_existence_distinct(src: SourceTables) -> DataFrame:
-    headers = inb.tracked_headers(src.pohdr, WINDOW, RULES)
-    return br.with_details(headers, src.podtl, fits(headers)).select("po", "po_man", "pocode", "dateexp", "postr").distinct()
+    headers = sized(inb.tracked_headers(src.pohdr, WINDOW, RULES))
+    return br.with_details(headers, src.podtl).select("po", "po_man", "pocode", "dateexp", "postr").distinct()
 
 
 def join_parent_summary(src: SourceTables) -> DataFrame:
@@ -164,9 +164,8 @@ def join_parent_summary(src: SourceTables) -> DataFrame:
 def agg_sum_wide_key(src: SourceTables) -> DataFrame:
     orders = inb.tracked_orders(src, WINDOW, RULES)
     receipts = inb.latest_receipts(src.purhst, RULES)
-    known = inb.items(src.skufile, src.vendmain)
-    small = fits(orders)
-    return inb.order_lines(orders.join(receipts, "po", "left"), src.podtl, known, small, fits(known))
+    known = sized(inb.items(src.skufile, src.vendmain))
+    return inb.order_lines(sized(orders.join(receipts, "po", "left")), src.podtl, known)
 
 
 def agg_distinct_parents(src: SourceTables) -> DataFrame:
@@ -178,16 +177,15 @@ def agg_listagg_ordered(src: SourceTables) -> DataFrame:
 
 
 def agg_child_qty(src: SourceTables) -> DataFrame:
-    parents = br.parent_orders(src, WINDOW, RULES).select("po_man")
-    children = attach(br.child_headers(src.pohdr, src.potype, RULES), parents, "po_man", fits(parents), "left_semi")
-    known = inb.items(src.child_sku, src.vendmain)
-    return br.child_quantities(children, src.child_dtl, known, fits(children), fits(known))
+    parents = sized(br.parent_orders(src, WINDOW, RULES).select("po_man"))
+    children = sized(keep_matching(br.child_headers(src.pohdr, src.potype, RULES), parents, "po_man"))
+    return br.child_quantities(children, src.child_dtl, sized(inb.items(src.child_sku, src.vendmain)))
 
 
 def agg_pivot_store(src: SourceTables) -> DataFrame:
     children = br.child_headers(src.pohdr, src.potype, RULES)
-    known = inb.items(src.child_sku, src.vendmain)
-    rows = br.child_quantities(children, src.child_dtl, known, False, fits(known))
+    known = sized(inb.items(src.child_sku, src.vendmain))
+    rows = br.child_quantities(sized(children), src.child_dtl, known)
     return br.store_pivot(rows, [F.col("po_man"), F.col("sku"), F.col("dateexp")], RULES)
 
 
@@ -385,7 +383,7 @@ QUERIES: dict[str, Query] = {
     "agg_daily_counts": over_staging(lambda rows: reports.rows_per_day(rows, utc_day(F.col("load_timestamp")))),
     "win_latest_per_key": over_staging(lambda rows: shown(newest(recent(rows)))),
     "sort_po_output": over_sources(lambda src: inb.po_inbound_sorted(src, WINDOW, RULES)),
-    "topk_recent_dates": over_staging(lambda rows: reports.newest_days(rows, utc_day(F.col("load_timestamp")))),
+    "topk_recent_dates": over_staging(lambda rows: reports.newest_days(rows, F.col("business_date"))),
     "fn_coalesce_case": over_sources(fn_coalesce_case),
     "fn_string_ops": over_sources(fn_string_ops),
     "fn_record_key_sql": over_sources(fn_record_key_sql),

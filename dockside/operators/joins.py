@@ -1,14 +1,17 @@
 """Joins whose physical form depends on a measured size.
 
-Every side offered for broadcast is measured first, in one aggregate over its
-own columns or while it is written.  Below the budget it is broadcast and the big side never
-shuffles.  Above it the join is an ordinary shuffle join, where AQE splits a
-hot key at run time (see ``session.RUNTIME_SETTINGS``).
+A side offered for broadcast is measured first, in one aggregate over its own
+columns or while it is written.  What fits the budget is broadcast, and the big
+side never shuffles for it.  A side that does not fit whole may fit by its keys:
+then the big side is cut down where it is read and only what is left shuffles.
+Beyond that the join is an ordinary shuffle join, where AQE splits a hot key at
+run time (see ``session.RUNTIME_SETTINGS``).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -21,7 +24,7 @@ from dockside.session import written
 class JoinBudget:
     """Most bytes a broadcast side may take in an executor's memory."""
 
-    broadcast_bytes: int = 64 * 1024 * 1024
+    broadcast_bytes: int = 128 * 1024 * 1024
 
 
 DEFAULT_BUDGET = JoinBudget()
@@ -30,42 +33,81 @@ DEFAULT_BUDGET = JoinBudget()
 ROW_OVERHEAD = 40
 
 
-def size_of(rows: DataFrame) -> Column:
-    """Aggregate: in-memory size, one word per column plus the text lengths."""
-    texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
-    text_bytes = [F.coalesce(F.sum(F.octet_length(F.col(name))), F.lit(0)) for name in texts]
-    per_row = 8 * len(rows.columns) + ROW_OVERHEAD
-    return sum(text_bytes, F.count(F.lit(1)) * per_row).alias("bytes")
+@dataclass(frozen=True)
+class Sized:
+    """Rows with their measured number and the bytes of their text columns."""
+
+    rows: DataFrame
+    count: int
+    text_bytes: Mapping[str, int]
+    budget: JoinBudget
+
+    @property
+    def columns(self) -> list[str]:
+        return self.rows.columns
+
+    def bytes_of(self, *columns: str) -> int:
+        """In-memory size of the columns: a word each per row, plus the text."""
+        text = sum(self.text_bytes.get(name, 0) for name in columns)
+        return self.count * (8 * len(columns) + ROW_OVERHEAD) + text
+
+    def small(self, *columns: str) -> bool:
+        """Whether the columns (all by default) may be broadcast."""
+        return self.bytes_of(*(columns or self.columns)) <= self.budget.broadcast_bytes
+
+    def with_rows(self, rows: DataFrame) -> Sized:
+        """The same rows with columns added that are not text."""
+        return replace(self, rows=rows)
+
+
+def text_columns(rows: DataFrame) -> list[str]:
+    return [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def measured_bytes(rows: DataFrame) -> int:
-    return rows.agg(size_of(rows)).first()["bytes"]
+def measures(rows: DataFrame) -> list[Column]:
+    texts = [F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0)).alias(c) for c in text_columns(rows)]
+    return [F.count(F.lit(1)).alias("_rows"), *texts]
 
 
-def fits(side: DataFrame, budget: JoinBudget = DEFAULT_BUDGET) -> bool:
-    return measured_bytes(side) <= budget.broadcast_bytes
+def as_sized(rows: DataFrame, found: Mapping[str, int], budget: JoinBudget) -> Sized:
+    return Sized(rows, found["_rows"], {c: found[c] for c in text_columns(rows)}, budget)
 
 
-def once(rows: DataFrame, label: str, budget: JoinBudget = DEFAULT_BUDGET) -> tuple[DataFrame, bool]:
-    """``rows`` as a scratch table, and whether it fits; measured as it is written.
+def sized(rows: DataFrame, budget: JoinBudget = DEFAULT_BUDGET) -> Sized:
+    """Measure ``rows`` where they are."""
+    return as_sized(rows, rows.agg(*measures(rows)).first().asDict(), budget)
+
+
+def once(rows: DataFrame, label: str, budget: JoinBudget = DEFAULT_BUDGET) -> Sized:
+    """``rows`` as a scratch table, measured as it is written.
 
     For a side that several joins use: it is computed one time in all.
     """
     seen = Observation()
-    table = written(rows.observe(seen, size_of(rows)), label)
-    return table, seen.get["bytes"] <= budget.broadcast_bytes
-
-
-def attach(rows: DataFrame, side: DataFrame, on: str | list[str], small: bool, how: str = "inner") -> DataFrame:
-    """Join ``side`` to the bigger ``rows``; ``small`` is the verdict of ``fits``."""
-    return rows.join(F.broadcast(side) if small else side, on, how)
+    table = written(rows.observe(seen, *measures(rows)), label)
+    return as_sized(table, seen.get, budget)
 
 
-def narrow(rows: DataFrame, keys: DataFrame, on: str, small: bool) -> DataFrame:
+def narrow(rows: DataFrame, keys: Sized, on: str) -> DataFrame:
     """Drop rows that a later join on ``on`` would not use anyway.
 
-    Only worth it where the keys can be broadcast: then irrelevant rows never
-    reach a shuffle.  Otherwise ``rows`` pass through, since a shuffled semi
-    join would move as many bytes as the aggregation that follows.
+    Only where the keys can be broadcast: then irrelevant rows never reach a
+    shuffle.  Otherwise ``rows`` pass through, since a shuffled semi join would
+    move as many bytes as the aggregation that follows.
     """
-    return rows.join(F.broadcast(keys), on, "left_semi") if small else rows
+    return keep_matching(rows, keys, on) if keys.small(on) else rows
+
+
+def keep_matching(rows: DataFrame, keys: Sized, on: str) -> DataFrame:
+    """Rows whose ``on`` occurs among the keys."""
+    wanted = keys.rows.select(on)
+    return rows.join(F.broadcast(wanted) if keys.small(on) else wanted.distinct(), on, "left_semi")
+
+
+def attach(rows: DataFrame, side: Sized | DataFrame, on: str) -> DataFrame:
+    """Inner join of ``side`` to the bigger ``rows``; an unmeasured side is left to Spark."""
+    if isinstance(side, DataFrame):
+        return rows.join(side, on)
+    if side.small():
+        return rows.join(F.broadcast(side.rows), on)
+    return narrow(rows, side, on).join(side.rows, on)

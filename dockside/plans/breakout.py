@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dockside.functions.dates import DateWindow
 from dockside.operators.filters import non_blank
-from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, attach, fits, narrow, once
+from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, Sized, attach, narrow, once, sized
 from dockside.operators.reports import in_order
 from dockside.plans.po_inbound import items, tracked_headers, typed_headers
 from dockside.rules import OrderRules
@@ -17,10 +17,10 @@ from dockside.sources.inputs import SourceTables
 PARENT_COLUMNS = ("po", "po_man", "pocode", "type", "dateexp", "postr")
 
 
-def with_details(orders: DataFrame, details: DataFrame, small_orders: bool = False) -> DataFrame:
+def with_details(orders: Sized, details: DataFrame) -> DataFrame:
     """Orders that have at least one detail row."""
-    present = narrow(details.select("po"), orders.select("po"), "po", small_orders)
-    return orders.join(present.distinct(), "po", "left_semi")
+    present = narrow(details.select("po"), orders, "po").distinct()
+    return orders.rows.join(present, "po", "left_semi")
 
 
 def parent_orders(
@@ -29,8 +29,7 @@ def parent_orders(
     """Tracked orders of the parent type that name a managing order."""
     headers = tracked_headers(src.pohdr, window, rules).where(non_blank(F.col("po_man")))
     typed = typed_headers(headers, src.potype, (rules.parent_type,)).select(*PARENT_COLUMNS)
-    orders, small = once(typed, "parents", budget)
-    return with_details(orders, src.podtl, small)
+    return with_details(once(typed, "parents", budget), src.podtl)
 
 
 def store_list(stores: DataFrame, group: str, store: str, name: str) -> DataFrame:
@@ -66,11 +65,9 @@ CHILD_GRAIN = ("po_man", "po", "postr", "ss", "vendname", "sku", "style", "skude
 
 
 def child_quantities(
-    children: DataFrame,
+    children: Sized | DataFrame,
     details: DataFrame,
-    known_items: DataFrame,
-    small_children: bool = False,
-    small_items: bool = False,
+    known_items: Sized | DataFrame,
     carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """Ordered units per child order, store and item.
@@ -78,12 +75,12 @@ def child_quantities(
     ``carried`` names columns that depend on the managing order alone.
     """
     per_child = (
-        attach(details, children, "po", small_children)
+        attach(details, children, "po")
         .groupBy("po_man", "po", "postr", "dateship", "dateexp", *carried, "sku")
         .agg(F.sum("oounit").alias("oounit"))
     )
     return (
-        attach(per_child, known_items, "sku", small_items)
+        attach(per_child, known_items, "sku")
         .groupBy(*CHILD_GRAIN, *carried)
         .agg(F.sum("oounit").alias("oounit"))
     )
@@ -117,15 +114,13 @@ def breakout(
     it at header grain both limits the children to tracked parents and adds the
     parent columns, before any detail row is touched.
     """
-    known_items = items(src.child_sku, src.vendmain)
-    (summary, small_summary), small_items = side_by_side(
+    summary, known_items = side_by_side(
         lambda: once(parent_summary(parent_orders(src, window, rules, budget)), "summary", budget),
-        lambda: fits(known_items, budget),
+        lambda: sized(items(src.child_sku, src.vendmain), budget),
     )
-    tied = attach(child_headers(src.pohdr, src.potype, rules), summary, "po_man", small_summary)
-    children, small_children = once(tied, "children", budget)
+    children = once(attach(child_headers(src.pohdr, src.potype, rules), summary, "po_man"), "children", budget)
     carried = ("parent_exp_date", "parent_stores")
-    quantities = child_quantities(children, src.child_dtl, known_items, small_children, small_items, carried)
+    quantities = child_quantities(children, src.child_dtl, known_items, carried)
     grain = [
         F.col("po_man"),
         F.col("ss").alias("ss_num"),

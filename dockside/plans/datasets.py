@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from dockside.functions.dates import DateWindow
 from dockside.functions.keys import tolerant_key
+from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget
 from dockside.plans.breakout import breakout
 from dockside.plans.po_inbound import INBOUND_ORDER, po_inbound
 from dockside.rules import DAYS_BACK, DAYS_FORWARD, RECENT_DAYS, OrderRules
@@ -47,7 +48,9 @@ class DatasetSpec:
         return [f.name for f in self.schema.fields if isinstance(f.dataType, kind)]
 
 
-def inbound_spec(rules: OrderRules = OrderRules(), **changes) -> DatasetSpec:
+def inbound_spec(
+    rules: OrderRules = OrderRules(), budget: JoinBudget = DEFAULT_BUDGET, **changes
+) -> DatasetSpec:
     spec = DatasetSpec(
         name="po",
         staging_table="po_inbound_daily",
@@ -55,14 +58,16 @@ def inbound_spec(rules: OrderRules = OrderRules(), **changes) -> DatasetSpec:
         schema=INBOUND_SCHEMA,
         date_column="expected_date",
         newest_first=(STAMP, *INBOUND_ORDER),
-        query=lambda src, window: po_inbound(src, window, rules),
+        query=lambda src, window: po_inbound(src, window, rules, budget),
         record_key=lambda: tolerant_key(F.col("po"), F.col("sku"), F.col("expected_date")),
         sample=inbound_sample,
     )
     return replace(spec, **changes)
 
 
-def breakout_spec(rules: OrderRules = OrderRules(), **changes) -> DatasetSpec:
+def breakout_spec(
+    rules: OrderRules = OrderRules(), budget: JoinBudget = DEFAULT_BUDGET, **changes
+) -> DatasetSpec:
     spec = DatasetSpec(
         name="breakout",
         staging_table="po_breakout_staging",
@@ -70,16 +75,18 @@ def breakout_spec(rules: OrderRules = OrderRules(), **changes) -> DatasetSpec:
         schema=BREAKOUT_SCHEMA,
         date_column="exp_date",
         newest_first=(STAMP, "exp_date"),
-        query=lambda src, window: breakout(src, window, rules),
+        query=lambda src, window: breakout(src, window, rules, budget),
         record_key=lambda: tolerant_key(F.col("po_man"), F.col("sku_num"), F.col("exp_date")),
         sample=breakout_sample,
     )
     return replace(spec, **changes)
 
 
-def default_datasets(rules: OrderRules = OrderRules()) -> dict[str, DatasetSpec]:
+def default_datasets(
+    rules: OrderRules = OrderRules(), budget: JoinBudget = DEFAULT_BUDGET
+) -> dict[str, DatasetSpec]:
     """A further dataset is one more entry: a query, a schema and a key."""
-    return {spec.name: spec for spec in (inbound_spec(rules), breakout_spec(rules))}
+    return {spec.name: spec for spec in (inbound_spec(rules, budget), breakout_spec(rules, budget))}
 
 
 def with_key(rows: DataFrame, spec: DatasetSpec) -> DataFrame:

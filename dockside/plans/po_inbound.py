@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from dockside.functions.dates import DateWindow
 from dockside.functions.keys import strict_key
 from dockside.operators.filters import listed, non_blank, within
-from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, attach, fits, narrow, once
+from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, Sized, attach, keep_matching, narrow, once, sized
 from dockside.operators.latest import latest_per_key
 from dockside.operators.reports import in_order
 from dockside.rules import MISSING_TYPE, OrderRules
@@ -78,37 +78,35 @@ def tracked_notices(notices: DataFrame, rules: OrderRules) -> DataFrame:
     return notices.where(listed(F.col("str"), rules.dc_stores)).select("asn", "po", "shpnotcdt")
 
 
-def shipped_units(notices: DataFrame, details: DataFrame, small: bool = False) -> DataFrame:
+def shipped_units(notices: Sized | DataFrame, details: DataFrame) -> DataFrame:
     """Units per order, item and notice date."""
     return (
-        attach(details, notices, "asn", small)
+        attach(details, notices, "asn")
         .groupBy("po", F.col("shpnotcdt").alias("shipnotice_date"), "sku")
         .agg(F.sum("qty").alias("asn_qty"))
     )
 
 
-def order_lines(
-    orders: DataFrame, details: DataFrame, known_items: DataFrame, small_orders: bool = False, small_items: bool = False
-) -> DataFrame:
+def order_lines(orders: Sized | DataFrame, details: DataFrame, known_items: Sized | DataFrame) -> DataFrame:
     """Ordered and received units per order, item and header attributes.
 
     The ship date is part of the grain although the view does not show it.
     """
     header = [c for c in orders.columns if c != "latest_datercv"]
+    item = [c for c in known_items.columns if c != "sku"]
     sums = (
         F.max("latest_datercv").alias("latest_datercv"),
         F.sum("ooqty").alias("ooqty"),
         F.sum("rcvdqty").alias("rcvdqty"),
     )
     per_order = (
-        attach(details, orders, "po", small_orders)
+        attach(details, orders, "po")
         .withColumnsRenamed({"oounit": "ooqty", "rcunit": "rcvdqty"})
         .groupBy(*header, "sku")
         .agg(*sums)
     )
     # The second grouping reuses the shuffle of the first: its key contains it.
-    item = [c for c in known_items.columns if c != "sku"]
-    return attach(per_order, known_items, "sku", small_items).groupBy(*header, "sku", *item).agg(*sums)
+    return attach(per_order, known_items, "sku").groupBy(*header, "sku", *item).agg(*sums)
 
 
 def family_headers(headers: DataFrame) -> DataFrame:
@@ -121,32 +119,32 @@ def item_copies(skufile: DataFrame) -> DataFrame:
     return skufile.groupBy("sku").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def known_only(sums: DataFrame, copies: DataFrame, *quantities: str) -> DataFrame:
+def known_only(sums: DataFrame, copies: Sized | DataFrame, *quantities: str) -> DataFrame:
     """Sums of known items.
 
     Joining details to items before summing gives the same, but would move
     every detail row by item.
     """
     scaled = {q: F.col(q) * F.col("copies") for q in quantities}
-    return attach(sums, copies, "sku", fits(copies)).withColumns(scaled).drop("copies")
+    return attach(sums, copies, "sku").withColumns(scaled).drop("copies")
 
 
-def child_units(family: DataFrame, details: DataFrame, small_family: bool = False) -> DataFrame:
+def child_units(family: Sized | DataFrame, details: DataFrame) -> DataFrame:
     """Units on child orders per managing order and item; other types count 0."""
     units = F.when(F.col("child_types") > 0, F.col("oounit") * F.col("child_types")).otherwise(0)
-    return attach(details, family, "po", small_family).groupBy("po_man", "sku").agg(F.sum(units).alias("ooqty"))
+    return attach(details, family, "po").groupBy("po_man", "sku").agg(F.sum(units).alias("ooqty"))
 
 
-def notice_repeats(history: DataFrame, family: DataFrame, small_family: bool = False) -> DataFrame:
+def notice_repeats(history: DataFrame, family: Sized | DataFrame) -> DataFrame:
     """How often the warehouse history ties a notice to a managing order."""
     return (
-        attach(history, family, "po", small_family)
+        attach(history, family, "po")
         .groupBy(F.col("genasn").alias("asn"), "po_man")
         .agg(F.count(F.lit(1)).alias("repeats"))
     )
 
 
-def allocated_units(notice_details: DataFrame, repeats: DataFrame, small_repeats: bool = False) -> DataFrame:
+def allocated_units(notice_details: DataFrame, repeats: Sized | DataFrame) -> DataFrame:
     """Notice units reached through the warehouse history, per managing order and item.
 
     History meets notice details by notice alone, so every history row of a
@@ -154,7 +152,7 @@ def allocated_units(notice_details: DataFrame, repeats: DataFrame, small_repeats
     multiplied in; they are never spelled out as rows.
     """
     return (
-        attach(notice_details, repeats, "asn", small_repeats)
+        attach(notice_details, repeats, "asn")
         .groupBy("po_man", "sku")
         .agg(F.sum(F.col("qty") * F.col("repeats")).alias("qty"))
     )
@@ -173,9 +171,9 @@ def breakout_and_allocated(children: DataFrame, allocated: DataFrame) -> DataFra
     )
 
 
-def used_sums(facts: DataFrame, users: list[DataFrame], on: str, label: str) -> DataFrame:
+def used_sums(facts: DataFrame, users: list[Sized], on: str, label: str) -> DataFrame:
     """Facts that any user joins by ``on``, summed per ``on`` and item, for all users at once."""
-    keys = reduce(DataFrame.union, [user.select(on) for user in users]).distinct()
+    keys = reduce(DataFrame.union, [user.rows.select(on) for user in users]).distinct()
     sums = [F.sum(c).alias(c) for c in facts.columns if c not in (on, "sku")]
     return written(facts.join(keys, on, "left_semi").groupBy(on, "sku").agg(*sums), label)
 
@@ -191,38 +189,36 @@ def po_inbound(
     budget: JoinBudget = DEFAULT_BUDGET,
 ) -> DataFrame:
     """The inbound view; call ``in_order`` on it for a sorted listing."""
-    orders, small_orders = once(tracked_orders(src, window, rules), "orders", budget)
-    order_keys = orders.select("po")
-
-    # Headers managed together with tracked orders, and notices of tracked orders.
-    managers = orders.where(non_blank(F.col("po_man"))).select("po_man").distinct()
-    managed = attach(family_headers(src.family_hdr), managers, "po_man", small_orders, "left_semi")
-    noticed = attach(tracked_notices(src.asnhdr, rules), order_keys.distinct(), "po", small_orders, "left_semi")
-    known_items = items(src.skufile, src.vendmain).join(item_copies(src.skufile), "sku")
-    (family, small_family), (notices, small_notices), small_items = side_by_side(
-        lambda: once(managed, "family", budget),
-        lambda: once(noticed, "notices", budget),
-        lambda: fits(known_items, budget),
+    orders = once(tracked_orders(src, window, rules), "orders", budget)
+
+    # Headers managed together with tracked orders, and the notices that the
+    # warehouse ties to them.
+    def family_and_repeats() -> tuple[Sized, Sized]:
+        family = once(keep_matching(family_headers(src.family_hdr), orders, "po_man"), "family", budget)
+        return family, once(notice_repeats(src.wim, family), "repeats", budget)
+
+    # Notices of tracked orders.
+    noticed = keep_matching(tracked_notices(src.asnhdr, rules), orders, "po")
+    known = items(src.skufile, src.vendmain).join(item_copies(src.skufile), "sku")
+    (family, repeats), notices, known_items = side_by_side(
+        family_and_repeats, lambda: once(noticed, "notices", budget), lambda: sized(known, budget)
     )
-    # Notices that the warehouse ties to a family.
-    repeats, small_repeats = once(notice_repeats(src.wim, family, small_family), "repeats", budget)
 
     details, notice_details = src.podtl, src.asndtl
-    if not (small_orders and small_family):
+    if not (orders.small("po") and family.small("po")):
         details = used_sums(details, [orders, family], "po", "details")
-    if not (small_notices and small_repeats):
+    if not (notices.small("asn") and repeats.small("asn")):
         notice_details = used_sums(notice_details, [notices, repeats], "asn", "notice_details")
 
-    receipts = latest_receipts(narrow(src.purhst, order_keys, "po", small_orders), rules)
-    lines = order_lines(orders.join(receipts, "po", "left"), details, known_items, small_orders, small_items)
-    invoices = invoiced_units(narrow(src.invdtl, order_keys, "po", small_orders))
-    shipments = shipped_units(notices, notice_details, small_notices).withColumn("shipped_sku", F.col("sku"))
+    receipts = latest_receipts(narrow(src.purhst, orders, "po"), rules)
+    lines = order_lines(orders.with_rows(orders.rows.join(receipts, "po", "left")), details, known_items)
+    invoices = invoiced_units(narrow(src.invdtl, orders, "po"))
+    shipments = shipped_units(notices, notice_details).withColumn("shipped_sku", F.col("sku"))
     # Lines hold known items only, so the breakouts need no look at the item file
     # beyond how often an item is listed.
-    family_types = narrow(src.potype, family.select("po"), "po", small_family)
+    typed_family = with_child_types(family.rows, narrow(src.potype, family, "po"), rules)
     breakouts = breakout_and_allocated(
-        child_units(with_child_types(family, family_types, rules), details, small_family),
-        allocated_units(notice_details, repeats, small_repeats),
+        child_units(family.with_rows(typed_family), details), allocated_units(notice_details, repeats)
     )
     return (
         lines.join(invoices, ["po", "sku"], "left")

@@ -5,69 +5,55 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from dockside.functions.dates import as_day
-from dockside.rules import STORE_COLUMNS
 from dockside.schemas import BREAKOUT_SCHEMA, INBOUND_SCHEMA
 
+# Column by column in table order, dates as days from ``as_of``.
+INBOUND_ROWS = (
+    ("110", "VENDOR1", "SS1", "P", "O", "PO001", "PM001", "SKU001", "STY001", "Description 1",
+     0, 30, 100, 50, 10, 40, 25, "SKU001", 45, -1, -2),
+    ("114", "VENDOR2", "SS2", "R", "D", "PO002", "PM002", "SKU002", "STY002", "Description 2",
+     1, 30, 200, 100, 20, 80, 30, "SKU002", 95, -1, -2),
+    ("614", "VENDOR3", "SS3", "P", "O", "PO003", "PM003", "SKU003", "STY003", "Description 3",
+     2, 30, 150, 75, 15, 60, 35, "SKU003", 70, -1, -2),
+)
+
+# The same for the breakout; stores not named hold 0.
+BREAKOUT_ROWS = (
+    ("PM001", "SS1", "VENDOR1", "SKU001", "STY001", "Child Desc 1", -5, 0, 0, "110, 114"),
+    ("PM002", "SS2", "VENDOR2", "SKU002", "STY002", "Child Desc 2", -5, 1, 1, "110, 614"),
+    ("PM003", "SS3", "VENDOR3", "SKU003", "STY003", "Child Desc 3", -5, 2, 2, "116"),
+)
+BREAKOUT_UNITS = ({"SD": 50, "FFC": 75}, {"SD": 100, "FFC_WEB": 125}, {"IP": 150})
+
+
+def sample_frame(spark: SparkSession, schema: T.StructType, rows: list[dict], as_of: date | str) -> DataFrame:
+    """Rows without a load time; numbers in date columns are days from ``as_of``."""
+    today = as_day(as_of)
+    dates = {f.name for f in schema.fields if isinstance(f.dataType, T.DateType)}
+    dated = [{k: today + timedelta(v) if k in dates else v for k, v in row.items()} for row in rows]
+    return spark.createDataFrame(dated, schema).drop("load_timestamp")
+
+
+def sample_key(first: str, second: str, as_of: date | str, days: int) -> str:
+    return f"{first}_{second}_{as_day(as_of) + timedelta(days):%Y%m%d}"
+
 
 def inbound_sample(spark: SparkSession, as_of: date | str) -> DataFrame:
-    today = as_day(as_of)
-    rows = []
-    heads = (("110", "P", "O", 100), ("114", "R", "D", 200), ("614", "P", "O", 150))
-    for i, (store, kind, code, quantity) in enumerate(heads):
-        n = i + 1
-        due = today + timedelta(days=i)
-        rows.append(
-            {
-                "store": store,
-                "vendor": f"VENDOR{n}",
-                "ss": f"SS{n}",
-                "type": kind,
-                "po_code": code,
-                "po": f"PO00{n}",
-                "po_man": f"PM00{n}",
-                "sku": f"SKU00{n}",
-                "style": f"STY00{n}",
-                "skudesc1": f"Description {n}",
-                "expected_date": due,
-                "cancel_date": today + timedelta(days=30),
-                "ooqty": quantity,
-                "rcvdqty": quantity // 2,
-                "breakoutqty": quantity // 10,
-                "allocated": quantity * 2 // 5,
-                "unitinvc_per_sku": 25 + 5 * i,
-                "shipped_sku": f"SKU00{n}",
-                "shipped_qty": (45, 95, 70)[i],
-                "latest_datercv": today - timedelta(days=1),
-                "shipnotice_date": today - timedelta(days=2),
-                "record_key": f"PO00{n}_SKU00{n}_{due:%Y%m%d}",
-            }
-        )
-    return spark.createDataFrame(rows, INBOUND_SCHEMA).drop("load_timestamp")
+    rows = [dict(zip(INBOUND_SCHEMA.names, values)) for values in INBOUND_ROWS]
+    for row in rows:
+        row["record_key"] = sample_key(row["po"], row["sku"], as_of, row["expected_date"])
+    return sample_frame(spark, INBOUND_SCHEMA, rows, as_of)
 
 
 def breakout_sample(spark: SparkSession, as_of: date | str) -> DataFrame:
-    today = as_day(as_of)
-    quantities = ({"SD": 50, "FFC": 75}, {"SD": 100, "FFC_WEB": 125}, {"IP": 150})
     rows = []
-    for i, stores in enumerate(("110, 114", "110, 614", "116")):
-        n = i + 1
-        due = today + timedelta(days=i)
-        rows.append(
-            {
-                "po_man": f"PM00{n}",
-                "ss_num": f"SS{n}",
-                "vendor": f"VENDOR{n}",
-                "sku_num": f"SKU00{n}",
-                "style": f"STY00{n}",
-                "skudesc": f"Child Desc {n}",
-                "ship_date": today - timedelta(days=5),
-                "exp_date": due,
-                "parent_exp_date": due,
-                "parent_stores": stores,
-                **{column: quantities[i].get(column, 0) for _, column in STORE_COLUMNS},
-                "record_key": f"PM00{n}_SKU00{n}_{due:%Y%m%d}",
-            }
-        )
-    return spark.createDataFrame(rows, BREAKOUT_SCHEMA).drop("load_timestamp")
+    for values, units in zip(BREAKOUT_ROWS, BREAKOUT_UNITS):
+        row = dict(zip(BREAKOUT_SCHEMA.names, values))
+        stores = BREAKOUT_SCHEMA.names[len(values) : -2]
+        row |= {column: units.get(column, 0) for column in stores}
+        row["record_key"] = sample_key(row["po_man"], row["sku_num"], as_of, row["exp_date"])
+        rows.append(row)
+    return sample_frame(spark, BREAKOUT_SCHEMA, rows, as_of)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dockside.operators.filters import recent_batches
-from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, attach, fits
+from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, keep_matching, sized
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_out_of_window
 from dockside.operators.upsert import upsert
@@ -44,10 +44,9 @@ def apply_arrivals(
     recent = recent_batches(read_staging(spark, database, spec, with_load_day=True), as_of, spec.recent_days, LOAD_DAY)
     recent = recent.select(*spec.schema.names)
     arrived = spark.table(staging_name(database, spec)).where(F.col(BATCH) == batch_id).select(KEY).distinct()
-    small = fits(arrived, budget)
-    touched = attach(recent, arrived, KEY, small, "left_semi")
-    latest = latest_per_key(touched, KEY, spec.newest_first)
-    merged = upsert(read_final(spark, database, spec), latest, KEY, small_source=small)
+    keys = sized(arrived, budget)
+    latest = latest_per_key(keep_matching(recent, keys, KEY), KEY, spec.newest_first)
+    merged = upsert(read_final(spark, database, spec), latest, KEY, small_source=keys.small())
     if spec.cleanup_final:
         merged = delete_out_of_window(merged, spec.date_column, as_of, spec.days_back, spec.days_forward)
     publish(spark, database, spec, merged)

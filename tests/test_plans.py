@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks.fixtures import EVENTS, EVENTS_AS_OF, RULES, WINDOW, sources, staging
 from checks.queries import QUERIES
 from dockside.operators.filters import recent_batches
-from dockside.operators.joins import JoinBudget, fits, measured_bytes, narrow
+from dockside.operators.joins import JoinBudget, attach, narrow, sized
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_stale
 from dockside.plans import po_inbound as inb
@@ -58,18 +58,23 @@ def test_latest_keeps_one_row_per_key_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan[:shuffle] and "Partial" in plan[shuffle:]
 
 
-def test_narrowing_needs_small_keys(spark):
+def test_the_size_of_a_side_decides_its_join(spark):
     src = sources(spark, SF)
-    keys = src.pohdr.select("po")
-    assert "BroadcastHashJoin" in plan_of(narrow(src.podtl, keys, "po", fits(keys)))
-    assert narrow(src.podtl, keys, "po", fits(keys, JoinBudget(100))) is src.podtl
+    whole, keys, none = (sized(src.pohdr, JoinBudget(limit)) for limit in (10_000_000, 100_000, 1000))
+    assert (whole.small(), keys.small(), keys.small("po"), none.small("po")) == (True, False, True, False)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plans = [plan_of(attach(src.podtl, side, "po")) for side in (whole, keys, none)]
+        assert ["SortMergeJoin" in p for p in plans] == [False, True, True]
+        assert ["BroadcastHashJoin" in p for p in plans] == [True, True, False]
+    assert narrow(src.podtl, none, "po") is src.podtl
 
 
 def test_measured_size_counts_rows_and_text(spark):
-    one = measured_bytes(spark.createDataFrame([("abc", 1)], "s string, n int"))
-    two = measured_bytes(spark.createDataFrame([("abc", 1), ("abcdef", 1), (None, 2)], "s string, n int"))
-    assert two - one == 2 * (one - 3) + 6
-    assert measured_bytes(spark.createDataFrame([], "s string")) == 0
+    side = sized(spark.createDataFrame([("abc", 1), ("abcdef", 1), (None, 2), ("é", 3)], "s string, n int"))
+    assert (side.count, side.text_bytes) == (4, {"s": 11})
+    assert side.bytes_of("s", "n") - side.bytes_of("n") == 4 * 8 + 11
+    empty = sized(spark.createDataFrame([], "s string"))
+    assert (empty.count, empty.text_bytes) == (0, {"s": 0})
 
 
 def test_a_hot_order_is_split(spark):
@@ -101,3 +106,12 @@ def test_no_python_and_no_cross_join(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))
     for word in ("Python", "Pandas", "CartesianProduct", "NestedLoop"):
         assert word not in plan
+
+
+def test_a_filter_on_the_type_turns_the_outer_join_inner(spark):
+    plan = plan_of(QUERIES["fil_outer_to_inner"](spark, SF))
+    assert "Inner" in plan and "LeftOuter" not in plan
+
+
+def test_top_dates_are_not_sorted_in_full(spark):
+    assert "TakeOrderedAndProject" in plan_of(QUERIES["topk_recent_dates"](spark, SF))

@@ -38,7 +38,8 @@ def test_upsert_with_missing_keys(spark, small):
 
 
 def test_ties_are_settled_by_the_other_columns(spark):
-    rows = [("k", 1, "a", 5), ("k", 1, "b", 2), ("k", 1, None, 9), ("k", 0, "z", 9), (None, 1, "n", 0), (None, 2, "m", 0)]
+    rows = [("k", 1, "a", 5), ("k", 1, "b", 2), ("k", 1, None, 9), ("k", 0, "z", 9)]
+    rows += [(None, 1, "n", 0), (None, 2, "m", 0)]
     for order in (rows, rows[::-1]):
         frame = spark.createDataFrame(order, "k string, ts int, x string, y int").repartition(3)
         got = {tuple(r) for r in latest_per_key(frame, "k", ("ts",)).collect()}
