@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dockside.operators.filters import recent_batches
-from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, keep_matching, sized
+from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, keep_matching, once, sized
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_out_of_window
 from dockside.operators.upsert import upsert
 from dockside.plans.datasets import KEY, DatasetSpec
 from dockside.plans.refresh import coerced
+from dockside.session import scratch_tables
 from dockside.sinks.tables import (
     BATCH,
     LOAD_DAY,
@@ -44,12 +45,13 @@ def apply_arrivals(
     recent = recent_batches(read_staging(spark, database, spec, with_load_day=True), as_of, spec.recent_days, LOAD_DAY)
     recent = recent.select(*spec.schema.names)
     arrived = spark.table(staging_name(database, spec)).where(F.col(BATCH) == batch_id).select(KEY).distinct()
-    keys = sized(arrived, budget)
-    latest = latest_per_key(keep_matching(recent, keys, KEY), KEY, spec.newest_first)
-    merged = upsert(read_final(spark, database, spec), latest, KEY, small_source=keys.small())
-    if spec.cleanup_final:
-        merged = delete_out_of_window(merged, spec.date_column, as_of, spec.days_back, spec.days_forward)
-    publish(spark, database, spec, merged)
+    touched = keep_matching(recent, sized(arrived, budget), KEY)
+    with scratch_tables(spark):
+        latest = once(latest_per_key(touched, KEY, spec.newest_first), "latest", budget)
+        merged = upsert(read_final(spark, database, spec), latest.rows, KEY, small_source=latest.small(KEY))
+        if spec.cleanup_final:
+            merged = delete_out_of_window(merged, spec.date_column, as_of, spec.days_back, spec.days_forward)
+        publish(spark, database, spec, merged)
 
 
 def upsert_stream(

@@ -15,6 +15,7 @@ from dockside.operators.joins import JoinBudget, attach, narrow, sized
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_stale
 from dockside.plans import po_inbound as inb
+from dockside.session import cluster_settings, tune
 from dockside.sinks.tables import append_batch, create_tables, read_staging
 
 SF = "/root/testdata/sf0.001"
@@ -115,3 +116,14 @@ def test_a_filter_on_the_type_turns_the_outer_join_inner(spark):
 
 def test_top_dates_are_not_sorted_in_full(spark):
     assert "TakeOrderedAndProject" in plan_of(QUERIES["topk_recent_dates"](spark, SF))
+
+
+def test_cluster_sizes_grow_with_the_cores():
+    assert cluster_settings(8000)["spark.sql.shuffle.partitions"] == "64000"
+    assert cluster_settings(4)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_what_the_caller_set_stays(spark):
+    with settings(spark, spark__sql__adaptive__forceOptimizeSkewedJoin="false"):
+        tune(spark)
+        assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "false"
