@@ -1,8 +1,8 @@
 """The given tables, seen as operational tables and as load batches.
 
-The views give the raw tables the gaps the operators must handle: orders
-without a type, an item nobody knows, blank and missing managing orders,
-notices without warehouse history.
+Every view keeps all rows of its kind and gives them the gaps the operators must
+handle: orders without a type, an item filed under another number, blank and
+missing managing orders, warehouse history without a notice.
 """
 
 from __future__ import annotations
@@ -60,9 +60,10 @@ def sources(spark: SparkSession, sf_dir: str) -> SourceTables:
             F.date_add(order_day, 30).alias("datecanc"),
             F.date_sub(order_day, 5).alias("dateship"),
         ),
-        potype=orders.where(F.col("o_orderkey") % 19 != 0).select(
+        potype=orders.select(
             F.col("o_orderkey").alias("po"),
-            F.when(F.col("o_orderstatus") == "F", "P")
+            F.when(F.col("o_orderkey") % 19 == 0, None)
+            .when(F.col("o_orderstatus") == "F", "P")
             .when(F.col("o_orderstatus") == "O", "C")
             .when(F.col("o_orderstatus") == "P", "R")
             .alias("type"),
@@ -73,10 +74,8 @@ def sources(spark: SparkSession, sf_dir: str) -> SourceTables:
             units.alias("oounit"),
             F.when(F.col("l_linestatus") == "F", units).otherwise(0).alias("rcunit"),
         ),
-        skufile=table(spark, sf_dir, "part")
-        .where(F.col("p_partkey") != 49)
-        .select(
-            F.col("p_partkey").alias("sku"),
+        skufile=table(spark, sf_dir, "part").select(
+            F.when(F.col("p_partkey") == 49, -49).otherwise(F.col("p_partkey")).alias("sku"),
             F.col("p_brand").alias("style"),
             F.col("p_name").alias("skudesc1"),
             F.col("p_type").alias("ss"),
@@ -93,7 +92,7 @@ def sources(spark: SparkSession, sf_dir: str) -> SourceTables:
         ),
         asnhdr=notices,
         asndtl=shipped.select(notice.alias("asn"), item.alias("sku"), units.alias("qty")),
-        wim=notices.where(F.col("asn") % 2 == 0).select(F.col("asn").alias("genasn"), "po"),
+        wim=notices.select(F.when(F.col("asn") % 2 == 0, F.col("asn")).alias("genasn"), "po"),
     )
 
 

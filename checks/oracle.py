@@ -16,15 +16,17 @@ pohdr AS (
   FROM orders),
 potype AS (
   SELECT o_orderkey AS po,
-         CASE o_orderstatus WHEN 'F' THEN 'P' WHEN 'O' THEN 'C' WHEN 'P' THEN 'R' END AS type
-  FROM orders WHERE o_orderkey % 19 <> 0),
+         CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'P'
+              WHEN o_orderstatus = 'O' THEN 'C' WHEN o_orderstatus = 'P' THEN 'R' END AS type
+  FROM orders),
 podtl AS (
   SELECT l_orderkey AS po, l_partkey % 50 AS sku, CAST(l_quantity AS BIGINT) AS oounit,
          CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS BIGINT) ELSE 0 END AS rcunit
   FROM lineitem),
 skufile AS (
-  SELECT p_partkey AS sku, p_brand AS style, p_name AS skudesc1, p_type AS ss, p_partkey % 10 AS vend
-  FROM part WHERE p_partkey <> 49),
+  SELECT CASE WHEN p_partkey = 49 THEN -49 ELSE p_partkey END AS sku, p_brand AS style, p_name AS skudesc1,
+         p_type AS ss, p_partkey % 10 AS vend
+  FROM part),
 vendmain AS (SELECT s_suppkey AS vend, s_name AS vendname FROM supplier),
 purhst AS (
   SELECT l_orderkey AS po, l_orderkey % 25 AS str, CAST(l_shipdate AS DATE) AS datercv
@@ -39,7 +41,7 @@ asnhdr AS (
   SELECT l_orderkey * 10 + l_linenumber % 3 AS asn, l_orderkey AS po, l_orderkey % 25 AS str,
          MAX(CAST(l_shipdate AS DATE)) AS shpnotcdt
   FROM lineitem WHERE l_returnflag <> 'N' GROUP BY ALL),
-wim AS (SELECT asn AS genasn, po FROM asnhdr WHERE asn % 2 = 0),
+wim AS (SELECT CASE WHEN asn % 2 = 0 THEN asn END AS genasn, po FROM asnhdr),
 staged AS (
   SELECT CASE WHEN event_id % 31 <> 0 THEN CAST(user_id AS VARCHAR) || '_' || event_type END AS record_key,
          CASE WHEN event_id % 29 <> 0
@@ -51,7 +53,7 @@ STORES = "(2, 5, 8, 11, 14, 17, 20)"
 SPAN = "dateexp BETWEEN DATE '1997-07-01' AND DATE '1999-06-30'"
 TRACKED = f"postr IN {STORES} AND pocode IN ('O', 'D') AND {SPAN}"
 NAMED = "trim(po_man) <> ''"
-ITEM = "skufile JOIN vendmain USING (vend)"
+CELLS = ", ".join(f"COALESCE(MAX(CASE WHEN c.postr = {n} THEN c.oounit END), 0) AS s{n}" for n in range(25))
 
 PARTS = {
     "receipt": f"SELECT po, MAX(datercv) AS latest_datercv FROM purhst WHERE str IN {STORES} GROUP BY po",
@@ -109,9 +111,12 @@ PARTS = {
              JOIN potype t ON t.po = h.po
         WHERE t.type = 'C' AND h.po_man IS NOT NULL AND {NAMED} GROUP BY ALL""",
     "child": "SELECT * FROM any_child c WHERE EXISTS (SELECT 1 FROM parent p WHERE p.po_man = c.po_man)",
+    "breakout": f"""
+        SELECT c.po_man, c.ss AS ss_num, c.vendname AS vendor, c.sku AS sku_num, c.style, c.skudesc1 AS skudesc,
+               c.dateship AS ship_date, c.dateexp AS exp_date, p.parent_exp_date, p.parent_stores, {CELLS}
+        FROM child c LEFT JOIN parent_sum p ON p.po_man = c.po_man GROUP BY ALL""",
 }
 
-CELLS = ", ".join(f"COALESCE(MAX(CASE WHEN c.postr = {n} THEN c.oounit END), 0) AS s{n}" for n in range(25))
 
 # Lifecycle parts; the seed is the final table before the later batches.
 NEWEST = "ORDER BY load_date DESC, ts DESC, event_id DESC"
@@ -130,9 +135,12 @@ merged AS (
 last_batch AS (SELECT MAX(load_date) AS load_date FROM staged WHERE {KEPT})"""
 
 
+def parts_of(*parts: str) -> str:
+    return ",\n".join(f"{name} AS ({PARTS[name]})" for name in parts)
+
+
 def over_views(select: str, *parts: str) -> str:
-    extra = "".join(f",\n{name} AS ({PARTS[name]})" for name in parts)
-    return f"WITH {VIEWS.strip()}{extra}\n{select}"
+    return f"WITH {VIEWS.strip()}{',' if parts else ''}\n{parts_of(*parts)}\n{select}"
 
 
 def over_lifecycle(select: str, text_keys: bool = False) -> str:
@@ -146,6 +154,7 @@ def over_lifecycle(select: str, text_keys: bool = False) -> str:
 
 MANAGED = ("child_sum", "allocation", "managed")
 INBOUND = ("receipt", "line", "invoice", "shipment", *MANAGED, "inbound")
+BREAKOUT = ("parent", "parent_store", "parent_sum", "any_child", "child", "breakout")
 KEY_PARTS = "COALESCE({}, 'None')"
 DETAIL_SUM = "(SELECT po, sku, CAST(SUM(oounit) AS BIGINT) AS ooqty FROM podtl GROUP BY po, sku)"
 
@@ -285,16 +294,7 @@ ORACLE: dict[str, str] = {
         "unitinvc_per_sku DESC, shipped_sku DESC NULLS LAST, shipped_qty DESC) = 1",
         *INBOUND,
     ),
-    "breakout_pivot": over_views(
-        "SELECT c.po_man, c.ss AS ss_num, c.vendname AS vendor, c.sku AS sku_num, c.style, "
-        "c.skudesc1 AS skudesc, c.dateship AS ship_date, c.dateexp AS exp_date, p.parent_exp_date, "
-        f"p.parent_stores, {CELLS} FROM child c LEFT JOIN parent_sum p ON p.po_man = c.po_man GROUP BY ALL",
-        "parent",
-        "parent_store",
-        "parent_sum",
-        "any_child",
-        "child",
-    ),
+    "breakout_pivot": over_views("SELECT * FROM breakout", *BREAKOUT),
     "load_lifecycle": over_lifecycle(
         f"SELECT {COLUMNS} FROM merged WHERE {KEPT} "
         "AND NOT COALESCE(load_date < (SELECT load_date FROM last_batch), FALSE)",

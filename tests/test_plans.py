@@ -15,6 +15,7 @@ from dockside.operators.joins import JoinBudget, attach, narrow, sized
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_stale
 from dockside.plans import po_inbound as inb
+from dockside.plans.refresh import next_final
 from dockside.session import cluster_settings, tune
 from dockside.sinks.tables import append_batch, create_tables, read_staging
 
@@ -127,3 +128,12 @@ def test_what_the_caller_set_stays(spark):
     with settings(spark, spark__sql__adaptive__forceOptimizeSkewedJoin="false"):
         tune(spark)
         assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "false"
+
+
+def test_a_nightly_run_reads_the_newest_batch(spark, database):
+    create_tables(spark, database, EVENTS)
+    append_batch(spark, database, EVENTS, staging(spark, SF), "all")
+    rows = read_staging(spark, database, EVENTS, with_load_day=True)
+    plan = plan_of(next_final(rows.limit(0).select(*EVENTS.schema.names), rows, EVENTS, EVENTS_AS_OF))
+    assert plan.count("FileScan") == 1 and "(load_date#" in plan and ">= 2024-01-30)" in plan
+    assert "Join" not in plan
