@@ -11,7 +11,7 @@ import os
 import statistics
 import time
 
-from checks.queries import QUERIES
+from dockside_checks.queries import QUERIES
 from dockside.session import local_session
 
 HEADLINE = (

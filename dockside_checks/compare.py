@@ -1,4 +1,4 @@
-"""Run queries and their SQL side by side: ``python -m checks.compare [sf_dir] [names...]``."""
+"""Run queries and their SQL side by side: ``python -m dockside_checks.compare [sf_dir] [names...]``."""
 
 from __future__ import annotations
 
@@ -9,8 +9,8 @@ import duckdb
 import pandas as pd
 from pyspark.sql import SparkSession
 
-from checks.oracle import ORACLE
-from checks.queries import QUERIES
+from dockside_checks.oracle import ORACLE
+from dockside_checks.queries import QUERIES
 from dockside.session import local_session
 
 TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events")

@@ -224,7 +224,11 @@ ORACLE: dict[str, str] = {
         f"SELECT c.po_man, c.sku, c.dateexp, {CELLS} FROM any_child c GROUP BY 1, 2, 3", "any_child"
     ),
     "agg_child_qty": over_views("SELECT * FROM child", "parent", "any_child", "child"),
-    "agg_daily_counts": over_views("SELECT load_date AS date, COUNT(*) AS records FROM staged GROUP BY 1"),
+    "agg_daily_counts": over_views(
+        "SELECT 'total' AS counted, CAST(NULL AS DATE) AS date, COUNT(*) AS records FROM staged "
+        "UNION ALL SELECT 'business date', business_date, COUNT(*) FROM staged GROUP BY ALL "
+        "UNION ALL SELECT 'load date', load_date, COUNT(*) FROM staged GROUP BY ALL"
+    ),
     "win_latest_per_key": over_lifecycle(f"SELECT {COLUMNS} FROM newest"),
     "sort_po_output": over_views("SELECT * FROM inbound ORDER BY po, sku, shipnotice_date NULLS LAST", *INBOUND),
     "topk_recent_dates": over_views(

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import (
+from dockside_checks.fixtures import (
     EVENTS,
     EVENTS_AS_OF,
     ORDERS_AS_OF,
@@ -189,6 +190,16 @@ def agg_pivot_store(src: SourceTables) -> DataFrame:
     return br.store_pivot(rows, [F.col("po_man"), F.col("sku"), F.col("dateexp")], RULES)
 
 
+def agg_daily_counts(rows: DataFrame) -> DataFrame:
+    """All rows, rows per business date and rows per load date."""
+    whole = reports.total_rows(rows).select(F.lit(None).cast("date").alias("date"), F.col("total").alias("records"))
+    due = reports.rows_per_day(rows, F.col("business_date"))
+    loaded = reports.rows_per_day(rows, utc_day(F.col("load_timestamp")))
+    parts = {"total": whole, "business date": due, "load date": loaded}
+    named = [part.withColumn("counted", F.lit(name)) for name, part in parts.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
 # --- scalar functions --------------------------------------------------------
 
 
@@ -380,7 +391,7 @@ QUERIES: dict[str, Query] = {
     "agg_listagg_ordered": over_sources(agg_listagg_ordered),
     "agg_pivot_store": over_sources(agg_pivot_store),
     "agg_child_qty": over_sources(agg_child_qty),
-    "agg_daily_counts": over_staging(lambda rows: reports.rows_per_day(rows, utc_day(F.col("load_timestamp")))),
+    "agg_daily_counts": over_staging(agg_daily_counts),
     "win_latest_per_key": over_staging(lambda rows: shown(newest(recent(rows)))),
     "sort_po_output": over_sources(lambda src: inb.po_inbound_sorted(src, WINDOW, RULES)),
     "topk_recent_dates": over_staging(lambda rows: reports.newest_days(rows, F.col("business_date"))),

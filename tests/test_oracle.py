@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
-from checks.compare import database, same
+from dockside_checks.compare import database, same
 
 SF = "/root/testdata/sf0.001"
 

@@ -8,8 +8,8 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from checks.fixtures import EVENTS, EVENTS_AS_OF, RULES, WINDOW, sources, staging
-from checks.queries import QUERIES
+from dockside_checks.fixtures import EVENTS, EVENTS_AS_OF, RULES, WINDOW, sources, staging
+from dockside_checks.queries import QUERIES
 from dockside.operators.filters import recent_batches
 from dockside.operators.joins import JoinBudget, attach, narrow, sized
 from dockside.operators.latest import latest_per_key

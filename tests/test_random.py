@@ -9,9 +9,9 @@ import duckdb
 import pytest
 from conftest import SCHEMAS
 
-from checks.compare import canonical
-from checks.fixtures import RULES, WINDOW
-from checks.oracle import BREAKOUT, INBOUND, parts_of
+from dockside_checks.compare import canonical
+from dockside_checks.fixtures import RULES, WINDOW
+from dockside_checks.oracle import BREAKOUT, INBOUND, parts_of
 from dockside.operators.joins import JoinBudget
 from dockside.plans.breakout import breakout
 from dockside.plans.po_inbound import po_inbound
