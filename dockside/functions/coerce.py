@@ -16,7 +16,8 @@ FIRST_DAY = "1677-09-22"
 LAST_DAY = "2262-04-11"
 
 # Java's parser takes suffixes ("12d") and hex floats; plain decimals only here.
-DECIMAL_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Infinity counts as a number, so it fails the load like any other misfit.
+DECIMAL_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 
 
 def to_integer(value: Column, kind: T.DataType | None = None, label: str = "value") -> Column:

@@ -12,7 +12,7 @@ from dockside.functions.coerce import to_day, to_integer, to_text
 from dockside.operators.filters import recent_batches
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_out_of_window
-from dockside.operators.upsert import upsert
+from dockside.operators.upsert import upsert_newest
 from dockside.plans.datasets import KEY, STAMP, DatasetSpec, with_key
 from dockside.sinks.tables import (
     LOAD_DAY,
@@ -70,8 +70,7 @@ def next_final(final: DataFrame, staging: DataFrame, spec: DatasetSpec, as_of: d
     recent = recent_batches(staging, as_of, spec.recent_days, LOAD_DAY)
     newest = newest_stamp(staging, spec, as_of) if spec.cleanup_stale else None
     if newest is None:
-        latest = latest_per_key(recent.select(*spec.schema.names), KEY, spec.newest_first)
-        return in_time(upsert(in_time(final), latest, KEY))
+        return in_time(upsert_newest(in_time(final), recent, KEY, spec.newest_first))
 
     stamp = F.timestamp_micros(F.lit(newest))
     newest_day = datetime.fromtimestamp(newest // 1_000_000, timezone.utc).date()

@@ -69,7 +69,7 @@ def test_integers_from_numbers(spark):
     assert values(spark, "decimal(10,2)", [None], to_integer) == [0]
 
 
-@pytest.mark.parametrize("text", ["12.7", "1e30", "-0.5"])
+@pytest.mark.parametrize("text", ["12.7", "1e30", "-0.5", "inf", "-Infinity"])
 def test_a_number_that_would_change_fails(spark, text):
     with pytest.raises(PySparkException, match="not a whole number"):
         values(spark, "string", [text], to_integer)

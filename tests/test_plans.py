@@ -14,6 +14,7 @@ from dockside.operators.filters import recent_batches
 from dockside.operators.joins import JoinBudget, attach, narrow, sized
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_stale
+from dockside.operators.upsert import upsert
 from dockside.plans import po_inbound as inb
 from dockside.plans.refresh import next_final
 from dockside.session import cluster_settings, tune
@@ -137,3 +138,11 @@ def test_a_nightly_run_reads_the_newest_batch(spark, database):
     plan = plan_of(next_final(rows.limit(0).select(*EVENTS.schema.names), rows, EVENTS, EVENTS_AS_OF))
     assert plan.count("FileScan") == 1 and "(load_date#" in plan and ">= 2024-01-30)" in plan
     assert "Join" not in plan
+
+
+def test_rows_without_a_key_are_spread(spark):
+    rows = staging(spark, SF).drop("load_date")
+    plan = plan_of(upsert(rows, rows, "record_key"))
+    assert plan.count("Exchange hashpartitioning(record_key") == 2 and plan.count(", _spread#") >= 4
+    hashed = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert all("_spread#" in line for line in hashed)

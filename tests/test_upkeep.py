@@ -10,7 +10,7 @@ from dockside.operators.filters import recent_batches
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_out_of_window, delete_stale
 from dockside.operators.reports import in_order, newest_days, rows_per_day, total_rows
-from dockside.operators.upsert import upsert
+from dockside.operators.upsert import upsert, upsert_newest
 from pyspark.sql import functions as F
 
 TODAY = date(2024, 1, 30)
@@ -37,6 +37,20 @@ def test_upsert_with_missing_keys(spark, small):
     assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
 
 
+def test_upsert_of_the_newest_rows(spark):
+    old = spark.createDataFrame(
+        [("a", 9, "T"), ("b", 9, "T"), (None, 1, "T"), (None, 1, "T")], "k string, t int, v string"
+    )
+    new = spark.createDataFrame(
+        [("b", 1, "S1"), ("b", 2, "S2"), ("c", 1, "S"), (None, 1, "S1"), (None, 2, "S2")], "k string, t int, v string"
+    )
+    expected = [("a", "T"), ("b", "S2"), ("c", "S"), (None, "T"), (None, "T"), (None, "S2")]
+    got = [(r["k"], r["v"]) for r in upsert_newest(old, new, "k", ("t",)).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+    two_steps = upsert(old, latest_per_key(new, "k", ("t",)), "k").collect()
+    assert sorted(got, key=str) == sorted([(r["k"], r["v"]) for r in two_steps], key=str)
+
+
 def test_ties_are_settled_by_the_other_columns(spark):
     rows = [("k", 1, "a", 5), ("k", 1, "b", 2), ("k", 1, None, 9), ("k", 0, "z", 9)]
     rows += [(None, 1, "n", 0), (None, 2, "m", 0)]
