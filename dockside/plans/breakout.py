@@ -29,7 +29,7 @@ def parent_orders(
     """Tracked orders of the parent type that name a managing order."""
     headers = tracked_headers(src.pohdr, window, rules).where(non_blank(F.col("po_man")))
     typed = typed_headers(headers, src.potype, (rules.parent_type,)).select(*PARENT_COLUMNS)
-    return with_details(once(typed, "parents", budget), src.podtl)
+    return with_details(once(typed, "parents", "po", budget=budget), src.podtl)
 
 
 def store_list(stores: DataFrame, group: str, store: str, name: str) -> DataFrame:
@@ -115,10 +115,11 @@ def breakout(
     parent columns, before any detail row is touched.
     """
     summary, known_items = side_by_side(
-        lambda: once(parent_summary(parent_orders(src, window, rules, budget)), "summary", budget),
-        lambda: sized(items(src.child_sku, src.vendmain), budget),
+        lambda: once(parent_summary(parent_orders(src, window, rules, budget)), "summary", budget=budget),
+        lambda: sized(items(src.child_sku, src.vendmain), budget=budget),
     )
-    children = once(attach(child_headers(src.pohdr, src.potype, rules), summary, "po_man"), "children", budget)
+    tied = attach(child_headers(src.pohdr, src.potype, rules), summary, "po_man")
+    children = once(tied, "children", "po", budget=budget)
     carried = ("parent_exp_date", "parent_stores")
     quantities = child_quantities(children, src.child_dtl, known_items, carried)
     grain = [

@@ -20,7 +20,17 @@ from pyspark.sql import functions as F
 from dockside.functions.dates import DateWindow
 from dockside.functions.keys import strict_key
 from dockside.operators.filters import listed, non_blank, within
-from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, Sized, attach, keep_matching, narrow, once, sized
+from dockside.operators.joins import (
+    DEFAULT_BUDGET,
+    JoinBudget,
+    Sized,
+    attach,
+    in_reach,
+    keep_matching,
+    narrow,
+    once,
+    sized,
+)
 from dockside.operators.latest import latest_per_key
 from dockside.operators.reports import in_order
 from dockside.rules import MISSING_TYPE, OrderRules
@@ -175,7 +185,7 @@ def used_sums(facts: DataFrame, users: list[Sized], on: str, label: str) -> Data
     """Facts that any user joins by ``on``, summed per ``on`` and item, for all users at once."""
     keys = reduce(DataFrame.union, [user.rows.select(on) for user in users]).distinct()
     sums = [F.sum(c).alias(c) for c in facts.columns if c not in (on, "sku")]
-    return written(facts.join(keys, on, "left_semi").groupBy(on, "sku").agg(*sums), label)
+    return written(in_reach(facts, on, *users).join(keys, on, "left_semi").groupBy(on, "sku").agg(*sums), label)
 
 
 def or_zero(quantity: str | Column) -> Column:
@@ -189,19 +199,22 @@ def po_inbound(
     budget: JoinBudget = DEFAULT_BUDGET,
 ) -> DataFrame:
     """The inbound view; call ``in_order`` on it for a sorted listing."""
-    orders = once(tracked_orders(src, window, rules), "orders", budget)
+    orders = once(tracked_orders(src, window, rules), "orders", "po", budget=budget)
 
     # Headers managed together with tracked orders, and the notices that the
     # warehouse ties to them.
     def family_and_repeats() -> tuple[Sized, Sized]:
-        family = once(keep_matching(family_headers(src.family_hdr), orders, "po_man"), "family", budget)
-        return family, once(notice_repeats(src.wim, family), "repeats", budget)
+        managed = keep_matching(family_headers(src.family_hdr), orders, "po_man")
+        family = once(managed, "family", "po", budget=budget)
+        return family, once(notice_repeats(src.wim, family), "repeats", "asn", budget=budget)
 
     # Notices of tracked orders.
     noticed = keep_matching(tracked_notices(src.asnhdr, rules), orders, "po")
     known = items(src.skufile, src.vendmain).join(item_copies(src.skufile), "sku")
     (family, repeats), notices, known_items = side_by_side(
-        family_and_repeats, lambda: once(noticed, "notices", budget), lambda: sized(known, budget)
+        family_and_repeats,
+        lambda: once(noticed, "notices", "asn", budget=budget),
+        lambda: sized(known, budget=budget),
     )
 
     details, notice_details = src.podtl, src.asndtl

@@ -45,9 +45,9 @@ def apply_arrivals(
     recent = recent_batches(read_staging(spark, database, spec, with_load_day=True), as_of, spec.recent_days, LOAD_DAY)
     recent = recent.select(*spec.schema.names)
     arrived = spark.table(staging_name(database, spec)).where(F.col(BATCH) == batch_id).select(KEY).distinct()
-    touched = keep_matching(recent, sized(arrived, budget), KEY)
+    touched = keep_matching(recent, sized(arrived, budget=budget), KEY)
     with scratch_tables(spark):
-        latest = once(latest_per_key(touched, KEY, spec.newest_first), "latest", budget)
+        latest = once(latest_per_key(touched, KEY, spec.newest_first), "latest", budget=budget)
         merged = upsert(read_final(spark, database, spec), latest.rows, KEY, small_source=latest.small(KEY))
         if spec.cleanup_final:
             merged = delete_out_of_window(merged, spec.date_column, as_of, spec.days_back, spec.days_forward)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dockside_checks.fixtures import EVENTS, EVENTS_AS_OF, RULES, WINDOW, sources, staging
 from dockside_checks.queries import QUERIES
 from dockside.operators.filters import recent_batches
-from dockside.operators.joins import JoinBudget, attach, narrow, sized
+from dockside.operators.joins import JoinBudget, attach, in_reach, keep_matching, narrow, sized
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_stale
 from dockside.operators.upsert import upsert
@@ -63,7 +63,7 @@ def test_latest_keeps_one_row_per_key_before_the_shuffle(spark):
 
 def test_the_size_of_a_side_decides_its_join(spark):
     src = sources(spark, SF)
-    whole, keys, none = (sized(src.pohdr, JoinBudget(limit)) for limit in (10_000_000, 100_000, 1000))
+    whole, keys, none = (sized(src.pohdr, budget=JoinBudget(limit)) for limit in (10_000_000, 100_000, 1000))
     assert (whole.small(), keys.small(), keys.small("po"), none.small("po")) == (True, False, True, False)
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         plans = [plan_of(attach(src.podtl, side, "po")) for side in (whole, keys, none)]
@@ -72,6 +72,20 @@ def test_the_size_of_a_side_decides_its_join(spark):
     assert narrow(src.podtl, none, "po") is src.podtl
 
 
+def test_the_range_of_the_keys_reaches_the_scan(spark):
+    src = sources(spark, SF)
+    for limit in (10_000_000, 0):
+        side = sized(src.pohdr.where("po BETWEEN 100 AND 120"), "po", budget=JoinBudget(limit))
+        for join in (attach, narrow, keep_matching):
+            plan = plan_of(join(src.podtl, side, "po"))
+            assert "GreaterThanOrEqual(l_orderkey,100)" in plan and "LessThanOrEqual(l_orderkey,120)" in plan
+    empty = sized(src.pohdr.limit(0), "po")
+    assert "FileScan" not in plan_of(in_reach(src.podtl, "po", empty))
+    assert in_reach(src.podtl, "po", sized(src.pohdr)) is src.podtl
+    both = in_reach(src.podtl, "po", empty, side)
+    assert "GreaterThanOrEqual(l_orderkey,100)" in plan_of(both)
+
+
 def test_measured_size_counts_rows_and_text(spark):
     side = sized(spark.createDataFrame([("abc", 1), ("abcdef", 1), (None, 2), ("é", 3)], "s string, n int"))
     assert (side.count, side.text_bytes) == (4, {"s": 11})
