@@ -79,9 +79,10 @@ def only_touched_partitions(spark: SparkSession):
 def append_batch(spark: SparkSession, database: str, spec: DatasetSpec, rows: DataFrame, batch_id: str) -> int:
     """Write one stamped batch to staging; returns its row count, counted on the way."""
     seen = Observation()
+    unstamped = F.raise_error(F.lit("a staged row needs a load time")).cast("date")
     stamped = (
         rows.select(*spec.schema.names)
-        .withColumn(LOAD_DAY, utc_day(F.col(STAMP)))
+        .withColumn(LOAD_DAY, F.coalesce(utc_day(F.col(STAMP)), unstamped))
         .withColumn(BATCH, F.lit(batch_id))
         .observe(seen, F.count(F.lit(1)).alias("rows"))
     )

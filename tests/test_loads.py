@@ -88,6 +88,14 @@ def test_a_repeated_batch_replaces_itself(spark, database):
     assert staged_count(spark, database) == 4
 
 
+def test_rows_without_a_load_time_are_refused(spark, database):
+    create_tables(spark, database, SPEC)
+    rows = spark.createDataFrame([("a", TODAY, 1, NOW), ("b", TODAY, 1, None)], SPEC.schema)
+    with pytest.raises(PySparkException, match="needs a load time"):
+        append_batch(spark, database, SPEC, rows, "one")
+    assert staged_count(spark, database) == 0
+
+
 def test_publishing_keeps_one_state_back(spark, database):
     create_tables(spark, database, SPEC)
     names = [publish(spark, database, SPEC, prepared(batch(spark, ("a", 0, n)), SPEC, NOW)) for n in range(3)]
