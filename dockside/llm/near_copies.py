@@ -10,8 +10,8 @@ and so is a class with fewer shared pairs than the threshold.
 A posting list first links its members to one of them, in one row per member.
 Where confirmed links already join a whole list, it is skipped; otherwise
 members of different components are paired.  Every link is confirmed on the
-full sets.  At 0.8 similarity a pair stays below the threshold (7 of 20) with a
-probability of 2 in a million.
+full sets.  At 0.8 similarity a pair stays below the threshold (19 of 40) with a
+probability of one in a million.
 """
 
 from __future__ import annotations
@@ -40,8 +40,8 @@ class Likeness:
 
     words: int = 5
     percent: int = 80
-    coordinates: int = 20
-    matches: int = 7
+    coordinates: int = 40
+    matches: int = 19
 
 
 class Shingler:
@@ -64,9 +64,13 @@ def set_digest(shingles: np.ndarray) -> bytes:
 
 
 def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
-    """Per coordinate the least value of its hash over the set."""
-    seeds = mixed(np.arange(1, coordinates + 1, dtype=np.uint64) * STEP)
-    return np.array([mixed(shingles ^ seed).min() for seed in seeds], dtype=np.uint64)
+    """Per coordinate the least value of its hash over the set.
+
+    The shingles are scattered already, so multiplying by an odd number of the
+    coordinate's own gives an order of its own.
+    """
+    factors = mixed(np.arange(1, coordinates + 1, dtype=np.uint64) * STEP) | np.uint64(1)
+    return np.array([(shingles * factor).min() for factor in factors], dtype=np.uint64)
 
 
 def signed(documents: DataFrame, how: Likeness) -> DataFrame:
@@ -98,35 +102,33 @@ def keyed(documents: DataFrame) -> DataFrame:
 
 
 def shared_coordinates(classes: DataFrame, how: Likeness) -> DataFrame:
-    """(post, cls, n_shingles): each class under the prefix of its shared coordinates."""
-    every = classes.select("cls", "n_shingles", F.posexplode("sig").alias("at", "value"))
-    every = every.select("cls", "n_shingles", F.xxhash64("at", "value").alias("post"))
+    """(post, id, n_shingles): each class under the prefix of its shared coordinates."""
+    every = classes.select("id", F.col("n_shingles").cast("int").alias("n_shingles"), F.posexplode("sig").alias("at", "value"))
+    every = every.select("id", "n_shingles", F.xxhash64("at", "value").alias("post"))
     often = every.groupBy("post").agg(F.count("*").alias("holders")).where(F.col("holders") > 1)
     shared = every.join(often, "post")
-    ordered = shared.groupBy("cls", "n_shingles").agg(
+    ordered = shared.groupBy("id", "n_shingles").agg(
         F.array_sort(F.collect_list(F.struct("holders", "post"))).alias("posts")  # one per coordinate at most
     )
     prefix = F.slice("posts", 1, F.size("posts") - how.matches + 1)
     return (
         ordered.where(F.size("posts") >= how.matches)
-        .select("cls", "n_shingles", F.explode(prefix).alias("p"))
-        .select("p.post", "cls", "n_shingles")
+        .select("id", "n_shingles", F.explode(prefix).alias("p"))
+        .select("p.post", "id", "n_shingles")
     )
 
 
-def alike(pairs: DataFrame, classes: DataFrame, sets: DataFrame, how: Likeness) -> DataFrame:
+def alike(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, how: Likeness) -> DataFrame:
     """The distinct ``pairs`` (a, b) that enough coordinates and then the full sets confirm."""
-    own = classes.select("cls", "sig")
     equal = F.size(F.filter(F.arrays_zip("sig_a", "sig_b"), lambda s: s["sig_a"] == s["sig_b"]))
     likely = (
-        pairs.distinct()
-        .join(own.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a")
-        .join(own.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b")
+        pairs.join(signatures.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
+        .join(signatures.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
         .where(equal >= how.matches)
         .select("a", "b")
     )
-    both = likely.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("set_a")), "a").join(
-        sets.select(F.col("cls").alias("b"), F.col("shingles").alias("set_b")), "b"
+    both = likely.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a").join(
+        sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b"
     )
     common = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - common
@@ -134,16 +136,17 @@ def alike(pairs: DataFrame, classes: DataFrame, sets: DataFrame, how: Likeness)
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame, how: Likeness) -> DataFrame:
-    """(cls, shingles) of the classes in ``wanted`` (row_key), from their representatives' texts."""
+    """(id, shingles) of the classes in ``wanted`` (id), from one text each."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(how.words)
         for batch in batches:
-            found = [shingler.shingles(text) for text in batch["text"]]
-            yield pd.DataFrame({"cls": [set_digest(s) for s in found], "shingles": [s.view(np.int64) for s in found]})
+            found = [shingler.shingles(text).view(np.int64) for text in batch["text"]]
+            yield pd.DataFrame({"id": batch["id"], "shingles": found})
 
-    texts = keyed(documents).join(wanted, "row_key", "left_semi").dropDuplicates(["row_key"]).select("text")
-    return settled(texts.mapInPandas(sets, "cls binary, shingles array<bigint>"), "sets")
+    texts = keyed(documents).withColumnRenamed("row_key", "id").join(wanted, "id", "left_semi")
+    one = texts.groupBy("id").agg(F.first("text").alias("text"))
+    return settled(one.mapInPandas(sets, "id bigint, shingles array<bigint>"), "sets")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -186,7 +189,7 @@ def near_copy_groups(documents: DataFrame, how: Likeness = Likeness()) -> DataFr
         rows.where(F.col("cls").isNotNull())
         .groupBy("cls")
         .agg(
-            F.min("row_key").alias("row_key"),
+            F.min("row_key").alias("id"),
             F.min("doc_id").alias("least_id"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("sig").alias("sig"),
@@ -195,24 +198,26 @@ def near_copy_groups(documents: DataFrame, how: Likeness = Likeness()) -> DataFr
     )
     posts = settled(shared_coordinates(classes, how), "posts")
     # Lists link their members to one member first: a row each, whatever their length.
-    heads = posts.groupBy("post").agg(F.min_by("cls", F.xxhash64("cls", "post")).alias("head"), F.count("*").alias("members"))
-    heads = heads.where(F.col("members") > 1)
-    stars = posts.join(heads, "post").where(F.col("cls") != F.col("head"))
-    tried = settled(stars.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).distinct(), "tried")
-    involved = posts.join(heads, "post", "left_semi").select("cls").distinct()
-    wanted = classes.join(involved, "cls", "left_semi")
-    signatures = settled(wanted.select("cls", "sig", "row_key"), "signatures")
-    sets = full_sets(documents, signatures.select("row_key"), how)
+    heads = posts.groupBy("post").agg(F.min_by("id", F.xxhash64("id", "post")).alias("head"), F.count("*").alias("members"))
+    heads = settled(heads.where(F.col("members") > 1), "heads")
+    stars = posts.join(heads, "post").where(F.col("id") != F.col("head"))
+    tried = settled(stars.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct(), "tried")
+    involved = posts.join(heads, "post", "left_semi").select("id").distinct()
+    signatures = settled(classes.join(involved, "id", "left_semi").select("id", "sig"), "signatures")
+    sets = full_sets(documents, signatures.select("id"), how)
     links = settled(alike(tried, signatures, sets, how), "stars")
     grouped = components(links)
     # What is left: members of one list in different components.
-    member = posts.join(heads.select("post"), "post").join(
-        grouped.select(F.col("node").alias("cls"), "root"), "cls", "left"
-    ).withColumn("root", F.coalesce("root", "cls"))
-    mixed_lists = member.groupBy("post").agg(F.min("root").alias("one"), F.max("root").alias("other"))
-    open_ = settled(member.join(mixed_lists.where(F.col("one") != F.col("other")).select("post"), "post"), "open")
-    one = open_.select("post", F.col("cls").alias("x"), F.col("root").alias("root_x"), F.col("n_shingles").alias("n_x"))
-    two = open_.select("post", F.col("cls").alias("y"), F.col("root").alias("root_y"), F.col("n_shingles").alias("n_y"))
+    member = (
+        posts.join(heads.select("post"), "post")
+        .join(grouped.withColumnRenamed("node", "id"), "id", "left")
+        .withColumn("root", F.coalesce("root", "id"))
+    )
+    split_lists = member.groupBy("post").agg(F.min("root").alias("one"), F.max("root").alias("other"))
+    split_lists = split_lists.where(F.col("one") != F.col("other")).select("post")
+    open_ = settled(member.join(split_lists, "post"), "open")
+    one = open_.select("post", F.col("id").alias("x"), F.col("root").alias("root_x"), F.col("n_shingles").alias("n_x"))
+    two = open_.select("post", F.col("id").alias("y"), F.col("root").alias("root_y"), F.col("n_shingles").alias("n_y"))
     sizes = (100 * F.col("n_x") >= how.percent * F.col("n_y")) & (100 * F.col("n_y") >= how.percent * F.col("n_x"))
     crossing = one.join(two, "post").where((F.col("root_x") < F.col("root_y")) & sizes)
     crossing = crossing.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -220,8 +225,8 @@ def near_copy_groups(documents: DataFrame, how: Likeness = Likeness()) -> DataFr
     more = settled(alike(crossing, signatures, sets, how), "more")
     if not more.isEmpty():
         grouped = components(links.unionByName(more))
-    ids = classes.select("cls", "least_id").join(grouped.select(F.col("node").alias("cls"), "root"), "cls", "left")
-    ids = ids.withColumn("root", F.coalesce("root", "cls"))
+    ids = classes.select("cls", "id", "least_id").join(grouped.withColumnRenamed("node", "id"), "id", "left")
+    ids = ids.withColumn("root", F.coalesce("root", "id"))
     least = ids.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = settled(ids.join(least, "root").select("cls", "component_id"), "named")
     return (
