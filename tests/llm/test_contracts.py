@@ -247,12 +247,18 @@ def test_quality_rules(request, which):
 
 def test_frequent_lines_go(spark):
     """A line in most documents of one host goes there only; near copies are no evidence."""
-    body = [" ".join(f"d{i}x{n}" for n in range(60)) for i in range(100)]
+
+    def words(kind, i, many):
+        letters = "abcdefghij"
+        spelled = ["".join(letters[int(c)] for c in f"{i}{n:03d}") for n in range(many)]
+        return " ".join(kind + word for word in spelled)
+
+    body = [words("d", i, 60) for i in range(100)]
     banner = "Subscribe to  our Newsletter 1"
     rows = [(i, f"{body[i]}\n{banner if i % 2 else banner.upper()}", "a") for i in range(80)]
     rows += [(100 + i, f"{body[i]}\n{banner}", "b") for i in range(10)]
-    rows += [(200 + i, "\n".join([banner] * 12 + [" ".join(f"s{i}x{n}" for n in range(5))]), "a") for i in range(40)]
-    copied = "\n".join(" ".join(f"c{k}x{n}" for n in range(30)) for k in range(8))
+    rows += [(200 + i, "\n".join([banner] * 12 + [words("s", i, 5)]), "a") for i in range(40)]
+    copied = "\n".join(words("c", k, 30) for k in range(8))
     rows += [(300 + i, copied, "a") for i in range(60)]
     documents = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
     found = {r["doc_id"]: r["__rules"] for r in quality_rules.line_rules(documents).collect()}
