@@ -9,7 +9,8 @@ and so is a class with fewer shared pairs than the threshold.
 
 A posting list first links its members to one of them, in one row per member.
 Where confirmed links already join a whole list, it is skipped; otherwise
-members of different components are paired.  Every link is confirmed on the
+members of different components are paired where they share one of their rarest
+shingles, which all alike sets do.  Every link is confirmed on the
 full sets.  At 0.8 similarity a pair stays below the threshold (19 of 40) with a
 probability of one in a million.
 """
@@ -135,6 +136,28 @@ def alike(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, how: Likenes
     return both.where(100 * common >= how.percent * union).select("a", "b")
 
 
+def rare_shingles(members: DataFrame, sets: DataFrame, how: Likeness) -> DataFrame:
+    """(shingle, id, root, n_shingles): each member under the rarest shingles of its set.
+
+    Two sets that are alike share one among the rarest ``n - least common + 1``
+    of each, whatever the order, so pairs by these lose no link.  A passage that
+    many texts share is not among them unless it is nearly all of a text.
+    """
+    each = members.join(sets, "id").select("id", "root", "n_shingles", F.explode("shingles").alias("shingle"))
+    each = settled(each, "shingles")
+    often = each.groupBy("shingle").agg(F.count("*").alias("holders")).where(F.col("holders") > 1)
+    shared = each.join(often, "shingle")
+    # Shingles of one member only come first; they need no list.
+    ordered = shared.groupBy("id", "root", "n_shingles").agg(
+        F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("all")
+    )
+    alone = F.col("n_shingles") - F.size("all")
+    length = F.col("n_shingles") - F.ceil(F.col("n_shingles") * how.percent / 100) + 1 - alone
+    chosen = ordered.withColumn("length", length.cast("int")).where(F.col("length") > 0)
+    listed = chosen.select("id", "root", "n_shingles", F.explode(F.slice("all", F.lit(1), F.col("length"))).alias("s"))
+    return listed.select(F.col("s.shingle").alias("shingle"), "id", "root", "n_shingles")
+
+
 def full_sets(documents: DataFrame, wanted: DataFrame, how: Likeness) -> DataFrame:
     """(id, shingles) of the classes in ``wanted`` (id), from one text each."""
 
@@ -215,11 +238,12 @@ def near_copy_groups(documents: DataFrame, how: Likeness = Likeness()) -> DataFr
     )
     split_lists = member.groupBy("post").agg(F.min("root").alias("one"), F.max("root").alias("other"))
     split_lists = split_lists.where(F.col("one") != F.col("other")).select("post")
-    open_ = settled(member.join(split_lists, "post"), "open")
-    one = open_.select("post", F.col("id").alias("x"), F.col("root").alias("root_x"), F.col("n_shingles").alias("n_x"))
-    two = open_.select("post", F.col("id").alias("y"), F.col("root").alias("root_y"), F.col("n_shingles").alias("n_y"))
+    open_ = settled(member.join(split_lists, "post").select("id", "root", "n_shingles").distinct(), "open")
+    rare = rare_shingles(open_, sets, how)
+    one = rare.select("shingle", F.col("id").alias("x"), F.col("root").alias("root_x"), F.col("n_shingles").alias("n_x"))
+    two = rare.select("shingle", F.col("id").alias("y"), F.col("root").alias("root_y"), F.col("n_shingles").alias("n_y"))
     sizes = (100 * F.col("n_x") >= how.percent * F.col("n_y")) & (100 * F.col("n_y") >= how.percent * F.col("n_x"))
-    crossing = one.join(two, "post").where((F.col("root_x") < F.col("root_y")) & sizes)
+    crossing = one.join(two, "shingle").where((F.col("root_x") < F.col("root_y")) & sizes)
     crossing = crossing.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     crossing = settled(crossing.join(tried, ["a", "b"], "left_anti"), "crossing")
     more = settled(alike(crossing, signatures, sets, how), "more")
