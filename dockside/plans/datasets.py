@@ -96,6 +96,13 @@ def with_key(rows: DataFrame, spec: DatasetSpec) -> DataFrame:
     return rows.withColumn(KEY, spec.record_key())
 
 
+def with_missing_keys(rows: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Make the record key of each row that came without one."""
+    if KEY not in rows.columns or spec.record_key is None:
+        return with_key(rows, spec)
+    return rows.withColumn(KEY, F.coalesce(F.nullif(F.col(KEY), F.lit("")), spec.record_key()))
+
+
 def extract(spec: DatasetSpec, src: SourceTables, window: DateWindow) -> DataFrame:
     """The dataset's query for the window, keyed."""
     return with_key(spec.query(src, window), spec)

@@ -50,8 +50,11 @@ def typed_headers(headers: DataFrame, types: DataFrame, wanted: tuple) -> DataFr
 
 
 def with_child_types(headers: DataFrame, types: DataFrame, rules: OrderRules) -> DataFrame:
-    """Headers and how often each is typed as a child order; one row per header."""
-    counted = types.groupBy("po").agg(F.count_if(F.col("type") == rules.child_type).alias("child_types"))
+    """Headers and how often each is typed as a child order, and otherwise; one row per header."""
+    child = F.col("type") == rules.child_type
+    counted = types.groupBy("po").agg(
+        F.count_if(child).alias("child_types"), F.count_if(~F.coalesce(child, F.lit(False))).alias("other_types")
+    )
     return headers.join(counted, "po", "left")
 
 
@@ -140,8 +143,13 @@ def known_only(sums: DataFrame, copies: Sized | DataFrame, *quantities: str) ->
 
 
 def child_units(family: Sized | DataFrame, details: DataFrame) -> DataFrame:
-    """Units on child orders per managing order and item; other types count 0."""
-    units = F.when(F.col("child_types") > 0, F.col("oounit") * F.col("child_types")).otherwise(0)
+    """Units on child orders per managing order and item; other types count 0.
+
+    Each other type adds its 0 to the sum, also where the units are missing.
+    """
+    ordered = F.col("oounit") * F.col("child_types")
+    ordered = F.when(F.col("other_types") > 0, F.coalesce(ordered, F.lit(0))).otherwise(ordered)
+    units = F.when(F.col("child_types") > 0, ordered).otherwise(0)
     return attach(details, family, "po").groupBy("po_man", "sku").agg(F.sum(units).alias("ooqty"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,9 @@ from dockside.sinks.tables import (
 )
 
 
+log = logging.getLogger(__name__)
+
+
 def coerced(rows: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Every declared column that is present, in its declared type."""
     given = {f.name: f.dataType for f in rows.schema.fields}
@@ -92,9 +96,13 @@ def load_batch(
     as_of: date | str,
     stamp: datetime,
     use_merge: bool = True,
+    notes: dict[str, str] | None = None,
 ) -> int:
     """Append a batch and bring the final table up to date; returns rows loaded.
 
+    The new state is live before staging is trimmed; with ``notes``, a failure of
+    the trim is noted there under "cleanup" and the load stands.
+
     An empty batch leaves both tables as they are.  Without ``use_merge`` only
     staging grows.
     """
@@ -104,5 +112,11 @@ def load_batch(
         staging = read_staging(spark, database, spec, with_load_day=True)
         publish(spark, database, spec, next_final(read_final(spark, database, spec), staging, spec, as_of))
         if spec.cleanup_staging:
-            trim_staging(spark, database, spec, as_of)
+            try:
+                trim_staging(spark, database, spec, as_of)
+            except Exception as problem:
+                if notes is None:
+                    raise
+                log.exception("staging of %s was not trimmed", spec.name)
+                notes["cleanup"] = f"failed: {problem}"
     return loaded

@@ -69,12 +69,13 @@ def run(
     }
     for name in chosen:
         spec = specs[name]
+        notes: dict[str, str] = {}
         try:
             with scratch_tables(spark):
                 rows = spec.sample(spark, day) if samples else extract(spec, src, window)
-                loaded = load_batch(spark, database, spec, rows, day, loaded_at, use_merge)
+                loaded = load_batch(spark, database, spec, rows, day, loaded_at, use_merge, notes)
             if loaded:
-                outcome = {"status": "success", "rows_fetched": loaded, "rows_loaded": loaded}
+                outcome = {"status": "success", "rows_fetched": loaded, "rows_loaded": loaded, **notes}
             else:
                 outcome = {"status": "no_data", "message": f"no {name} rows in the date range"}
         except Exception as problem:

@@ -91,16 +91,21 @@ def append_batch(spark: SparkSession, database: str, spec: DatasetSpec, rows: Da
     return seen.get["rows"]
 
 
-def trim_staging(spark: SparkSession, database: str, spec: DatasetSpec, as_of: date | str) -> None:
+def trim_staging(
+    spark: SparkSession, database: str, spec: DatasetSpec, as_of: date | str, settled_days: int | None = None
+) -> None:
     """Delete staged rows outside the retention window.
 
     Only partitions that hold such rows are rewritten; one left without rows is
-    dropped.  The list brought to the driver names partitions, one per batch.
+    dropped.  The list brought to the driver names partitions, one per batch;
+    with ``settled_days`` only those loaded more than so many days before
+    ``as_of`` are looked at.
     """
     name = staging_name(database, spec)
     stays = inside_window(F.col(spec.date_column), as_of)
+    rows = spark.table(name)
     touched = (
-        spark.table(name)
+        (rows if settled_days is None else rows.where(F.col(LOAD_DAY) < F.date_sub(F.lit(as_of).cast("date"), settled_days)))
         .groupBy(LOAD_DAY, BATCH)
         .agg(F.count_if(stays).alias("stay"), F.count_if(~stays).alias("go"))
         .where(F.col("go") > 0)

@@ -10,23 +10,23 @@ from pyspark.sql import types as T
 from dockside.functions.dates import as_day
 from dockside.schemas import BREAKOUT_SCHEMA, INBOUND_SCHEMA
 
-# Column by column in table order, dates as days from ``as_of``.
+# Invented rows, column by column in table order, dates as days from ``as_of``.
 INBOUND_ROWS = (
-    ("110", "VENDOR1", "SS1", "P", "O", "PO001", "PM001", "SKU001", "STY001", "Description 1",
-     0, 30, 100, 50, 10, 40, 25, "SKU001", 45, -1, -2),
-    ("114", "VENDOR2", "SS2", "R", "D", "PO002", "PM002", "SKU002", "STY002", "Description 2",
-     1, 30, 200, 100, 20, 80, 30, "SKU002", 95, -1, -2),
-    ("614", "VENDOR3", "SS3", "P", "O", "PO003", "PM003", "SKU003", "STY003", "Description 3",
-     2, 30, 150, 75, 15, 60, 35, "SKU003", 70, -1, -2),
+    ("22", "Alder Mills", "lamps", "P", "O", "A-7001", "A-7000", "lamp-05", "brass", "Desk lamp",
+     3, 21, 64, 16, 4, 48, 8, "lamp-05", 12, -4, -3),
+    ("110", "Birch & Co", "rugs", "R", "O", "B-7010", "B-7000", "rug-11", "woven", "Hall rug",
+     5, 18, 90, 0, 9, 81, 0, "rug-11", 30, -6, -5),
+    ("116", "Cedar Works", "chairs", "P", "D", "C-7020", "C-7000", "chair-2", "bent", "Side chair",
+     8, 40, 24, 24, 0, 0, 24, "chair-2", 24, -2, -1),
 )
 
-# The same for the breakout; stores not named hold 0.
+# The same for the breakout; stores not named hold 0.
 BREAKOUT_ROWS = (
-    ("PM001", "SS1", "VENDOR1", "SKU001", "STY001", "Child Desc 1", -5, 0, 0, "110, 114"),
-    ("PM002", "SS2", "VENDOR2", "SKU002", "STY002", "Child Desc 2", -5, 1, 1, "110, 614"),
-    ("PM003", "SS3", "VENDOR3", "SKU003", "STY003", "Child Desc 3", -5, 2, 2, "116"),
+    ("A-7000", "lamps", "Alder Mills", "lamp-05", "brass", "Desk lamp", -3, 3, 3, "22, 110"),
+    ("B-7000", "rugs", "Birch & Co", "rug-11", "woven", "Hall rug", -7, 5, 5, "110"),
+    ("C-7000", "chairs", "Cedar Works", "chair-2", "bent", "Side chair", -2, 8, 8, "116, 614"),
 )
-BREAKOUT_UNITS = ({"SD": 50, "FFC": 75}, {"SD": 100, "FFC_WEB": 125}, {"IP": 150})
+BREAKOUT_UNITS = ({"SD": 32, "IP": 16}, {"FFC": 45}, {"FFC_WEB": 12, "SD": 6})
 
 
 def sample_frame(spark: SparkSession, schema: T.StructType, rows: list[dict], as_of: date | str) -> DataFrame:

@@ -14,7 +14,7 @@ from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, keep_matching,
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_out_of_window
 from dockside.operators.upsert import upsert
-from dockside.plans.datasets import KEY, DatasetSpec
+from dockside.plans.datasets import KEY, DatasetSpec, with_missing_keys
 from dockside.plans.refresh import coerced
 from dockside.session import scratch_tables
 from dockside.sinks.tables import (
@@ -26,6 +26,7 @@ from dockside.sinks.tables import (
     read_final,
     read_staging,
     staging_name,
+    trim_staging,
 )
 
 
@@ -36,11 +37,13 @@ def apply_arrivals(
 
     Those keys take their newest row over all recent staging, so a late batch
     never overwrites a newer row.  A replay of the same micro-batch rewrites the
-    same staging partitions and ends in the same state.  Stale removal expects
-    complete batches and is left out.
+    same staging partitions and ends in the same state.  Rows without a key get
+    the dataset's own.  Staged rows outside the retention window go once their
+    batch is no longer recent; until then they still win over late batches.
+    Stale removal expects complete batches and is left out.
     """
     spark = rows.sparkSession
-    if not append_batch(spark, database, spec, coerced(rows, spec), batch_id):
+    if not append_batch(spark, database, spec, with_missing_keys(coerced(rows, spec), spec), batch_id):
         return
     recent = recent_batches(read_staging(spark, database, spec, with_load_day=True), as_of, spec.recent_days, LOAD_DAY)
     recent = recent.select(*spec.schema.names)
@@ -52,6 +55,8 @@ def apply_arrivals(
         if spec.cleanup_final:
             merged = delete_out_of_window(merged, spec.date_column, as_of, spec.days_back, spec.days_forward)
         publish(spark, database, spec, merged)
+    if spec.cleanup_staging:
+        trim_staging(spark, database, spec, as_of, spec.recent_days)
 
 
 def upsert_stream(

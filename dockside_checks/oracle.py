@@ -299,6 +299,7 @@ ORACLE: dict[str, str] = {
         *INBOUND,
     ),
     "breakout_pivot": over_views("SELECT * FROM breakout", *BREAKOUT),
+    "sort_breakout_output": over_views("SELECT * FROM breakout", *BREAKOUT),
     "load_lifecycle": over_lifecycle(
         f"SELECT {COLUMNS} FROM merged WHERE {KEPT} "
         "AND NOT COALESCE(load_date < (SELECT load_date FROM last_batch), FALSE)",

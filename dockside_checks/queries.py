@@ -409,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "po_inbound": over_sources(lambda src: inb.po_inbound(src, WINDOW, RULES)),
     "po_inbound_dedup": over_sources(lambda src: inb.po_inbound_dedup(src, WINDOW, RULES)),
     "breakout_pivot": over_sources(lambda src: br.breakout(src, WINDOW, RULES)),
+    "sort_breakout_output": over_sources(lambda src: br.breakout_sorted(src, WINDOW, RULES)),
     "load_lifecycle": load_lifecycle,
     "str_incremental_upsert": str_incremental_upsert,
 }

@@ -206,9 +206,9 @@ def test_sample_run(spark, database):
     assert report["status"] == "success" and report["start_date"] == "2023-12-31" and report["end_date"] == "2024-03-30"
     assert {n: r["rows_loaded"] for n, r in report["results"].items()} == {"po": 3, "breakout": 3}
     keys = [r["record_key"] for r in read_final(spark, database, breakout_spec()).orderBy("record_key").collect()]
-    assert keys == ["PM001_SKU001_20240130", "PM002_SKU002_20240131", "PM003_SKU003_20240201"]
+    assert keys == ["A-7000_lamp-05_20240202", "B-7000_rug-11_20240204", "C-7000_chair-2_20240207"]
     first = read_final(spark, database, breakout_spec()).orderBy("record_key").first()
-    assert (first["SD"], first["FFC"], first["IP_WEB"], first["parent_stores"]) == (50, 75, 0, "110, 114")
+    assert (first["SD"], first["FFC"], first["IP_WEB"], first["parent_stores"]) == (32, 0, 0, "22, 110")
 
 
 def test_run_over_sources(spark, database, tables):
