@@ -10,8 +10,8 @@ and so is a class with fewer shared pairs than the threshold.
 A posting list first links its members to one of them, in one row per member.
 Where confirmed links already join a whole list, it is skipped; otherwise
 members of different components are paired where they share one of their rarest
-shingles, which all alike sets do.  Every link is confirmed on the
-full sets.  At 0.8 similarity a pair stays below the threshold (19 of 40) with a
+shingles, which all alike sets do, and the places of that shingle in both orders
+leave room for enough common ones.  Every link is confirmed on the full sets.  At 0.8 similarity a pair stays below the threshold (19 of 40) with a
 probability of one in a million.
 """
 
@@ -137,11 +137,12 @@ def alike(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, how: Likenes
 
 
 def rare_shingles(members: DataFrame, sets: DataFrame, how: Likeness) -> DataFrame:
-    """(shingle, id, root, n_shingles): each member under the rarest shingles of its set.
+    """(shingle, place, id, root, n_shingles): each member under the rarest shingles of its set.
 
-    Two sets that are alike share one among the rarest ``n - least common + 1``
-    of each, whatever the order, so pairs by these lose no link.  A passage that
-    many texts share is not among them unless it is nearly all of a text.
+    ``place`` counts from 1 in the order of rarity.  Two sets that are alike share
+    one among the rarest ``n - least common + 1`` of each, whatever the order, so
+    pairs by these lose no link.  A passage that many texts share is not among
+    them unless it is nearly all of a text.
     """
     each = members.join(sets, "id").select("id", "root", "n_shingles", F.explode("shingles").alias("shingle"))
     each = settled(each, "shingles")
@@ -153,9 +154,34 @@ def rare_shingles(members: DataFrame, sets: DataFrame, how: Likeness) -> DataFra
     )
     alone = F.col("n_shingles") - F.size("all")
     length = F.col("n_shingles") - F.ceil(F.col("n_shingles") * how.percent / 100) + 1 - alone
-    chosen = ordered.withColumn("length", length.cast("int")).where(F.col("length") > 0)
-    listed = chosen.select("id", "root", "n_shingles", F.explode(F.slice("all", F.lit(1), F.col("length"))).alias("s"))
-    return listed.select(F.col("s.shingle").alias("shingle"), "id", "root", "n_shingles")
+    chosen = ordered.select("id", "root", "n_shingles", "all", alone.alias("alone"), length.cast("int").alias("length"))
+    chosen = chosen.where(F.col("length") > 0)
+    listed = chosen.select(
+        "id", "root", "n_shingles", "alone", F.posexplode(F.slice("all", F.lit(1), F.col("length"))).alias("at", "s")
+    )
+    return listed.select(
+        F.col("s.shingle").alias("shingle"), (F.col("alone") + F.col("at") + 1).alias("place"), "id", "root", "n_shingles"
+    )
+
+
+def crossing_pairs(rare: DataFrame, how: Likeness) -> DataFrame:
+    """The distinct pairs (a, b) of different roots that may be alike, from ``rare_shingles``.
+
+    Sets of n and m shingles are alike from ``percent * (n + m) / (100 + percent)``
+    common ones on.  All of them stand at or behind the first one in both orders,
+    so its places bound their number.  That also shortens the smaller set's list.
+    """
+    total = 100 + how.percent
+    larger = rare.select("shingle", *[F.col(c).alias(f"{c}_x") for c in ("place", "id", "root", "n_shingles")])
+    smaller = rare.select("shingle", *[F.col(c).alias(f"{c}_y") for c in ("place", "id", "root", "n_shingles")])
+    smaller = smaller.where(total * (F.col("n_shingles_y") - F.col("place_y") + 1) >= 2 * how.percent * F.col("n_shingles_y"))
+    n, m = F.col("n_shingles_x"), F.col("n_shingles_y")
+    ordered = (m < n) | ((m == n) & (F.col("id_y") < F.col("id_x")))
+    behind = F.least(n - F.col("place_x"), m - F.col("place_y")) + 1
+    found = larger.join(smaller, "shingle").where(
+        (F.col("root_x") != F.col("root_y")) & ordered & (100 * m >= how.percent * n) & (total * behind >= how.percent * (n + m))
+    )
+    return found.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame, how: Likeness) -> DataFrame:
@@ -240,12 +266,7 @@ def near_copy_groups(documents: DataFrame, how: Likeness = Likeness()) -> DataFr
     split_lists = split_lists.where(F.col("one") != F.col("other")).select("post")
     open_ = settled(member.join(split_lists, "post").select("id", "root", "n_shingles").distinct(), "open")
     rare = rare_shingles(open_, sets, how)
-    one = rare.select("shingle", F.col("id").alias("x"), F.col("root").alias("root_x"), F.col("n_shingles").alias("n_x"))
-    two = rare.select("shingle", F.col("id").alias("y"), F.col("root").alias("root_y"), F.col("n_shingles").alias("n_y"))
-    sizes = (100 * F.col("n_x") >= how.percent * F.col("n_y")) & (100 * F.col("n_y") >= how.percent * F.col("n_x"))
-    crossing = one.join(two, "shingle").where((F.col("root_x") < F.col("root_y")) & sizes)
-    crossing = crossing.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    crossing = settled(crossing.join(tried, ["a", "b"], "left_anti"), "crossing")
+    crossing = settled(crossing_pairs(rare, how).join(tried, ["a", "b"], "left_anti"), "crossing")
     more = settled(alike(crossing, signatures, sets, how), "more")
     if not more.isEmpty():
         grouped = components(links.unionByName(more))
