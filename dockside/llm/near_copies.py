@@ -11,7 +11,7 @@ A posting list first links its members to one of them, in one row per member.
 Where confirmed links already join a whole list, it is skipped; otherwise
 members of different components are paired where they share one of their rarest
 shingles, which all alike sets do, and the places of that shingle in both orders
-leave room for enough common ones.  Every link is confirmed on the full sets.  At 0.8 similarity a pair stays below the threshold (19 of 40) with a
+and the parities of both sets leave room for enough common ones.  Every link is confirmed on the full sets.  At 0.8 similarity a pair stays below the threshold (19 of 40) with a
 probability of one in a million.
 """
 
@@ -60,6 +60,21 @@ class Shingler:
         return np.unique(windows(self.hashes.array(words), min(self.words, len(words))))
 
 
+#: Length of a set's marks in 64-bit integers.
+MARK_LONGS = 8
+
+
+def parity_marks(shingles: np.ndarray) -> np.ndarray:
+    """One bit per slot of hashes: whether an odd number of shingles falls into it.
+
+    Each bit in which two sets differ stands for a shingle that only one of them
+    holds, so the number of such bits bounds their common shingles from above.
+    """
+    slots = MARK_LONGS * 64
+    counts = np.bincount((mixed(shingles) % np.uint64(slots)).astype(np.int64), minlength=slots)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def set_digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
@@ -137,14 +152,14 @@ def alike(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, how: Likenes
 
 
 def rare_shingles(members: DataFrame, sets: DataFrame, how: Likeness) -> DataFrame:
-    """(shingle, place, id, root, n_shingles): each member under the rarest shingles of its set.
+    """(shingle, place, id, root, n_shingles, marks): each member under the rarest shingles of its set.
 
     ``place`` counts from 1 in the order of rarity.  Two sets that are alike share
     one among the rarest ``n - least common + 1`` of each, whatever the order, so
     pairs by these lose no link.  A passage that many texts share is not among
     them unless it is nearly all of a text.
     """
-    each = members.join(sets, "id").select("id", "root", "n_shingles", F.explode("shingles").alias("shingle"))
+    each = members.join(sets.select("id", "shingles"), "id").select("id", "root", "n_shingles", F.explode("shingles").alias("shingle"))
     each = settled(each, "shingles")
     often = each.groupBy("shingle").agg(F.count("*").alias("holders")).where(F.col("holders") > 1)
     shared = each.join(often, "shingle")
@@ -156,11 +171,16 @@ def rare_shingles(members: DataFrame, sets: DataFrame, how: Likeness) -> DataFra
     length = F.col("n_shingles") - F.ceil(F.col("n_shingles") * how.percent / 100) + 1 - alone
     chosen = ordered.select("id", "root", "n_shingles", "all", alone.alias("alone"), length.cast("int").alias("length"))
     chosen = chosen.where(F.col("length") > 0)
-    listed = chosen.select(
-        "id", "root", "n_shingles", "alone", F.posexplode(F.slice("all", F.lit(1), F.col("length"))).alias("at", "s")
+    listed = chosen.join(sets.select("id", "marks"), "id").select(
+        "id", "root", "n_shingles", "marks", "alone", F.posexplode(F.slice("all", F.lit(1), F.col("length"))).alias("at", "s")
     )
     return listed.select(
-        F.col("s.shingle").alias("shingle"), (F.col("alone") + F.col("at") + 1).alias("place"), "id", "root", "n_shingles"
+        F.col("s.shingle").alias("shingle"),
+        (F.col("alone") + F.col("at") + 1).alias("place"),
+        "id",
+        "root",
+        "n_shingles",
+        "marks",
     )
 
 
@@ -170,32 +190,36 @@ def crossing_pairs(rare: DataFrame, how: Likeness) -> DataFrame:
     Sets of n and m shingles are alike from ``percent * (n + m) / (100 + percent)``
     common ones on.  All of them stand at or behind the first one in both orders,
     so its places bound their number.  That also shortens the smaller set's list.
+    So do the bits in which their marks differ: no pair that is alike is left out.
     """
     total = 100 + how.percent
-    larger = rare.select("shingle", *[F.col(c).alias(f"{c}_x") for c in ("place", "id", "root", "n_shingles")])
-    smaller = rare.select("shingle", *[F.col(c).alias(f"{c}_y") for c in ("place", "id", "root", "n_shingles")])
+    kept = ("place", "id", "root", "n_shingles", "marks")
+    larger = rare.select("shingle", *[F.col(c).alias(f"{c}_x") for c in kept])
+    smaller = rare.select("shingle", *[F.col(c).alias(f"{c}_y") for c in kept])
     smaller = smaller.where(total * (F.col("n_shingles_y") - F.col("place_y") + 1) >= 2 * how.percent * F.col("n_shingles_y"))
     n, m = F.col("n_shingles_x"), F.col("n_shingles_y")
     ordered = (m < n) | ((m == n) & (F.col("id_y") < F.col("id_x")))
     behind = F.least(n - F.col("place_x"), m - F.col("place_y")) + 1
-    found = larger.join(smaller, "shingle").where(
-        (F.col("root_x") != F.col("root_y")) & ordered & (100 * m >= how.percent * n) & (total * behind >= how.percent * (n + m))
-    )
+    differ = sum((F.bit_count(F.col("marks_x")[i].bitwiseXOR(F.col("marks_y")[i])) for i in range(MARK_LONGS)), F.lit(0))
+    near = (100 * m >= how.percent * n) & (total * behind >= how.percent * (n + m))
+    near = near & (total * (n + m - differ) >= 2 * how.percent * (n + m))
+    found = larger.join(smaller, "shingle").where((F.col("root_x") != F.col("root_y")) & ordered & near)
     return found.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame, how: Likeness) -> DataFrame:
-    """(id, shingles) of the classes in ``wanted`` (id), from one text each."""
+    """(id, shingles, marks) of the classes in ``wanted`` (id), from one text each."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(how.words)
         for batch in batches:
-            found = [shingler.shingles(text).view(np.int64) for text in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "shingles": found})
+            found = [shingler.shingles(text) for text in batch["text"]]
+            marks = [parity_marks(s) for s in found]
+            yield pd.DataFrame({"id": batch["id"], "shingles": [s.view(np.int64) for s in found], "marks": marks})
 
     texts = keyed(documents).withColumnRenamed("row_key", "id").join(wanted, "id", "left_semi")
     one = texts.groupBy("id").agg(F.first("text").alias("text"))
-    return settled(one.mapInPandas(sets, "id bigint, shingles array<bigint>"), "sets")
+    return settled(one.mapInPandas(sets, "id bigint, shingles array<bigint>, marks array<bigint>"), "sets")
 
 
 def components(links: DataFrame) -> DataFrame:

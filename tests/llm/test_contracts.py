@@ -163,6 +163,26 @@ def test_large_group_of_near_copies(spark):
     assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in found} == {(i, *w) for i, w in wanted.items()}
 
 
+def test_pairs_by_rare_shingles_lose_no_link(spark):
+    """Texts around a shared passage, from far below to above the limit: all links are among the pairs."""
+    draw = np.random.default_rng(5)
+    how = near_copies.Likeness(words=4)
+    shingler = near_copies.Shingler(how.words)
+    passage = [f"p{i}" for i in range(100)]
+    texts = [passage[: 100 - k % 9] + [f"own{k}-{i}" for i in range(draw.integers(0, 30))] for k in range(80)]
+    texts += [[w if draw.random() > 0.01 * (k % 6) else f"new{k}-{i}" for i, w in enumerate(texts[k])] for k in range(80)]
+    sets = {k: shingler.shingles(" ".join(t)) for k, t in enumerate(texts)}
+    rows = [(k, s.view(np.int64).tolist(), near_copies.parity_marks(s).tolist()) for k, s in sets.items()]
+    frame = spark.createDataFrame(rows, "id bigint, shingles array<bigint>, marks array<bigint>")
+    members = frame.select("id", F.col("id").alias("root"), F.size("shingles").alias("n_shingles"))
+    pairs = near_copies.crossing_pairs(near_copies.rare_shingles(members, frame, how), how)
+    found = {(r["a"], r["b"]) for r in pairs.collect()}
+    common = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a in sets for b in sets if a < b}
+    linked = {(a, b) for (a, b), c in common.items() if 100 * c >= 80 * (len(sets[a]) + len(sets[b]) - c)}
+    assert linked and linked <= found
+    assert len(found) < len(common) / 4
+
+
 @pytest.mark.parametrize("which", ["small", "odd"])
 def test_token_counts(request, spark, which):
     documents = request.getfixturevalue(which)
