@@ -18,6 +18,7 @@ per worker and remembered.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -35,8 +36,11 @@ BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 PAIR_MERGES = 2
 
-#: Words and pairs remembered per worker; a full memory starts anew.
-KEPT_WORDS = 300_000
+#: In a path, a character without a piece; and the end of the shorter pieces.
+BARE, NO_MORE = -1, -2
+
+#: Words and pairs remembered per worker; a full memory of pairs starts anew.
+KEPT_WORDS = 400_000
 KEPT_PAIRS = 500_000
 
 
@@ -63,6 +67,25 @@ def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         yield tag >> 3, value
 
 
+class Paths(dict[str, bytes]):
+    """Ids of the words met of late; of two halves of the memory the older one is dropped."""
+
+    def __init__(self, machine: Transducer):
+        self.machine = machine
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        path = self.older.get(word)
+        if path is None:
+            ids = self.machine.shortest(word)
+            path = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self) >= KEPT_WORDS // 2:
+            self.older = dict(self)
+            self.clear()
+        self[word] = path
+        return path
+
+
 class Transducer:
     def __init__(self, path: str):
         with open(path, "rb") as file:
@@ -91,92 +114,120 @@ class Transducer:
                 self.score[text] = float(np.frombuffer(parts[2], "<f4")[0])
             elif kind in (USER_DEFINED, UNUSED):
                 raise ValueError("user-defined and unused pieces are not compiled")
-        self.value = {number: byte for byte, number in self.bytes.items()}
+        self.raw = [b"" if kind == CONTROL else text.encode() for text, kind in zip(self.texts, self.kinds)]
+        for byte, number in self.bytes.items():
+            self.raw[number] = bytes([byte])
         self.unknown = self.kinds.index(UNKNOWN)
-        self.longest = max(map(len, self.number))
-        blank_inside = any(BLANK in text.lstrip(BLANK) for text in self.number)
-        self.words = re.compile("(?s).+" if blank_inside else f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-        self.paths: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        #: The longest piece that each beginning of a piece holds in front.
+        self.beginnings: dict[str, int] = {}
+        for text in sorted(self.number, key=len):
+            for end in range(1, len(text) + 1):
+                front = text[:end]
+                self.beginnings[front] = self.number.get(front, self.beginnings.get(front[:-1], BARE))
+        #: The next shorter piece in front of each piece, and its length; the last entries are those of ``BARE``.
+        self.lengths = [*map(len, self.texts), 1]
+        self.shorter = [self.beginnings.get(text[:-1], NO_MORE) for text in self.texts] + [NO_MORE]
+        if not set("".join(self.number)) <= set(self.number):
+            raise ValueError("only models in which every character of a piece is a piece are compiled")
+        #: Where no piece spans a cut, no merge does; letters may be cut from the rest in most models.
+        odd = re.escape("".join(c for c in self.number if re.fullmatch("[^\\W\\d_]", c) and not c.isalpha()))
+        letter, other = f"[^\\W\\d_{odd}]", f"(?:(?!{BLANK})[\\W\\d_{odd}])"
+        cuts = (f"{BLANK}*(?:{letter}+|{other}+)|{BLANK}+", f"{BLANK}*[^{BLANK}]+|{BLANK}+", "(?s).+")
+        self.words = next(re.compile(c) for c in cuts if all(re.fullmatch(c, t) and len(re.findall(c, t)) == 1 for t in self.number))
+        self.paths = Paths(self)
+        self.pairs: dict[int, bool] = {}
 
     def normalised(self, text: str) -> str:
         return ((" " if self.dummy_prefix and text else "") + text).replace(" ", BLANK)
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merges leave of a short text, best score first, then leftmost."""
-        parts = list(text)
+        parts, score = list(text), self.score.get
         while True:
-            best = max(
-                ((self.score[parts[i] + parts[i + 1]], -i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in self.score),
-                default=None,
-            )
+            best, at = None, -1
+            for i in range(len(parts) - 1):
+                value = score(parts[i] + parts[i + 1])
+                if value is not None and (best is None or value > best):
+                    best, at = value, i
             if best is None:
                 return parts
-            i = -best[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def neighbours(self, left: str, right: str) -> bool:
+    def neighbours(self, left: int, right: int) -> bool:
         """Whether merging leaves the two pieces apart; that arc is free, any other infinite."""
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs = {}
-            found = self.pairs[left, right] = self.merged(left + right) == [left, right]
+        if len(self.pairs) >= KEPT_PAIRS:
+            self.pairs.clear()
+        two = [self.texts[left], self.texts[right]]
+        found = self.pairs[left << 32 | right] = self.merged("".join(two)) == two
         return found
 
-    def arcs(self, piece: str) -> list[int]:
-        """Output of an arc: the piece, or the bytes of a character without one."""
-        number = self.number.get(piece)
-        if number is not None:
-            return [number]
-        raw = piece.encode("utf-8", "replace")
-        return [self.bytes[b] for b in raw] if len(self.bytes) == 256 else [self.unknown]
+    def fallback(self, char: str) -> list[int]:
+        """Output for a character without a piece."""
+        if len(self.bytes) < 256:
+            return [self.unknown]
+        return [self.bytes[b] for b in char.encode("utf-8", "replace")]
+
+    def longest(self, word: str, at: int) -> int:
+        """The longest piece that starts there, or ``BARE``."""
+        beginnings, size = self.beginnings, len(word)
+        number, end = BARE, at + 1
+        while end <= size:
+            longer = beginnings.get(word[at:end])
+            if longer is None:
+                break
+            number, end = longer, end + 1
+        return number
 
     def shortest(self, word: str) -> list[int]:
-        """Composition with one word: states are places, each with the piece that ends there."""
-        last: list[str | None] = [""] + [None] * len(word)
-        start = [0] * (len(word) + 1)
-        known = self.number
-        for end in range(1, len(word) + 1):
-            for begin in range(max(0, end - self.longest), end):
-                before = last[begin]
-                piece = word[begin:end]
-                if before is None or (piece not in known and end - begin > 1):
-                    continue
-                if not begin or self.neighbours(before, piece):
-                    last[end], start[end] = piece, begin
+        """Composition with one word, depth first over the free arcs, long ones first.
+
+        States are places, each with the piece that ends there; a character without
+        one joins nothing.  The pieces that merging leaves of a beginning are the
+        only free path to its end, so a place that was left once is not tried again.
+        """
+        shorter, lengths, pairs, size = self.shorter, self.lengths, self.pairs, len(word)
+        path: list[int] = []
+        tried = bytearray(size + 1)
+        at, before, number = 0, BARE, self.longest(word, 0)
+        while True:
+            while number != NO_MORE:
+                end = at + lengths[number]
+                if not tried[end]:
+                    if number == BARE or before == BARE:
+                        break
+                    free = pairs.get(before << 32 | number)
+                    if self.neighbours(before, number) if free is None else free:
+                        break
+                number = shorter[number]
+            if number != NO_MORE:
+                path.append(number)
+                if end == size:
                     break
-        if last[-1] is None:
-            return [n for piece in self.merged(word) for n in self.arcs(piece)]
-        path, end = [], len(word)
-        while end:
-            path.append(last[end])
-            end = start[end]
-        return [n for piece in reversed(path) for n in self.arcs(piece)]
+                tried[end] = 1
+                at, before, number = end, number, self.longest(word, end)
+            elif path:
+                number = path.pop()
+                at -= lengths[number]
+                before, number = path[-1] if path else BARE, shorter[number]
+            else:
+                path = [self.number.get(piece, BARE) for piece in self.merged(word)]
+                break
+        if min(path) != BARE:
+            return path
+        out, at = [], 0
+        for number in path:
+            out += [number] if number != BARE else self.fallback(word[at])
+            at += lengths[number]
+        return out
 
     def encode(self, text: str) -> np.ndarray:
         parts = self.words.findall(self.normalised(text))
-        for word in parts:
-            if word not in self.paths:
-                if len(self.paths) >= KEPT_WORDS:
-                    self.paths = {w: self.paths[w] for w in parts if w in self.paths}
-                self.paths[word] = np.array(self.shortest(word), dtype="<u4").tobytes()
-        return np.frombuffer(b"".join([self.paths[w] for w in parts]), dtype="<u4")
+        return np.frombuffer(b"".join(map(self.paths.__getitem__, parts)), dtype="<u4")
 
     def decode(self, ids: np.ndarray) -> str:
         """The machines run backwards: pieces and bytes to text, without the blank in front."""
-        out, raw = [], bytearray()
-        for number in ids.tolist():
-            if number in self.value:
-                raw.append(self.value[number])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            if self.kinds[number] != CONTROL:
-                out.append(self.texts[number])
-        out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(BLANK, " ")
+        raw = b"".join(map(self.raw.__getitem__, ids.tolist()))
+        text = raw.decode("utf-8", "replace").replace(BLANK, " ")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
