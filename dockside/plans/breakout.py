@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dockside.functions.dates import DateWindow
 from dockside.operators.filters import non_blank
-from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, Sized, attach, narrow, once, sized
+from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, Sized, attach, narrow, once
 from dockside.operators.reports import in_order
 from dockside.plans.po_inbound import items, tracked_headers, typed_headers
 from dockside.rules import OrderRules
@@ -28,7 +28,8 @@ def parent_orders(
 ) -> DataFrame:
     """Tracked orders of the parent type that name a managing order."""
     headers = tracked_headers(src.pohdr, window, rules).where(non_blank(F.col("po_man")))
-    typed = typed_headers(headers, src.potype, (rules.parent_type,)).select(*PARENT_COLUMNS)
+    named = once(headers, "named", "po", budget=budget)
+    typed = typed_headers(named, src.potype, (rules.parent_type,)).select(*PARENT_COLUMNS)
     return with_details(once(typed, "parents", "po", budget=budget), src.podtl)
 
 
@@ -55,10 +56,17 @@ def parent_summary(parents: DataFrame) -> DataFrame:
     )
 
 
+CHILD_COLUMNS = ("po", "po_man", "postr", "dateship", "dateexp")
+
+
+def managed_headers(headers: DataFrame) -> DataFrame:
+    """Orders that name a managing order; no date limit."""
+    return headers.where(non_blank(F.col("po_man"))).select(*CHILD_COLUMNS)
+
+
 def child_headers(headers: DataFrame, types: DataFrame, rules: OrderRules) -> DataFrame:
-    """Child orders that name a managing order; no date limit."""
-    named = headers.where(non_blank(F.col("po_man")))
-    return typed_headers(named, types, (rules.child_type,)).select("po", "po_man", "postr", "dateship", "dateexp")
+    """Child orders that name a managing order."""
+    return typed_headers(managed_headers(headers), types, (rules.child_type,)).select(*CHILD_COLUMNS)
 
 
 CHILD_GRAIN = ("po_man", "po", "postr", "ss", "vendname", "sku", "style", "skudesc1", "dateship", "dateexp")
@@ -116,11 +124,13 @@ def breakout(
     """
     summary, known_items = side_by_side(
         lambda: once(parent_summary(parent_orders(src, window, rules, budget)), "summary", budget=budget),
-        lambda: sized(items(src.child_sku, src.vendmain), budget=budget),
+        lambda: once(items(src.child_sku, src.vendmain), "items", budget=budget),
     )
-    tied = attach(child_headers(src.pohdr, src.potype, rules), summary, "po_man")
-    children = once(tied, "children", "po", budget=budget)
     carried = ("parent_exp_date", "parent_stores")
+    # Headers meet the summary before their types: few of all times' headers have a tracked parent.
+    tied = once(attach(managed_headers(src.pohdr), summary, "po_man"), "tied", "po", budget=budget)
+    typed = typed_headers(tied, src.potype, (rules.child_type,)).select(*CHILD_COLUMNS, *carried)
+    children = once(typed, "children", "po", budget=budget)
     quantities = child_quantities(children, src.child_dtl, known_items, carried)
     grain = [
         F.col("po_man"),

@@ -29,7 +29,6 @@ from dockside.operators.joins import (
     keep_matching,
     narrow,
     once,
-    sized,
 )
 from dockside.operators.latest import latest_per_key
 from dockside.operators.reports import in_order
@@ -40,13 +39,14 @@ from dockside.sources.inputs import SourceTables
 INBOUND_ORDER = ("shipnotice_date", "latest_datercv", "rcvdqty", "ooqty")
 
 
-def typed_headers(headers: DataFrame, types: DataFrame, wanted: tuple) -> DataFrame:
+def typed_headers(headers: Sized | DataFrame, types: DataFrame, wanted: tuple) -> DataFrame:
     """Headers with their type, limited to the wanted types.
 
-    The limit rejects headers without a type, hence a plain inner join.
+    The limit rejects headers without a type, hence a plain inner join.  Where
+    the headers are measured, types of other orders are dropped as they are read.
     """
     limited = types.where(listed(F.col("type"), wanted))
-    return headers.join(limited, "po").withColumn("type", F.coalesce("type", F.lit(MISSING_TYPE)))
+    return attach(limited, headers, "po").withColumn("type", F.coalesce("type", F.lit(MISSING_TYPE)))
 
 
 def with_child_types(headers: DataFrame, types: DataFrame, rules: OrderRules) -> DataFrame:
@@ -65,8 +65,12 @@ def tracked_headers(headers: DataFrame, window: DateWindow, rules: OrderRules) -
     )
 
 
-def tracked_orders(src: SourceTables, window: DateWindow, rules: OrderRules) -> DataFrame:
-    return typed_headers(tracked_headers(src.pohdr, window, rules), src.potype, rules.inbound_types)
+def tracked_orders(
+    src: SourceTables, window: DateWindow, rules: OrderRules, budget: JoinBudget = DEFAULT_BUDGET
+) -> DataFrame:
+    """Tracked headers of the inbound types; headers of the window are few next to all types."""
+    headers = once(tracked_headers(src.pohdr, window, rules), "headers", "po", budget=budget)
+    return typed_headers(headers, src.potype, rules.inbound_types)
 
 
 def items(skufile: DataFrame, vendmain: DataFrame) -> DataFrame:
@@ -207,7 +211,7 @@ def po_inbound(
     budget: JoinBudget = DEFAULT_BUDGET,
 ) -> DataFrame:
     """The inbound view; call ``in_order`` on it for a sorted listing."""
-    orders = once(tracked_orders(src, window, rules), "orders", "po", budget=budget)
+    orders = once(tracked_orders(src, window, rules, budget), "orders", "po", budget=budget)
 
     # Headers managed together with tracked orders, and the notices that the
     # warehouse ties to them.
@@ -222,7 +226,7 @@ def po_inbound(
     (family, repeats), notices, known_items = side_by_side(
         family_and_repeats,
         lambda: once(noticed, "notices", "asn", budget=budget),
-        lambda: sized(known, budget=budget),
+        lambda: once(known, "items", budget=budget),
     )
 
     details, notice_details = src.podtl, src.asndtl

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dockside.functions.dates import DateWindow
 from dockside.sources.naming import plain_names
@@ -24,16 +26,37 @@ TABLE_COLUMNS = {
     "wim": ("genasn", "po"),
 }
 
+# Columns the plans compare as numbers, and as days.
+STORES = ("postr", "str")
+DAYS = ("dateexp", "datecanc", "dateship", "datercv", "shpnotcdt")
+
 # Second names, and the table each stands for.
 SECOND_NAMES = {"family_hdr": "pohdr", "child_dtl": "podtl", "child_sku": "skufile"}
 
 
+def typed(field: T.StructField) -> Column:
+    """The column with the type the plans expect.
+
+    A store that is no number, or a day that cannot be read, is NULL.  A column
+    that has its type is passed as it is, so filters on it still reach the scan.
+    """
+    value, kind = F.col(field.name), field.dataType
+    if field.name in STORES and not isinstance(kind, T.IntegralType):
+        value = value.try_cast("bigint")
+    elif field.name in DAYS and isinstance(kind, T.StringType):
+        value = F.coalesce(value.try_cast("date"), F.try_to_date(value, "yyyyMMdd"))
+    elif field.name in DAYS and not isinstance(kind, T.DateType):
+        value = value.try_cast("date")
+    return value.alias(field.name)
+
+
 @dataclass(frozen=True)
 class SourceTables:
     """Inputs of the plans, one DataFrame per logical table.
 
     Some tables are read under a second name by part of the queries; those
-    default to the first.  Columns the plans do not know are left out.
+    default to the first.  Columns the plans do not know are left out; stores
+    and days of another type are cast (see ``typed``).
     """
 
     pohdr: DataFrame  # order headers
@@ -55,7 +78,8 @@ class SourceTables:
             first = SECOND_NAMES.get(name, name)
             rows = getattr(self, name)
             rows = getattr(self, first) if rows is None else rows
-            object.__setattr__(self, name, rows.select(*TABLE_COLUMNS[first]))
+            chosen = rows.select(*TABLE_COLUMNS[first])
+            object.__setattr__(self, name, chosen.select(*[typed(f) for f in chosen.schema.fields]))
 
 
 @dataclass(frozen=True)

@@ -159,6 +159,9 @@ KEY_PARTS = "COALESCE({}, 'None')"
 DETAIL_SUM = "(SELECT po, sku, CAST(SUM(oounit) AS BIGINT) AS ooqty FROM podtl GROUP BY po, sku)"
 
 ORACLE: dict[str, str] = {
+    "src_typed_inputs": over_views("SELECT * FROM breakout", *BREAKOUT).replace(
+        "o_orderkey % 25 AS postr", "CASE WHEN o_orderkey % 101 <> 0 THEN o_orderkey % 25 END AS postr"
+    ),
     "src_windowed_extract": over_views(f"SELECT * FROM pohdr WHERE {SPAN}"),
     "src_param_binding": over_views(f"SELECT po, postr, dateexp FROM pohdr WHERE {SPAN}"),
     "src_rename_columns": over_views("SELECT * FROM pohdr"),

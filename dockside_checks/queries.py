@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -26,7 +27,7 @@ from dockside.functions.dates import compact_day, date_window, utc_day
 from dockside.functions.keys import strict_key, tolerant_key
 from dockside.operators import reports
 from dockside.operators.filters import listed, non_blank, recent_batches, within
-from dockside.operators.joins import attach, keep_matching, sized
+from dockside.operators.joins import attach, keep_matching, once, sized
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_out_of_window, delete_stale
 from dockside.operators.upsert import upsert
@@ -69,6 +70,13 @@ def src_rename_columns(src: SourceTables) -> DataFrame:
     return plain_names(raw)
 
 
+def src_typed_inputs(src: SourceTables) -> DataFrame:
+    """The breakout view over stores given as text, some unreadable, and days given as evening timestamps."""
+    store = F.when(F.col("po") % 101 == 0, "HQ").otherwise(F.col("postr").cast("string"))
+    evening = F.timestamp_add("HOUR", F.lit(18), F.col("dateexp").cast("timestamp"))
+    return br.breakout(replace(src, pohdr=src.pohdr.withColumns({"postr": store, "dateexp": evening})), WINDOW, RULES)
+
+
 # --- filters -----------------------------------------------------------------
 
 
@@ -91,7 +99,7 @@ def fil_rolling_window(src: SourceTables) -> DataFrame:
 
 
 def join_star_inner(src: SourceTables) -> DataFrame:
-    orders = sized(inb.tracked_orders(src, WINDOW, RULES))
+    orders = once(inb.tracked_orders(src, WINDOW, RULES), "orders", "po")
     known = sized(inb.items(src.skufile, src.vendmain))
     lines = attach(attach(src.podtl, orders, "po"), known, "sku")
     return lines.select("po", "type", "sku", "style", "vendname", "oounit", "rcunit")
@@ -145,7 +153,7 @@ def join_left_breakout_alloc(src: SourceTables) -> DataFrame:
 
 
 def join_semi_exists(src: SourceTables) -> DataFrame:
-    parents = sized(br.parent_orders(src, WINDOW, RULES).select("po_man"))
+    parents = once(br.parent_orders(src, WINDOW, RULES).select("po_man"), "parents", "po_man")
     children = keep_matching(br.child_headers(src.pohdr, src.potype, RULES), parents, "po_man")
     return children.select("po", "po_man", "postr", "dateexp")
 
@@ -178,15 +186,15 @@ def agg_listagg_ordered(src: SourceTables) -> DataFrame:
 
 
 def agg_child_qty(src: SourceTables) -> DataFrame:
-    parents = sized(br.parent_orders(src, WINDOW, RULES).select("po_man"))
-    children = sized(keep_matching(br.child_headers(src.pohdr, src.potype, RULES), parents, "po_man"))
+    parents = once(br.parent_orders(src, WINDOW, RULES).select("po_man"), "parents", "po_man")
+    children = once(keep_matching(br.child_headers(src.pohdr, src.potype, RULES), parents, "po_man"), "children", "po")
     return br.child_quantities(children, src.child_dtl, sized(inb.items(src.child_sku, src.vendmain)))
 
 
 def agg_pivot_store(src: SourceTables) -> DataFrame:
     children = br.child_headers(src.pohdr, src.potype, RULES)
     known = sized(inb.items(src.child_sku, src.vendmain))
-    rows = br.child_quantities(sized(children), src.child_dtl, known)
+    rows = br.child_quantities(once(children, "children", "po"), src.child_dtl, known)
     return br.store_pivot(rows, [F.col("po_man"), F.col("sku"), F.col("dateexp")], RULES)
 
 
@@ -363,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "src_windowed_extract": over_sources(src_windowed_extract),
     "src_param_binding": src_param_binding,
     "src_rename_columns": over_sources(src_rename_columns),
+    "src_typed_inputs": over_sources(src_typed_inputs),
     "snk_append_staging": snk_append_staging,
     "fil_in_list": over_sources(fil_in_list),
     "fil_date_between": over_sources(lambda src: within(src.pohdr, "dateexp", WINDOW).select("po", "dateexp")),
