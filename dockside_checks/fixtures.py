@@ -2,7 +2,8 @@
 
 Every view keeps all rows of its kind and gives them the gaps the operators must
 handle: orders without a type, an item filed under another number, blank and
-missing managing orders, warehouse history without a notice.
+missing managing orders, warehouse history without a notice, receipts without a
+day, invoices and notices without units.
 """
 
 from __future__ import annotations
@@ -38,10 +39,9 @@ def sources(spark: SparkSession, sf_dir: str) -> SourceTables:
     order_day = F.col("o_orderdate").cast("date")
     customer = F.col("o_custkey")
     units = F.col("l_quantity").cast("bigint")
-    order, item = F.col("l_orderkey"), F.col("l_partkey") % 50
+    order, item = F.col("l_orderkey"), F.col("l_partkey")
     notice = order * 10 + F.col("l_linenumber") % 3
-    shipped = lineitem.where(F.col("l_returnflag") != "N")
-    notices = shipped.groupBy(notice.alias("asn"), order.alias("po"), (order % 25).alias("str")).agg(
+    notices = lineitem.groupBy(notice.alias("asn"), order.alias("po"), (order % 25).alias("str")).agg(
         F.max(F.col("l_shipdate").cast("date")).alias("shpnotcdt")
     )
     return SourceTables(
@@ -84,14 +84,18 @@ def sources(spark: SparkSession, sf_dir: str) -> SourceTables:
         vendmain=table(spark, sf_dir, "supplier").select(
             F.col("s_suppkey").alias("vend"), F.col("s_name").alias("vendname")
         ),
-        purhst=lineitem.where(F.col("l_returnflag") == "R").select(
-            order.alias("po"), (order % 25).alias("str"), F.col("l_shipdate").cast("date").alias("datercv")
+        purhst=lineitem.select(
+            order.alias("po"),
+            (order % 25).alias("str"),
+            F.when(F.col("l_returnflag") == "R", F.col("l_shipdate").cast("date")).alias("datercv"),
         ),
-        invdtl=lineitem.where(F.col("l_linestatus") == "F").select(
-            order.alias("po"), item.alias("sku"), units.alias("unitinvc")
+        invdtl=lineitem.select(
+            order.alias("po"), item.alias("sku"), F.when(F.col("l_linestatus") == "F", units).alias("unitinvc")
         ),
         asnhdr=notices,
-        asndtl=shipped.select(notice.alias("asn"), item.alias("sku"), units.alias("qty")),
+        asndtl=lineitem.select(
+            notice.alias("asn"), item.alias("sku"), F.when(F.col("l_returnflag") != "N", units).alias("qty")
+        ),
         wim=notices.select(F.when(F.col("asn") % 2 == 0, F.col("asn")).alias("genasn"), "po"),
     )
 

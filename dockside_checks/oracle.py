@@ -20,7 +20,7 @@ potype AS (
               WHEN o_orderstatus = 'O' THEN 'C' WHEN o_orderstatus = 'P' THEN 'R' END AS type
   FROM orders),
 podtl AS (
-  SELECT l_orderkey AS po, l_partkey % 50 AS sku, CAST(l_quantity AS BIGINT) AS oounit,
+  SELECT l_orderkey AS po, l_partkey AS sku, CAST(l_quantity AS BIGINT) AS oounit,
          CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS BIGINT) ELSE 0 END AS rcunit
   FROM lineitem),
 skufile AS (
@@ -29,18 +29,19 @@ skufile AS (
   FROM part),
 vendmain AS (SELECT s_suppkey AS vend, s_name AS vendname FROM supplier),
 purhst AS (
-  SELECT l_orderkey AS po, l_orderkey % 25 AS str, CAST(l_shipdate AS DATE) AS datercv
-  FROM lineitem WHERE l_returnflag = 'R'),
+  SELECT l_orderkey AS po, l_orderkey % 25 AS str, CASE WHEN l_returnflag = 'R' THEN CAST(l_shipdate AS DATE) END AS datercv
+  FROM lineitem),
 invdtl AS (
-  SELECT l_orderkey AS po, l_partkey % 50 AS sku, CAST(l_quantity AS BIGINT) AS unitinvc
-  FROM lineitem WHERE l_linestatus = 'F'),
+  SELECT l_orderkey AS po, l_partkey AS sku, CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS BIGINT) END AS unitinvc
+  FROM lineitem),
 asndtl AS (
-  SELECT l_orderkey * 10 + l_linenumber % 3 AS asn, l_partkey % 50 AS sku, CAST(l_quantity AS BIGINT) AS qty
-  FROM lineitem WHERE l_returnflag <> 'N'),
+  SELECT l_orderkey * 10 + l_linenumber % 3 AS asn, l_partkey AS sku,
+         CASE WHEN l_returnflag <> 'N' THEN CAST(l_quantity AS BIGINT) END AS qty
+  FROM lineitem),
 asnhdr AS (
   SELECT l_orderkey * 10 + l_linenumber % 3 AS asn, l_orderkey AS po, l_orderkey % 25 AS str,
          MAX(CAST(l_shipdate AS DATE)) AS shpnotcdt
-  FROM lineitem WHERE l_returnflag <> 'N' GROUP BY ALL),
+  FROM lineitem GROUP BY ALL),
 wim AS (SELECT CASE WHEN asn % 2 = 0 THEN asn END AS genasn, po FROM asnhdr),
 staged AS (
   SELECT CASE WHEN event_id % 31 <> 0 THEN CAST(user_id AS VARCHAR) || '_' || event_type END AS record_key,
@@ -308,5 +309,6 @@ ORACLE: dict[str, str] = {
         "AND NOT COALESCE(load_date < (SELECT load_date FROM last_batch), FALSE)",
         text_keys=True,
     ),
+    "load_backfill": over_lifecycle(f"SELECT {COLUMNS} FROM merged WHERE {KEPT}", text_keys=True),
     "str_incremental_upsert": over_lifecycle(f"SELECT {COLUMNS} FROM merged WHERE {KEPT}", text_keys=True),
 }

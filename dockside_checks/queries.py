@@ -33,7 +33,7 @@ from dockside.operators.retention import delete_out_of_window, delete_stale
 from dockside.operators.upsert import upsert
 from dockside.plans import breakout as br
 from dockside.plans import po_inbound as inb
-from dockside.plans.datasets import KEY
+from dockside.plans.datasets import KEY, DatasetSpec
 from dockside.plans.refresh import coerced, load_batch
 from dockside.rules import MISSING_TYPE
 from dockside.session import scratch_path, tune
@@ -344,17 +344,22 @@ def seeded_tables(spark: SparkSession, label: str, seed_rows: DataFrame) -> str:
     return database
 
 
-def load_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_lifecycle(spark: SparkSession, sf_dir: str, spec: DatasetSpec = EVENTS) -> DataFrame:
     """Earlier batches are staged; the last day's batch goes through the load."""
-    rows = coerced(staging(tune(spark), sf_dir), EVENTS)
+    rows = coerced(staging(tune(spark), sf_dir), spec)
     database = seeded_tables(spark, "lifecycle", rows)
     earlier = F.col("load_date") < F.lit(EVENTS_AS_OF)
     append_batch(spark, database, EVENTS, rows.where(earlier), "earlier")
     stamp = datetime(EVENTS_AS_OF.year, EVENTS_AS_OF.month, EVENTS_AS_OF.day, tzinfo=timezone.utc)
-    load_batch(spark, database, EVENTS, rows.where(~earlier).drop("load_date"), EVENTS_AS_OF, stamp)
+    load_batch(spark, database, spec, rows.where(~earlier).drop("load_date"), EVENTS_AS_OF, stamp)
     return shown(read_final(spark, database, EVENTS))
 
 
+def load_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same load without stale removal: rows that the last batch does not hold stay."""
+    return load_lifecycle(spark, sf_dir, replace(EVENTS, cleanup_stale=False))
+
+
 def str_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches land in files out of order and are worked off in micro-batches."""
     rows = staging(tune(spark), sf_dir)
@@ -420,5 +425,6 @@ QUERIES: dict[str, Query] = {
     "breakout_pivot": over_sources(lambda src: br.breakout(src, WINDOW, RULES)),
     "sort_breakout_output": over_sources(lambda src: br.breakout_sorted(src, WINDOW, RULES)),
     "load_lifecycle": load_lifecycle,
+    "load_backfill": load_backfill,
     "str_incremental_upsert": str_incremental_upsert,
 }
