@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dockside_checks.fixtures import EVENTS, EVENTS_AS_OF, RULES, WINDOW, sources, staging
 from dockside_checks.queries import QUERIES
 from dockside.operators.filters import recent_batches
-from dockside.operators.joins import JoinBudget, attach, in_reach, keep_matching, narrow, sized
+from dockside.operators.joins import JoinBudget, attach, in_reach, keep_matching, narrow, once, sized
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_stale
 from dockside.operators.upsert import upsert
@@ -72,6 +72,19 @@ def test_the_size_of_a_side_decides_its_join(spark):
     assert narrow(src.podtl, none, "po") is src.podtl
 
 
+def test_types_meet_measured_headers_without_a_shuffle(spark):
+    src = sources(spark, SF)
+    headers = once(inb.tracked_headers(src.pohdr, WINDOW, RULES), "headers", "po")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        typed = inb.typed_headers(headers, src.potype, RULES.inbound_types)
+        plan = plan_of(typed)
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        assert "GreaterThanOrEqual(o_orderkey" in plan
+        plain = inb.typed_headers(headers.rows, src.potype, RULES.inbound_types)
+        assert "hashpartitioning" in plan_of(plain)
+    assert sorted(typed.select("po", "type").collect()) == sorted(plain.select("po", "type").collect())
+
+
 def test_the_range_of_the_keys_reaches_the_scan(spark):
     src = sources(spark, SF)
     for limit in (10_000_000, 0):

@@ -6,10 +6,13 @@ from dataclasses import replace
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from dockside.functions.dates import DateWindow
 from dockside.plans import po_inbound as inb
+from dockside.plans.breakout import parent_orders, parent_summary
 from dockside.plans.datasets import extract, inbound_spec
+from dockside.rules import OrderRules
 from dockside.session import scratch_path
 from dockside.sources.inputs import TABLE_COLUMNS, TableRef, jdbc_options, open_sources, open_table, run_sql
 from dockside.sources.naming import BREAKOUT_NAMES, plain_names
@@ -71,3 +74,30 @@ def test_extract_adds_a_missing_key(tables):
     spec = inbound_spec()
     bare = replace(spec, query=lambda src, window: spec.query(src, window).drop("record_key"))
     assert extract(bare, tables(), WINDOW).first()["record_key"] == "A_k1_20240120"
+
+
+def test_stores_and_days_of_other_types(tables):
+    headers = [
+        (po, "M1", "O", store, date(2024, 1, 20), date(2024, 2, 20), date(2024, 1, 15))
+        for po, store in (("A", 9), ("B", 22), ("C", 110))
+    ]
+    src = tables(pohdr=headers, potype=[(po, "P") for po in "ABC"], podtl=[(po, "k1", 10, 4) for po in "ABC"])
+    text = src.pohdr.withColumns(
+        {
+            "postr": F.col("postr").cast("string"),
+            "dateexp": F.timestamp_add("HOUR", F.lit(23), F.col("dateexp").cast("timestamp")),
+            "datecanc": F.date_format("datecanc", "yyyyMMdd"),
+            "dateship": F.lit("soon"),
+        }
+    )
+    unreadable = text.where("po = 'A'").withColumns({"po": F.lit("D"), "postr": F.lit("HQ")})
+    typed = replace(src, pohdr=text.unionByName(unreadable))
+    assert dict(typed.pohdr.dtypes) == dict(src.pohdr.dtypes)
+    rows = {r["po"]: r for r in typed.pohdr.collect()}
+    assert [rows[po]["postr"] for po in "ABCD"] == [9, 22, 110, None]
+    assert rows["A"]["dateexp"] == date(2024, 1, 20) and rows["A"]["datecanc"] == date(2024, 2, 20)
+    assert rows["A"]["dateship"] is None
+    last_day = DateWindow(date(2024, 1, 1), date(2024, 1, 20))
+    rules = OrderRules(dc_stores=(9, 22, 110))
+    summary = parent_summary(parent_orders(typed, last_day, rules)).first()
+    assert summary["parent_stores"] == "9, 22, 110"
