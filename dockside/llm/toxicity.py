@@ -1,28 +1,34 @@
 """Toxicity by class-conditional Kneser-Ney models of expressions.
 
 An expression is a word or a pair of neighbours.  Per class (toxic, ordinary)
-its documents are counted over all labelled rows; a text counts once.  The
-probability of an expression in a class is its discounted count, interpolated
-with counts that both classes share:
-
-    P(e | c) = max(n(e, c) - D, 0) / n(c)  +  L * n(e) / n
-
-with one backoff weight L for both classes.  An expression too rare to tell the
-classes apart is left to the shared counts alone, where both classes agree.  A
-text's score compares its log-likelihoods under both models, per word; a
-logistic curve, fitted on labelled rows that the counts have not seen, makes a
+its documents are counted over all labelled rows; a text counts once.  Every
+counted expression is scored.  Its probability in a class is its discounted
+count, interpolated with a probability that both classes share:
+
+    P(e | c) = A(e) * max(n(e, c) - D, 0) / n(c)  +  (1 - A(e) * (1 - L)) * S(e)
+
+S of a word is the share of documents that hold it; S of a pair is the
+continuation count of its last word, the distinct pairs that end in it.  L is
+the mass that discounting frees.  A is the probability, by Bayes' rule, that the
+classes use the expression at different rates: near 0 for rare expressions,
+which back off to what both classes share, and near 1 where counts tell them
+apart.  A text's score compares its log-likelihoods under both models, per word;
+a logistic curve, fitted on labelled rows that the counts have not seen, makes a
 probability of it.
+
+The counts stay a written table.  The most frequent expressions, as many as
+fit a measured room, are looked up where texts are read; all others are joined.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockside.llm.common import fold, settled, whole_text
@@ -35,10 +41,10 @@ WORD = re.compile(r"[^\W\d_]+")
 @dataclass(frozen=True)
 class Smoothing:
     discount: float = 0.75
-    #: Standard deviations between an expression's class counts and their shared rate that make it evidence.
-    evidence: float = 6.0
-    #: Room of the model: the strongest expressions that are kept for scoring.
-    expressions: int = 1 << 18
+    #: Share of expressions that are taken to differ between the classes before any count is seen.
+    differing: float = 0.001
+    #: Most expressions that are looked up without a join; the others' ratios are joined, with the same result.
+    at_hand: int = 1 << 20
     #: One in so many labelled rows calibrates; the others are counted.
     calibration: int = 4
 
@@ -64,7 +70,7 @@ def labelled(documents: DataFrame, labels: DataFrame, budget: JoinBudget) -> Dat
 
 
 def counted(rows: DataFrame) -> DataFrame:
-    """(e, c0, c1): documents of each class that hold the expression."""
+    """(e, word, c0, c1): documents of each class that hold the expression; its last word, which is ``e`` for a word."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
@@ -72,46 +78,178 @@ def counted(rows: DataFrame) -> DataFrame:
             found = {0: [], 1: []}
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
                 words, pairs = expressions(text, hashes)
-                found[toxic].append(np.unique(np.concatenate([words, pairs[1:]])))
+                both, last = np.concatenate([words, pairs[1:]]), np.concatenate([words, words[1:]])
+                e, first = np.unique(both, return_index=True)
+                found[toxic].append((e, last[first]))
             for toxic, sets in found.items():
                 if sets:
-                    e, n = np.unique(np.concatenate(sets), return_counts=True)
-                    yield pd.DataFrame({"e": e.view(np.int64), "c0": n * (1 - toxic), "c1": n * toxic})
+                    last = np.concatenate([x for _, x in sets])
+                    e, first, n = np.unique(np.concatenate([x for x, _ in sets]), return_index=True, return_counts=True)
+                    yield pd.DataFrame({"e": e.view(np.int64), "word": last[first].view(np.int64), "c0": n * (1 - toxic), "c1": n * toxic})
+
+    parts = rows.select("text", "toxic").mapInPandas(count, "e bigint, word bigint, c0 bigint, c1 bigint")
+    return parts.groupBy("e").agg(F.max("word").alias("word"), F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+
+
+def log_factorial(n: np.ndarray) -> np.ndarray:
+    """log(n!) by Stirling's series of log((n + 8)!), divided down."""
+    x = np.asarray(n, float)
+    down = sum(np.log(x + k) for k in range(1, 9))
+    z = x + 9
+    return (z - 0.5) * np.log(z) - z + 0.5 * np.log(2 * np.pi) + 1 / (12 * z) - 1 / (360 * z**3) - down
+
+
+def differs(c0: np.ndarray, c1: np.ndarray, share: float, before: float) -> np.ndarray:
+    """Probability that the classes differ on expressions with these counts.
+
+    Where they agree, a holder is toxic with probability ``share``; where they
+    differ, all probabilities are as likely.
+    """
+    split = log_factorial(c0) + log_factorial(c1) - log_factorial(c0 + c1 + 1)
+    same = c1 * np.log(share) + c0 * np.log(1 - share)
+    return 1 / (1 + np.exp(-np.clip(split - same + np.log(before / (1 - before)), -500, 500)))
+
+
+#: Log-ratios are summed as whole multiples of 1 / SCALE, so that sums do not depend on the order.
+SCALE = 1 << 24
+
 
-    parts = rows.select("text", "toxic").mapInPandas(count, "e bigint, c0 bigint, c1 bigint")
-    return parts.groupBy("e").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+def log_ratios(c0, c1, shared, backoff, n0: int, n1: int, how: Smoothing) -> np.ndarray:
+    """log P(e | toxic) / P(e | ordinary), times SCALE."""
+    a = differs(c0, c1, n1 / (n0 + n1), how.differing)
+    left = (1 - a * (1 - backoff)) * shared
+    toxic, ordinary = (a * np.maximum(c - how.discount, 0) / n + left for c, n in ((c1, n1), (c0, n0)))
+    return np.rint(np.log(toxic / ordinary) * SCALE).astype(np.int64)
+
+
+def weighed(counts: DataFrame, n0: int, n1: int, how: Smoothing, budget: JoinBudget) -> DataFrame:
+    """(e, level, ratio) of every counted expression; ``level`` is a fourth-root-of-two step of its documents."""
+    is_pair, n = F.col("e") != F.col("word"), n0 + n1
+    sums = [f(c) for c in ("c0", "c1") for f in (lambda c: F.sum(c).alias(f"t{c[1]}"), lambda c: F.count_if(F.col(c) > 0).alias(f"k{c[1]}"))]
+    mass = {r["pair"]: r for r in counts.groupBy(is_pair.alias("pair")).agg(F.count("*").alias("k"), *sums).collect()}
+    # The mass that discounting frees, the same share in both classes.
+    freed = {p: how.discount * max(r["k0"] / max(1, r["t0"]), r["k1"] / max(1, r["t1"])) for p, r in mass.items()}
+    columns = ["e", "c0", "c1"]
+    words = counts.where(~is_pair).select(*columns, ((F.col("c0") + F.col("c1")) / n).alias("shared"), F.lit(freed.get(False, 0.0)).alias("backoff"))
+    pairs = counts.where(is_pair)
+    ends = sized(settled(pairs.groupBy("word").agg(F.count("*").alias("ending")), "continuations"), budget=budget)
+    pairs = pairs.join(F.broadcast(ends.rows) if ends.small() else ends.rows, "word")
+    # Of all pairs that documents hold, so many a document would end in the word.
+    per_pair = (mass[True]["t0"] + mass[True]["t1"]) / n / mass[True]["k"] if True in mass else 0.0
+    pairs = pairs.select(*columns, (F.col("ending") * per_pair).alias("shared"), F.lit(freed.get(True, 0.0)).alias("backoff"))
+
+    def ratio(c0: pd.Series, c1: pd.Series, shared: pd.Series, backoff: pd.Series) -> pd.Series:
+        return pd.Series(log_ratios(*(x.to_numpy(float) for x in (c0, c1, shared, backoff)), n0, n1, how))
+
+    level = F.floor(4 * F.log2(F.col("c0") + F.col("c1"))).cast("int")
+    return words.unionByName(pairs).select("e", level.alias("level"), F.pandas_udf(ratio, "bigint")("c0", "c1", "shared", "backoff").alias("ratio"))
+
+
+#: Bits of the filter that keeps expressions without a ratio from being joined; it may only let more through.
+FILTER_BITS = 1 << 26
 
 
 @dataclass(frozen=True)
 class Model:
-    """Log-ratios of the kept expressions, by ascending hash, and the logistic curve."""
+    """Log-ratios of all counted expressions, and the logistic curve.
+
+    ``keys`` (ascending hashes) and ``ratios`` are those at hand, bounded by
+    ``Smoothing.at_hand``; ``others`` (e, ratio) is the table of the rest, and
+    ``bits`` its filter.
+    """
 
     keys: np.ndarray
     ratios: np.ndarray
+    bits: np.ndarray
+    others: DataFrame
     curve: np.ndarray
 
-    def features(self, texts: list[str], hashes: WordHashes) -> np.ndarray:
-        """Per text: log-likelihood difference per word, and per root of the words; the log of their number."""
-        out = np.zeros((len(texts), 3))
-        for i, text in enumerate(texts):
-            words, pairs = expressions(text, hashes)
-            n = max(1, len(words))
-            # A pair that is evidence speaks for its last word.
-            ratio = self.ratio(pairs)
-            ratio = np.where(np.isnan(ratio), self.ratio(words), ratio)
-            total = np.nansum(ratio)
-            out[i] = total / n, total / np.sqrt(n), np.log(n)
-        return out
-
-    def ratio(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.full(len(hashes), np.nan)
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        return np.where(self.keys[at] == hashes, self.ratios[at], np.nan)
-
-    def scores(self, texts: list[str], hashes: WordHashes) -> np.ndarray:
-        x = np.c_[np.ones(len(texts)), self.features(texts, hashes)]
-        return 1 / (1 + np.exp(-np.clip(x @ self.curve, -30, 30)))
+    def score(self, total: Column, words: Column) -> Column:
+        """The probability, from a text's summed log-ratios and its number of words."""
+        n = F.greatest(words, F.lit(1)).cast("double")
+        of_text = [F.lit(1.0), total / SCALE / n, total / SCALE / F.sqrt(n), F.log(n)]
+        z = sum((float(b) * x for b, x in zip(self.curve, of_text, strict=True)), F.lit(0.0))
+        return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
+
+
+def model_of(weights: DataFrame, how: Smoothing) -> Model:
+    """The model without its curve; ``weights`` are computed from written counts where they are used."""
+    at_hand, least = 0, None
+    for row in weights.groupBy("level").count().orderBy(F.desc("level")).collect():
+        at_hand += row["count"]
+        if at_hand > how.at_hand:
+            break
+        least = row["level"]
+    near = F.col("level") >= F.lit(least) if least is not None else F.lit(False)
+    table = weights.where(near).select("e", "ratio").toArrow()
+    keys, ratios = (table[c].to_numpy().astype(np.int64) for c in ("e", "ratio"))
+    order = np.argsort(keys.view(np.uint64))
+    others = weights.where(~near).select("e", "ratio")
+    cells = FILTER_BITS // 64
+    marks = others.groupBy(F.expr(f"pmod(shiftright(e, 6), {cells})").alias("cell")).agg(F.expr("bit_or(shiftleft(1L, CAST(e & 63 AS INT)))").alias("bits")).toArrow()
+    bits = np.zeros(cells, np.uint64)
+    bits[marks["cell"].to_numpy().astype(np.int64)] = marks["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    return Model(keys.view(np.uint64)[order], ratios[order], bits, others, np.zeros(4))
+
+
+def text_key(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("key"), F.hash(text).alias("more")]
+
+
+#: Texts whose expressions are handed on together.
+TEXTS_AT_ONCE = 256
+
+
+def totals(texts: DataFrame, model: Model) -> DataFrame:
+    """(key, more, total, words) of each distinct ``text``: its summed log-ratios and its number of words.
+
+    A text sums what is at hand where it is read and sends the rest, one row per
+    expression, to the table; copies of a text send as many rows each, which are
+    added up and divided by their number.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((model.keys, model.ratios, model.bits))  # bounded by Smoothing.at_hand and FILTER_BITS
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
+        keys, ratios, bits = shared.value
+        for batch in batches:
+            for at in range(0, len(batch), TEXTS_AT_ONCE):
+                some = batch.iloc[at : at + TEXTS_AT_ONCE]
+                sums, sizes, rest = [], [], []
+                for text in some["text"]:
+                    words, pairs = expressions(text, hashes)
+                    e, times = np.unique(np.concatenate([words, pairs[1:]]), return_counts=True)
+                    known = np.zeros(len(e), bool)
+                    total = 0
+                    if len(keys):
+                        place = np.minimum(np.searchsorted(keys, e), len(keys) - 1)
+                        known = keys[place] == e
+                        total = int((ratios[place] * times)[known].sum())
+                    known |= (bits[(e >> np.uint64(6)) % np.uint64(len(bits))] >> (e & np.uint64(63))) & np.uint64(1) == 0
+                    rest.append((e[~known], times[~known]))
+                    sums.append(total)
+                    sizes.append(len(words))
+                n = [len(e) for e, _ in rest]
+                key, more = some["key"].to_numpy(np.int64), some["more"].to_numpy(np.int32)
+                # A row for the text itself; no expression of it is counted.
+                yield pd.DataFrame({"key": key, "more": more, "e": key, "times": 0, "near": sums, "words": sizes, "copies": 1})
+                if sum(n):
+                    e, times = (np.concatenate([x[k] for x in rest]) for k in (0, 1))
+                    yield pd.DataFrame({"key": np.repeat(key, n), "more": np.repeat(more, n), "e": e.view(np.int64), "times": times, "near": 0, "words": 0, "copies": 0})
+
+    schema = "key bigint, more int, e bigint, times int, near bigint, words int, copies int"
+    parts = texts.select(*text_key(F.col("text")), "text").mapInPandas(split, schema)
+    summed = (
+        parts.join(model.others, "e", "left")
+        .groupBy("key", "more")
+        .agg(
+            F.coalesce(F.sum(F.col("times") * F.col("ratio")), F.lit(0)).alias("far"),
+            F.sum("copies").alias("copies"),
+            F.max(F.when(F.col("copies") > 0, F.col("near"))).alias("near"),
+            F.max("words").cast("bigint").alias("words"),
+        )
+    )
+    return summed.select("key", "more", (F.col("near") + F.expr("far div copies")).alias("total"), "words")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -128,72 +266,41 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.concatenate([[b[0] - slopes @ mean], slopes])
 
 
-def trained(rows: DataFrame, how: Smoothing = Smoothing(), calibrate: int = 50_000) -> Model:
-    """The model of ``rows`` (doc_id, text, toxic).
+def trained(rows: DataFrame, how: Smoothing = Smoothing(), calibrate: int = 50_000, budget: JoinBudget = JoinBudget()) -> Model | None:
+    """The model of ``rows`` (doc_id, text, toxic); none without rows of both classes.
 
     Counts cover all rows but those of the calibration part; the curve is
-    fitted on at most about ``calibrate`` of these, chosen by hash.  Without
-    rows of both classes every score is 0.5.
+    fitted on at most about ``calibrate`` of these, chosen by hash.
     """
     chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(how.calibration)) == 0
-    total = rows.groupBy("toxic", chosen.alias("held")).agg(F.count("*").alias("n")).collect()
-    sizes = {(r["toxic"], r["held"]): r["n"] for r in total}
+    found = rows.groupBy("toxic", chosen.alias("held")).agg(F.count("*").alias("n")).collect()
+    sizes = {(r["toxic"], r["held"]): r["n"] for r in found}
     n0, n1 = sizes.get((0, False), 0), sizes.get((1, False), 0)
-    flat = Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(4))
     if not n0 or not n1:
-        return flat
+        return None
     counts = settled(counted(rows.where(~chosen)), "expressions")
-    n = F.col("c0") + F.col("c1")
-    share = n1 / (n0 + n1)
-    z = F.abs(F.col("c1") - n * share) / F.sqrt(n * share * (1 - share) + 1)
-    mass = counts.agg(F.sum("c0").alias("t0"), F.sum("c1").alias("t1"), F.count_if(F.col("c0") > 0).alias("k0"), F.count_if(F.col("c1") > 0).alias("k1")).first()
-    kept = counts.where(z > how.evidence).orderBy(F.desc(z), "e").limit(how.expressions).collect()
-    e = np.array([r["e"] for r in kept], dtype=np.int64).view(np.uint64)
-    c = np.array([[r["c0"], r["c1"]] for r in kept], dtype=float).reshape(-1, 2)
-    # The mass that discounting frees, the same share in both classes.
-    backoff = how.discount * max(mass["k0"] / max(1, mass["t0"]), mass["k1"] / max(1, mass["t1"]))
-    shared = backoff * (c.sum(axis=1) + 1) / (n0 + n1)
-    toxic, ordinary = (np.maximum(c[:, k] - how.discount, 0) / m + shared for k, m in ((1, n1), (0, n0)))
-    order = np.argsort(e)
-    model = Model(e[order], np.log(toxic / ordinary)[order], flat.curve)
+    model = model_of(weighed(counts, n0, n1, how, budget), how)
 
     held = sum(v for (_, h), v in sizes.items() if h)
     part = rows.where(chosen)
     if held > calibrate:
         part = part.where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(1_000_000)) < int(1_000_000 * calibrate / held))
-
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        for batch in batches:
-            x = model.features(batch["text"].tolist(), hashes)
-            yield pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "toxic": batch["toxic"]})
-
-    seen = part.select("text", "toxic").mapInPandas(measure, "a double, b double, c double, toxic int").collect()
+    seen = part.select(*text_key(F.col("text")), "toxic").join(totals(part, model), ["key", "more"]).select("total", "words", "toxic").collect()
     y = np.array([r["toxic"] for r in seen], dtype=float)
     if not len(y) or y.min() == y.max():
-        return Model(model.keys, model.ratios, np.array([np.log(share / (1 - share)), 1.0, 0.0, 0.0]))
-    x = np.array([[r["a"], r["b"], r["c"]] for r in seen])
-    return Model(model.keys, model.ratios, logistic(x, y, np.ones(len(y))))
-
-
-def toxicity_column(spark, model: Model):
-    """A function from a text column to its score, for every row of any table."""
-    shared = spark.sparkContext.broadcast(model)  # bounded by Smoothing.expressions
-
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        hashes = WordHashes()
-        for batch in texts:
-            yield pd.Series(shared.value.scores([t or "" for t in batch], hashes))
-
-    return F.pandas_udf(score, "double")
+        return replace(model, curve=np.array([np.log(n1 / n0), 1.0, 0.0, 0.0]))
+    total, words = (np.array([r[c] for r in seen], dtype=float) for c in ("total", "words"))
+    words = np.maximum(words, 1)
+    x = np.c_[total / SCALE / words, total / SCALE / np.sqrt(words), np.log(words)]
+    return replace(model, curve=logistic(x, y, np.ones(len(y))))
 
 
 def toxicity_model(
     documents: DataFrame, labels: DataFrame, how: Smoothing = Smoothing(), budget: JoinBudget = JoinBudget()
-) -> Model:
+) -> Model | None:
     """The model learnt from rows whose crc32(doc_id) mod 3 is not 1."""
     training = labelled(documents, labels.where(fold(3) != 1), budget)
-    return trained(settled(training, "labelled"), how)
+    return trained(training, how, budget=budget)
 
 
 def scored(documents: DataFrame, labels: DataFrame, how: Smoothing = Smoothing()) -> DataFrame:
@@ -201,15 +308,27 @@ def scored(documents: DataFrame, labels: DataFrame, how: Smoothing = Smoothing()
 
     A missing text counts as empty and gets the score of an empty text; a
     missing or other label is not learnt from; rows that repeat score alike; an
-    empty table gives no rows.
+    empty table gives no rows.  Without labels of both classes every score is 0.5.
     """
-    score = toxicity_column(documents.sparkSession, toxicity_model(documents, labels, how))
-    return documents.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), (fold(3) == 1).alias("held_out"), score(whole_text()).alias("score")
-    )
-
-
-def not_toxic(documents: DataFrame, labels: DataFrame, limit: float = 0.7, how: Smoothing = Smoothing()) -> DataFrame:
+    model = toxicity_model(documents, labels, how)
+    own = [F.col("doc_id").cast("bigint").alias("doc_id"), (fold(3) == 1).alias("held_out")]
+    if model is None:
+        return documents.select(*own, F.lit(0.5).alias("score"))
+    rows = documents.select(*own, *text_key(whole_text()))
+    found = totals(documents.select(whole_text().alias("text")), model)
+    return rows.join(found, ["key", "more"]).select("doc_id", "held_out", model.score(F.col("total"), F.col("words")).alias("score"))
+
+
+def not_toxic(
+    documents: DataFrame, labels: DataFrame, limit: float = 0.7, how: Smoothing = Smoothing(), budget: JoinBudget = JoinBudget()
+) -> DataFrame:
     """The rows of ``documents`` that score below ``limit``, in their own columns."""
-    score = toxicity_column(documents.sparkSession, toxicity_model(documents, labels, how))
-    return documents.where(score(whole_text()) < limit)
+    model = toxicity_model(documents, labels, how, budget)
+    if model is None:
+        return documents.where(F.lit(0.5) < limit)
+    found = totals(documents.select(whole_text().alias("text")), model)
+    high = found.where(model.score(F.col("total"), F.col("words")) >= limit)
+    high = settled(high.select(F.col("key").alias("__key"), F.col("more").alias("__more")), "toxic")
+    side = sized(high, budget=budget)
+    key, more = text_key(whole_text())
+    return documents.join(F.broadcast(side.rows) if side.small() else side.rows, (F.col("__key") == key) & (F.col("__more") == more), "left_anti")

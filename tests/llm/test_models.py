@@ -53,3 +53,38 @@ def test_not_toxic_keeps_columns(spark):
     documents = read(spark, "documents").withColumn("score", F.lit("own"))
     left = toxicity.not_toxic(documents, read(spark, "labels"))
     assert left.columns == documents.columns and left.count() > 0.85 * documents.count()
+
+
+def spelled(kind, i):
+    return kind + "".join("abcdefghij"[int(c)] for c in str(i))
+
+
+def insulting(rare):
+    """Documents and labels: each toxic document holds two of ``rare`` insults, all else is chance."""
+    random = np.random.default_rng(3)
+    rows, labels = [], []
+    for i in range(1600):
+        toxic = int(random.random() < 0.12)
+        words = [spelled("w", n) for n in random.zipf(1.3, 80) if n < 10**6]
+        if toxic:
+            words += [spelled("insult", n) for n in random.integers(0, rare, 4)]
+        rows.append((i, " ".join(random.permutation(words))))
+        labels.append((i, toxic))
+    return rows, labels
+
+
+def test_rare_insults_are_found_on_held_out_rows(spark):
+    """Each insult is in about four counted documents, too few to stand out alone by six deviations."""
+    rows, labels = insulting(80)
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    score, label = held_out(toxicity.scored(documents, known), known, "toxic")
+    assert (score[label == 1] >= 0.7).mean() > 0.8
+    assert (score[label == 0] >= 0.7).mean() < 0.02
+
+
+def test_toxicity_recall_on_given_tables(spark):
+    read_ = lambda name: spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet")
+    score, label = held_out(toxicity.scored(read_("documents"), read_("labels")), read_("labels"), "toxic")
+    assert (score[label == 1] >= 0.7).mean() > 0.75
+    assert (score[label == 0] >= 0.7).mean() < 0.01
