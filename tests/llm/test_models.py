@@ -88,3 +88,16 @@ def test_toxicity_recall_on_given_tables(spark):
     score, label = held_out(toxicity.scored(read_("documents"), read_("labels")), read_("labels"), "toxic")
     assert (score[label == 1] >= 0.7).mean() > 0.75
     assert (score[label == 0] >= 0.7).mean() < 0.01
+
+
+def test_joined_expressions_score_like_those_at_hand(spark):
+    """No expression is left out where more are counted than fit the room for lookups."""
+    rows, labels = insulting(80)
+    rows += [(i + 10_000, rows[i][1]) for i in range(40)] + [(None, None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    found = []
+    for at_hand in (0, 100, 1 << 22):
+        scores = toxicity.scored(documents, known, toxicity.Smoothing(at_hand=at_hand)).collect()
+        found.append(sorted((-1 if r["doc_id"] is None else r["doc_id"], r["score"]) for r in scores))
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
