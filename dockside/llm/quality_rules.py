@@ -3,10 +3,9 @@
 Lines are normalised (lower case, digits to 0, single blanks) and hashed.  Per
 host, the distinct documents that hold a line are counted; a line above the
 limit is boilerplate and is removed, and a document of which too little is left
-is rejected.  Copies of one document are no evidence of boilerplate: documents
-count, for a line, by the least hash among their other lines, so exact copies
-count once and near copies few times.  Three orders of hashing are counted and
-the greatest count holds, since in one order another frequent line may come first.
+is rejected.  Exact copies of one document are no evidence of boilerplate:
+documents are told apart by a hash of their whole text, for the lines and for the
+size of the host alike.  Near copies count one by one.
 """
 
 from __future__ import annotations
@@ -105,38 +104,16 @@ def hashed_lines(text: Column) -> Column:
     )
 
 
-#: Orders in which a document's lines are hashed for its sketches.
-ORDERS = (1, 2, 3)
-
-
-def least_two(lines: Column, order: int) -> Column:
-    """The two least hashes among distinct lines, in one order."""
-    return F.slice(F.array_sort(F.transform(lines, lambda x: F.xxhash64(x, F.lit(order)))), 1, 2)
-
-
-def sketches_beside(line: Column) -> Column:
-    """Per order, the least hash among the document's other lines, or the line's own where it stands alone."""
-
-    def beside(order: int) -> Column:
-        leasts, own = F.col(f"least{order}"), F.xxhash64(line, F.lit(order))
-        other = F.when(leasts[0] == own, F.coalesce(F.get(leasts, 1), own)).otherwise(leasts[0])
-        return F.struct(F.lit(order).alias("in_order"), other.alias("sketch"))
-
-    return F.array(*[beside(order) for order in ORDERS])
-
-
 def frequent_lines(hashed: DataFrame, limits: LineLimits) -> DataFrame:
-    """(host, line) above the limits, from each document's host, lines and least hashes.
+    """(host, line) above the limits, from each document's host, content hash and lines.
 
-    Counts are of distinct sketches, first combined per line and sketch, so a
-    line or a host with a third of all rows is spread over many tasks.
+    Distinct documents are first combined per line and document, so a line or a
+    host with a third of all rows is spread over many tasks.
     """
-    hosts = hashed.groupBy("host").agg(F.count_distinct(F.col("least1")[0]).alias("host_documents"))
+    hosts = hashed.groupBy("host").agg(F.count_distinct("content").alias("host_documents"))
     distinct = F.array_distinct(F.transform(F.col("lines"), lambda x: x["line"]))
-    each = hashed.select("host", *[f"least{k}" for k in ORDERS], F.explode(distinct).alias("line"))
-    seen = each.select("host", "line", F.inline(sketches_beside(F.col("line"))))
-    per_order = seen.groupBy("host", "line", "in_order").agg(F.count_distinct("sketch").alias("documents"))
-    per_line = per_order.groupBy("host", "line").agg(F.max("documents").alias("documents"))
+    each = hashed.select("host", "content", F.explode(distinct).alias("line"))
+    per_line = each.groupBy("host", "line").agg(F.count_distinct("content").alias("documents"))
     often = per_line.where(F.col("documents") > limits.documents)
     limit = F.greatest(F.lit(limits.documents), F.col("host_documents") * limits.share)
     return often.join(hosts, "host").where(F.col("documents") > limit).select("host", "line")
@@ -154,16 +131,14 @@ def line_rules(documents: DataFrame, host: str = "source", limits: LineLimits =
     repeat are judged alike; an empty table gives no rows.
 
     Lines are shuffled as hashes and combined in the map tasks; a line or a host
-    with a third of all rows is spread by the sketches before it is counted.
+    with a third of all rows is spread by its documents before it is counted.
     Texts are shuffled only if the caller selects them.
     """
     text = whole_text()
     source = F.coalesce(F.col(host).cast("string"), F.lit("")) if host in documents.columns else F.lit("")
     keys = [F.xxhash64("doc_id", text, source).alias("__key"), F.hash(text, "doc_id").alias("__more")]
-    lines = documents.select(*keys, source.alias("host"), hashed_lines(text).alias("lines")).where(F.size("lines") > 0)
-    distinct = F.array_distinct(F.transform(F.col("lines"), lambda x: x["line"]))
-    leasts = let(distinct, lambda d: F.struct(*[least_two(d, k).alias(f"least{k}") for k in ORDERS]))
-    hashed = settled(lines.withColumn("l", leasts).select("__key", "__more", "host", "lines", "l.*"), "lines")
+    lines = documents.select(*keys, source.alias("host"), F.xxhash64(text).alias("content"), hashed_lines(text).alias("lines"))
+    hashed = settled(lines, "lines")
     frequent = settled(frequent_lines(hashed, limits), "frequent")
     held = hashed.select("__key", "__more", "host", F.posexplode("lines").alias("at", "l"))
     removed = (
