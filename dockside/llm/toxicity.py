@@ -286,6 +286,7 @@ def trained(rows: DataFrame, how: Smoothing = Smoothing(), calibrate: int = 50_0
     if held > calibrate:
         part = part.where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(1_000_000)) < int(1_000_000 * calibrate / held))
     seen = part.select(*text_key(F.col("text")), "toxic").join(totals(part, model), ["key", "more"]).select("total", "words", "toxic").collect()
+    seen.sort()  # sums of the fit depend on the order
     y = np.array([r["toxic"] for r in seen], dtype=float)
     if not len(y) or y.min() == y.max():
         return replace(model, curve=np.array([np.log(n1 / n0), 1.0, 0.0, 0.0]))
