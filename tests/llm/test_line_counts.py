@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 from dockside.llm import quality_rules
 
 
@@ -27,3 +29,22 @@ def test_lines_that_come_together_are_removed(spark):
             rows.append((host * 1000 + i, "\n".join([*shared, own_line(spelled("d", host * 1000 + i))]), f"host{host}"))
     documents = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
     assert set(removed_words(documents, quality_rules.LineLimits()).values()) == {8}
+
+
+def test_limit_grows_with_the_documents_of_the_host(spark):
+    """A line of 15 documents stays in a host of 200, of which 20 are a tenth; copies of one document count once."""
+    rows = []
+    for host in range(12):
+        name = spelled("h", host)
+        shared = [spelled(f"{name}s", k) for k in range(10)]
+        for i in range(180):
+            rows.append((host * 1000 + i, "\n".join([*shared, own_line(spelled(name, i))]), name))
+        for i in range(180, 200):
+            again = [spelled(f"{name}r", 0)] if i < 195 else []
+            rows.append((host * 1000 + i, "\n".join([*again, own_line(spelled(name, i))]), name))
+        rows += [(host * 1000 + 500 + i, rows[-1][1] + "\n" + spelled(f"{name}c", 0), name) for i in range(100)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    found = removed_words(documents, quality_rules.LineLimits(documents=5, share=0.1))
+    at = np.array([i % 1000 for i in found])
+    words = np.array(list(found.values()))
+    assert (words[at < 180] == 10).all() and (words[at >= 180] == 0).all()
