@@ -1,17 +1,18 @@
 """Best-fit packing of documents into sequences, by fitted length patterns.
 
-Lengths are counted in a histogram of at most ``UNITS`` bins.  Patterns are the
-ways to fill a sequence with at most three bins.  Non-negative least squares
+Lengths are counted exactly.  Patterns are the ways to fill a sequence with at
+most three of ``UNITS`` bins of lengths.  Non-negative least squares
 fits how often to repeat each pattern so that together they use up the
 histogram; the counts are rounded, and what is left over is packed best-fit
-decreasing, again by counts of bins, so that the plan for any number of
+decreasing, by counts of exact lengths, so that the plan for any number of
 documents is made from the histogram alone.  Documents then take the places of
-their bin by rank.
+their length by rank.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from dockside.llm.encoding import text_encoder
 
 SEQUENCE = 2048
 
-#: Bins of the histogram; a length counts as the next multiple of SEQUENCE / UNITS.
+#: Bins of the fitted patterns; rooms are counted in exact lengths.
 UNITS = 256
 
 #: Documents of a bin are numbered in so many shards at least, so that no bin is one task's.
@@ -94,41 +95,55 @@ def non_negative_fit(matrix: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return x
 
 
-def plan_of(histogram: np.ndarray, units: int = UNITS) -> list[tuple[tuple[int, ...], int]]:
-    """How often to use which filling, so that every document has a place.
+Filling = tuple[int, ...]
 
-    ``histogram[u]`` documents have bin ``u`` (1 to ``units``).  Bounded by the
-    number of bins, whatever the number of documents.
-    """
-    left = histogram.astype(np.int64).copy()
+
+def patterned(left: np.ndarray, units: int) -> list[tuple[Filling, int]]:
+    """Fillings by the fitted patterns, in exact lengths; what they use is taken from ``left``."""
+    capacity = len(left) - 1
+    step = -(-capacity // units)
+    bins = capacity // step
     plan = []
+    at = -(-np.arange(len(left)) // step)
+    counts = np.bincount(at, weights=left, minlength=bins + 1).astype(np.int64)[: bins + 1]
+    ways = patterns(bins)[1:]
+    ways = ways[[all(counts[u] > 0 for u in set(w) - {0}) for w in ways.tolist()]]
+    if not len(ways):
+        return plan
+    matrix = np.zeros((bins + 1, len(ways)))
+    for slot in range(3):
+        np.add.at(matrix, (ways[:, slot], np.arange(len(ways))), 1)
+    matrix[0] = 0
+    repeats = non_negative_fit(matrix, counts.astype(float))
+    for k in np.argsort(-repeats, kind="stable"):
+        way = [int(u) for u in ways[k] if u]
+        times = min(round(float(repeats[k])), *(int(counts[u]) // way.count(u) for u in way))
+        while times > 0:
+            # The longest that are left in each bin; where a bin comes twice, its documents are shared out.
+            filling = tuple(int(np.flatnonzero(left[: u * step + 1])[-1]) for u in way)
+            used = min(times, *(int(left[u]) // filling.count(u) for u in filling))
+            if not used:  # one document of this length is left for a bin that comes more than once
+                break
+            plan.append((filling, used))
+            for u, b in zip(filling, way, strict=True):
+                left[u] -= used
+                counts[b] -= used
+            times -= used
+    return plan
+
 
-    def use(filling: tuple[int, ...], times: int) -> None:
-        if times > 0:
-            plan.append((filling, times))
-            for u in filling:
-                left[u] -= times
-
-    use((units,), int(left[units]))
-    ways = patterns(units)[1:]
-    ways = ways[[all(left[u] > 0 for u in set(w) - {0}) for w in ways.tolist()]]
-    if len(ways):
-        matrix = np.zeros((units + 1, len(ways)))
-        for slot in range(3):
-            np.add.at(matrix, (ways[:, slot], np.arange(len(ways))), 1)
-        matrix[0] = 0
-        repeats = non_negative_fit(matrix, left.astype(float))
-        for k in np.argsort(-repeats, kind="stable"):
-            filling = tuple(int(u) for u in ways[k] if u)
-            room = min(int(left[u]) // filling.count(u) for u in filling)
-            use(filling, min(round(float(repeats[k])), room))
-    # The rest: longest first, into the sequences with the least room that is enough.
-    spaces: dict[int, list[list]] = {}
-    for u in range(units, 0, -1):
+def best_fit(left: np.ndarray, begun: list[tuple[Filling, int]]) -> list[tuple[Filling, int]]:
+    """``begun`` and the documents in ``left``: longest first, into the least room that is enough."""
+    capacity = len(left) - 1
+    left = left.copy()
+    spaces: dict[int, list[tuple[Filling, int]]] = {}
+    for filling, times in begun:
+        spaces.setdefault(capacity - sum(filling), []).append((filling, times))
+    for u in range(capacity, 0, -1):
         while left[u] > 0:
             room = min((r for r in spaces if r >= u and spaces[r]), default=None)
             if room is None:
-                per = units // u
+                room, per = capacity, capacity // u
                 full, rest = divmod(int(left[u]), per)
                 opened = [((u,) * per, full), ((u,) * rest, 1 if rest else 0)]
             else:
@@ -136,24 +151,38 @@ def plan_of(histogram: np.ndarray, units: int = UNITS) -> list[tuple[tuple[int,
                 per = min(room // u, max(1, int(left[u]) // times))
                 used = min(times, int(left[u]) // per)
                 if used < times:
-                    spaces[room].append([filling, times - used])
+                    spaces[room].append((filling, times - used))
                 opened = [(filling + (u,) * per, used)]
             for filling, times in opened:
                 if times:
-                    left[u] -= times * (filling.count(u))
-                    spaces.setdefault(units - sum(filling), []).append([filling, times])
-    plan.extend((filling, times) for open_ in spaces.values() for filling, times in open_)
-    return plan
+                    left[u] -= times * filling.count(u)
+                    spaces.setdefault(capacity - sum(filling), []).append((filling, times))
+    return [one for open_ in spaces.values() for one in open_]
+
+
+def plan_of(histogram: np.ndarray, units: int = UNITS) -> list[tuple[Filling, int]]:
+    """How often to use which filling, so that every document has a place.
+
+    ``histogram[u]`` documents have length ``u``, up to a whole sequence.  Only
+    the fitted patterns see lengths in ``units`` bins; capacities are exact.
+    Of best fit with patterns and without, the plan with fewer sequences holds.
+    """
+    histogram = histogram.astype(np.int64)
+    left = histogram.copy()
+    begun = patterned(left, units)
+    return min((best_fit(left, begun), best_fit(histogram, [])), key=lambda plan: sum(n for _, n in plan))
 
 
-def slots_of(plan: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:
-    """Per place in a filling: bin, first rank, number of ranks, first sequence, place."""
+def slots_of(plan: list[tuple[Filling, int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """Per run of equal lengths in a filling: length, first rank, number of ranks, repeats, first sequence, place."""
     taken: dict[int, int] = {}
     slots, sequence = [], 0
     for filling, times in plan:
-        for place, u in enumerate(filling):
-            slots.append((u, taken.get(u, 0), times, sequence, place))
-            taken[u] = taken.get(u, 0) + times
+        place = 0
+        for u, run in Counter(filling).items():
+            slots.append((u, taken.get(u, 0), run * times, times, sequence, place))
+            taken[u] = taken.get(u, 0) + run * times
+            place += run
         sequence += times
     return slots
 
@@ -168,10 +197,9 @@ def packed(pieces: DataFrame, sequence: int = SEQUENCE, units: int = UNITS, shar
     """
     spark = pieces.sparkSession
     parts = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    step = -(-sequence // units)
     order = [c for c in pieces.columns]
     placed = settled(
-        pieces.withColumn("_bin", F.ceil(F.col("length") / step).cast("int")).withColumn(
+        pieces.withColumn("_bin", F.col("length").cast("int")).withColumn(
             "_shard", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(parts)).cast("int")
         ),
         "pieces",
@@ -179,11 +207,11 @@ def packed(pieces: DataFrame, sequence: int = SEQUENCE, units: int = UNITS, shar
     counts = placed.groupBy("_bin", "_shard").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("_bin").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
     firsts = settled(counts.withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0))), "firsts")
-    histogram = np.zeros(units + 1, dtype=np.int64)
+    histogram = np.zeros(sequence + 1, dtype=np.int64)
     for row in firsts.groupBy("_bin").agg(F.sum("_n").alias("n")).collect():
         histogram[row["_bin"]] = row["n"]
     slots = spark.createDataFrame(
-        slots_of(plan_of(histogram, units)), "_bin int, _from long, _times long, _sequence long, _place int"
+        slots_of(plan_of(histogram, units)), "_bin int, _from long, _ranks long, _times long, _sequence long, _place int"
     )
     within = Window.partitionBy("_bin", "_shard").orderBy(*order)
     ranked = (
@@ -192,13 +220,13 @@ def packed(pieces: DataFrame, sequence: int = SEQUENCE, units: int = UNITS, shar
         .withColumn("_rank", F.col("_first") + F.col("_row"))
         .drop("_first", "_row", "_shard")
     )
-    # The slots are bounded by the number of bins: a few thousand rows.
+    # The slots are bounded by the lengths and their fillings, not by the documents.
     s = F.broadcast(slots).alias("s")
-    fits = (F.col("r._bin") == F.col("s._bin")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_from") + F.col("_times"))
+    fits = (F.col("r._bin") == F.col("s._bin")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_from") + F.col("_ranks"))
     seated = ranked.alias("r").join(s, fits).select(
         *[F.col(f"r.{c}") for c in order],
-        (F.col("_sequence") + F.col("_rank") - F.col("_from")).alias("sequence_id"),
-        F.col("_place"),
+        (F.col("_sequence") + (F.col("_rank") - F.col("_from")) % F.col("_times")).alias("sequence_id"),
+        (F.col("_place") + F.expr("(_rank - _from) div _times")).alias("_place"),
     )
     ahead = Window.partitionBy("sequence_id").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
     return seated.select(
