@@ -60,6 +60,23 @@ def as_columns(rows: DataFrame, schema: T.StructType | str) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
 
 
+#: Most keys of one join that are broadcast for being frequent.
+FREQUENT_KEYS = 1 << 16
+
+
+def attached(rows: DataFrame, table: DataFrame, key: str, copies: str) -> DataFrame:
+    """Each of ``rows`` with its row of ``table``, which says in ``copies`` how many rows share its key.
+
+    Keys of more than one in FREQUENT_KEYS of all rows cannot outnumber
+    FREQUENT_KEYS: they are broadcast, so no task gets all rows of one.
+    """
+    total = table.agg(F.sum(copies)).first()[0] or 0
+    often = F.col(copies) > total // FREQUENT_KEYS
+    frequent = F.broadcast(table.where(often).drop(copies))
+    others = rows.join(F.broadcast(table.where(often).select(key)), key, "left_anti")
+    return rows.join(frequent, key).unionByName(others.join(table.where(~often).drop(copies), key))
+
+
 @cache
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer's file on the machine that asks."""

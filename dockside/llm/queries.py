@@ -16,6 +16,7 @@ from dockside.llm import (
     quality_model,
     quality_rules,
     secrets_scan,
+    simhash_links,
     topk,
     toxicity,
 )
@@ -86,6 +87,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *[F.col(f"{quality_rules.RULES}.{c}").alias(c) for c in shown])
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document, by SimHash at three bits."""
+    return simhash_links.simhash_groups(read_table(tune(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -99,6 +105,7 @@ QUERIES: dict[str, Query] = {
         op8_exact_top_k,
         op9_arrow_token_files,
         op10_quality_rules,
+        op11_simhash_near_dedup,
     )
 }
 
