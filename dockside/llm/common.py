@@ -19,14 +19,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settled(rows: DataFrame, label: str) -> DataFrame:
+def settled(rows: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``rows`` written to the shared checkpoint folder and read back.
 
     Cuts the lineage: what is built on it survives the loss of any executor
     without computing ``rows`` again, and sees the same rows each time.
     """
     path = scratch_path(rows.sparkSession, label)
-    rows.write.parquet(path)
+    rows.write.parquet(path, compression=compression)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

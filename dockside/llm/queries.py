@@ -17,6 +17,7 @@ from dockside.llm import (
     quality_rules,
     secrets_scan,
     simhash_links,
+    token_alignment,
     topk,
     toxicity,
 )
@@ -92,6 +93,11 @@ def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_links.simhash_groups(read_table(tune(spark), sf_dir, "documents"))
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of every document's tokens by the byte-level vocabulary and the piece model."""
+    return token_alignment.token_alignment(read_table(tune(spark), sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -106,6 +112,7 @@ QUERIES: dict[str, Query] = {
         op9_arrow_token_files,
         op10_quality_rules,
         op11_simhash_near_dedup,
+        op12_cross_tokenizer_alignment,
     )
 }
 
