@@ -20,6 +20,7 @@ from dockside.llm import (
     token_alignment,
     topk,
     toxicity,
+    whitening,
 )
 from dockside.llm.common import read_table
 from dockside.session import scratch_path, tune
@@ -98,6 +99,11 @@ def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return token_alignment.token_alignment(read_table(tune(spark), sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first eight components of all vectors, in units of their spread."""
+    return whitening.whitened(read_table(tune(spark), sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -113,6 +119,7 @@ QUERIES: dict[str, Query] = {
         op10_quality_rules,
         op11_simhash_near_dedup,
         op12_cross_tokenizer_alignment,
+        op13_embedding_whitening,
     )
 }
 
