@@ -2,22 +2,25 @@
 
 An expression is a word or a pair of neighbours.  Per class (toxic, ordinary)
 its documents are counted over all labelled rows; a text counts once.  Every
-counted expression is scored.  Its probability in a class is its discounted
+expression of a text is scored.  Its probability in a class is its discounted
 count, interpolated with a probability that both classes share:
 
-    P(e | c) = A(e) * max(n(e, c) - D, 0) / n(c)  +  (1 - A(e) * (1 - L)) * S(e)
+    P(e | c) = A(e) * (n(e, c) - D(n)) / n(c)  +  (1 - A(e) * (1 - L)) * S(e)
 
 S of a word is the share of documents that hold it; S of a pair is the
-continuation count of its last word, the distinct pairs that end in it.  L is
-the mass that discounting frees.  A is the probability, by Bayes' rule, that the
-classes use the expression at different rates: near 0 for rare expressions,
-which back off to what both classes share, and near 1 where counts tell them
-apart.  A text's score compares its log-likelihoods under both models, per word;
-a logistic curve, fitted on labelled rows that the counts have not seen, makes a
-probability of it.
-
-The counts stay a written table.  The most frequent expressions, as many as
-fit a measured room, are looked up where texts are read; all others are joined.
+continuation count of its last word, the distinct pairs that end in it.  The
+discount D is the whole of a count of one, and 0.75 of a larger one; L is the mass
+that discounting frees.  A is the probability, by Bayes' rule, that the classes
+use the expression at different rates: near 0 for rare expressions, which back
+off to what both classes share, and near 1 where counts tell them apart.  What no
+class holds twice has the shared probability in both: its log-ratio is zero, so
+it takes part in the freed mass and in the continuation counts, and no lookup is
+needed to score it.  A text's score compares its log-likelihoods under both
+models, per word; a logistic curve, fitted on labelled rows that the counts have
+not seen, makes a probability of it.
+
+The log-ratios are a written table.  The most frequent expressions, as many as
+fit a fixed room, are looked up where texts are read; all others are joined.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dockside.llm.common import fold, settled, whole_text
 from dockside.llm.hashing import WordHashes, windows
@@ -40,6 +44,7 @@ WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class Smoothing:
+    #: Of counts from two on; a count of one is discounted whole.
     discount: float = 0.75
     #: Share of expressions that are taken to differ between the classes before any count is seen.
     differing: float = 0.001
@@ -91,6 +96,29 @@ def counted(rows: DataFrame) -> DataFrame:
     return parts.groupBy("e").agg(F.max("word").alias("word"), F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
 
 
+#: A row of ``tallied`` is one expression that some class holds twice, or the sums over the pairs that end in a word, or over all words.
+REPEATED, ENDING, WORDS = 0, 1, 2
+
+
+def tallied(counts: DataFrame) -> DataFrame:
+    """What the model needs of the counts, in one written table of kinds.
+
+    Expressions that no class holds twice, most of all, go in as sums only, so the
+    table is far smaller than the counts; both parts come from one shuffle.
+    """
+    repeated = counts.where(F.greatest("c0", "c1") > 1)
+    repeated = repeated.select(F.lit(REPEATED).alias("kind"), "e", "word", "c0", "c1", *[F.lit(0).cast("bigint").alias(c) for c in ("k", "k0", "k1", "s0", "s1")])
+    is_pair = F.col("e") != F.col("word")
+    sums = counts.groupBy(F.when(is_pair, ENDING).otherwise(WORDS).alias("kind"), F.when(is_pair, F.col("word")).alias("word")).agg(
+        F.sum("c0").alias("c0"),
+        F.sum("c1").alias("c1"),
+        F.count("*").alias("k"),
+        *[F.count_if(F.col(f"c{c}") > 0).alias(f"k{c}") for c in (0, 1)],
+        *[F.count_if(F.col(f"c{c}") == 1).alias(f"s{c}") for c in (0, 1)],
+    )
+    return settled(repeated.unionByName(sums.withColumn("e", F.lit(None).cast("bigint"))), "expressions")
+
+
 def log_factorial(n: np.ndarray) -> np.ndarray:
     """log(n!) by Stirling's series of log((n + 8)!), divided down."""
     x = np.asarray(n, float)
@@ -114,35 +142,47 @@ def differs(c0: np.ndarray, c1: np.ndarray, share: float, before: float) -> np.n
 SCALE = 1 << 24
 
 
+def discounted(c: np.ndarray, how: Smoothing) -> np.ndarray:
+    return np.where(c > 1, c - how.discount, 0.0)
+
+
 def log_ratios(c0, c1, shared, backoff, n0: int, n1: int, how: Smoothing) -> np.ndarray:
     """log P(e | toxic) / P(e | ordinary), times SCALE."""
     a = differs(c0, c1, n1 / (n0 + n1), how.differing)
     left = (1 - a * (1 - backoff)) * shared
-    toxic, ordinary = (a * np.maximum(c - how.discount, 0) / n + left for c, n in ((c1, n1), (c0, n0)))
+    toxic, ordinary = (a * discounted(c, how) / n + left for c, n in ((c1, n1), (c0, n0)))
     return np.rint(np.log(toxic / ordinary) * SCALE).astype(np.int64)
 
 
-def weighed(counts: DataFrame, n0: int, n1: int, how: Smoothing, budget: JoinBudget) -> DataFrame:
-    """(e, level, ratio) of every counted expression; ``level`` is a fourth-root-of-two step of its documents."""
-    is_pair, n = F.col("e") != F.col("word"), n0 + n1
-    sums = [f(c) for c in ("c0", "c1") for f in (lambda c: F.sum(c).alias(f"t{c[1]}"), lambda c: F.count_if(F.col(c) > 0).alias(f"k{c[1]}"))]
-    mass = {r["pair"]: r for r in counts.groupBy(is_pair.alias("pair")).agg(F.count("*").alias("k"), *sums).collect()}
-    # The mass that discounting frees, the same share in both classes.
-    freed = {p: how.discount * max(r["k0"] / max(1, r["t0"]), r["k1"] / max(1, r["t1"])) for p, r in mass.items()}
+def weighed(tallies: DataFrame, n0: int, n1: int, how: Smoothing, budget: JoinBudget) -> DataFrame:
+    """(e, level, ratio) of every expression that some class holds twice; ``level`` is a fourth-root-of-two step of its documents."""
+    sums = tallies.where(F.col("kind") != REPEATED)
+    total = sums.groupBy("kind").agg(*[F.sum(c).alias(c) for c in ("c0", "c1", "k", "k0", "k1", "s0", "s1")])
+    mass = {r["kind"]: r for r in total.collect()}
+
+    def freed(kind: int) -> float:
+        """The share of mass that discounting frees: that of the class which frees more, for both."""
+        found = mass.get(kind)
+        parts = [(r[f"s{c}"] + how.discount * (r[f"k{c}"] - r[f"s{c}"])) / max(1, r[f"c{c}"]) for r in ([found] if found else []) for c in (0, 1)]
+        return max(parts, default=0.0)
+
+    n = n0 + n1
     columns = ["e", "c0", "c1"]
-    words = counts.where(~is_pair).select(*columns, ((F.col("c0") + F.col("c1")) / n).alias("shared"), F.lit(freed.get(False, 0.0)).alias("backoff"))
-    pairs = counts.where(is_pair)
-    ends = sized(settled(pairs.groupBy("word").agg(F.count("*").alias("ending")), "continuations"), budget=budget)
-    pairs = pairs.join(F.broadcast(ends.rows) if ends.small() else ends.rows, "word")
+    repeated = tallies.where(F.col("kind") == REPEATED)
+    is_pair = F.col("e") != F.col("word")
+    words = repeated.where(~is_pair).select(*columns, ((F.col("c0") + F.col("c1")) / n).alias("shared"), F.lit(freed(WORDS)).alias("backoff"))
+    ends = sized(sums.where(F.col("kind") == ENDING).select("word", F.col("k").alias("ending")), budget=budget)
+    pairs = repeated.where(is_pair).join(F.broadcast(ends.rows) if ends.small() else ends.rows, "word")
     # Of all pairs that documents hold, so many a document would end in the word.
-    per_pair = (mass[True]["t0"] + mass[True]["t1"]) / n / mass[True]["k"] if True in mass else 0.0
-    pairs = pairs.select(*columns, (F.col("ending") * per_pair).alias("shared"), F.lit(freed.get(True, 0.0)).alias("backoff"))
+    per_pair = (mass[ENDING]["c0"] + mass[ENDING]["c1"]) / n / mass[ENDING]["k"] if ENDING in mass else 0.0
+    pairs = pairs.select(*columns, (F.col("ending") * per_pair).alias("shared"), F.lit(freed(ENDING)).alias("backoff"))
 
     def ratio(c0: pd.Series, c1: pd.Series, shared: pd.Series, backoff: pd.Series) -> pd.Series:
         return pd.Series(log_ratios(*(x.to_numpy(float) for x in (c0, c1, shared, backoff)), n0, n1, how))
 
     level = F.floor(4 * F.log2(F.col("c0") + F.col("c1"))).cast("int")
-    return words.unionByName(pairs).select("e", level.alias("level"), F.pandas_udf(ratio, "bigint")("c0", "c1", "shared", "backoff").alias("ratio"))
+    of_each = F.pandas_udf(ratio, "bigint")("c0", "c1", "shared", "backoff").alias("ratio")
+    return settled(words.unionByName(pairs).select("e", level.alias("level"), of_each), "weights")
 
 
 #: Bits of the filter that keeps expressions without a ratio from being joined; it may only let more through.
@@ -151,7 +191,7 @@ FILTER_BITS = 1 << 26
 
 @dataclass(frozen=True)
 class Model:
-    """Log-ratios of all counted expressions, and the logistic curve.
+    """Log-ratios of the expressions that some class holds twice, and the logistic curve.
 
     ``keys`` (ascending hashes) and ``ratios`` are those at hand, bounded by
     ``Smoothing.at_hand``; ``others`` (e, ratio) is the table of the rest, and
@@ -173,7 +213,7 @@ class Model:
 
 
 def model_of(weights: DataFrame, how: Smoothing) -> Model:
-    """The model without its curve; ``weights`` are computed from written counts where they are used."""
+    """The model without its curve, from the written ``weights``."""
     at_hand, least = 0, None
     for row in weights.groupBy("level").count().orderBy(F.desc("level")).collect():
         at_hand += row["count"]
@@ -200,22 +240,23 @@ def text_key(text: Column) -> list[Column]:
 TEXTS_AT_ONCE = 256
 
 
-def totals(texts: DataFrame, model: Model) -> DataFrame:
-    """(key, more, total, words) of each distinct ``text``: its summed log-ratios and its number of words.
+def totals(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` (own columns and ``text``) with total and words instead of the text: summed log-ratios and number of words.
 
-    A text sums what is at hand where it is read and sends the rest, one row per
-    expression, to the table; copies of a text send as many rows each, which are
-    added up and divided by their number.
+    A text sums what is at hand where it is read.  The rest, one narrow row per
+    expression, meets the table in a join; of it only what the filter lets through.
     """
-    shared = texts.sparkSession.sparkContext.broadcast((model.keys, model.ratios, model.bits))  # bounded by Smoothing.at_hand and FILTER_BITS
+    shared = rows.sparkSession.sparkContext.broadcast((model.keys, model.ratios, model.bits))  # bounded by Smoothing.at_hand and FILTER_BITS
+    own = [f for f in rows.schema.fields if f.name != "text"]
+    names = [f.name for f in own]
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         keys, ratios, bits = shared.value
         for batch in batches:
             for at in range(0, len(batch), TEXTS_AT_ONCE):
                 some = batch.iloc[at : at + TEXTS_AT_ONCE]
-                sums, sizes, rest = [], [], []
+                sums, sizes, rest, often = [], [], [], []
                 for text in some["text"]:
                     words, pairs = expressions(text, hashes)
                     e, times = np.unique(np.concatenate([words, pairs[1:]]), return_counts=True)
@@ -226,30 +267,24 @@ def totals(texts: DataFrame, model: Model) -> DataFrame:
                         known = keys[place] == e
                         total = int((ratios[place] * times)[known].sum())
                     known |= (bits[(e >> np.uint64(6)) % np.uint64(len(bits))] >> (e & np.uint64(63))) & np.uint64(1) == 0
-                    rest.append((e[~known], times[~known]))
                     sums.append(total)
                     sizes.append(len(words))
-                n = [len(e) for e, _ in rest]
-                key, more = some["key"].to_numpy(np.int64), some["more"].to_numpy(np.int32)
-                # A row for the text itself; no expression of it is counted.
-                yield pd.DataFrame({"key": key, "more": more, "e": key, "times": 0, "near": sums, "words": sizes, "copies": 1})
-                if sum(n):
-                    e, times = (np.concatenate([x[k] for x in rest]) for k in (0, 1))
-                    yield pd.DataFrame({"key": np.repeat(key, n), "more": np.repeat(more, n), "e": e.view(np.int64), "times": times, "near": 0, "words": 0, "copies": 0})
-
-    schema = "key bigint, more int, e bigint, times int, near bigint, words int, copies int"
-    parts = texts.select(*text_key(F.col("text")), "text").mapInPandas(split, schema)
-    summed = (
-        parts.join(model.others, "e", "left")
-        .groupBy("key", "more")
-        .agg(
-            F.coalesce(F.sum(F.col("times") * F.col("ratio")), F.lit(0)).alias("far"),
-            F.sum("copies").alias("copies"),
-            F.max(F.when(F.col("copies") > 0, F.col("near"))).alias("near"),
-            F.max("words").cast("bigint").alias("words"),
-        )
-    )
-    return summed.select("key", "more", (F.col("near") + F.expr("far div copies")).alias("total"), "words")
+                    rest.append(e[~known].view(np.int64))
+                    often.append(times[~known].astype(np.int32))
+                frame = some[names].copy()
+                for name, values in (("near", sums), ("words", sizes), ("rest", rest), ("often", often)):
+                    frame[name] = pd.Series(values, index=some.index)
+                yield frame
+
+    schema = T.StructType(own).simpleString()[len("struct<") : -1]
+    found = rows.mapInPandas(look_up, f"{schema}, near bigint, words bigint, rest array<bigint>, often array<int>".lstrip(", "))
+    if model.others.isEmpty():
+        return found.select(*names, F.col("near").alias("total"), "words")
+    found = settled(found.withColumn("at", F.monotonically_increasing_id()), "looked-up", compression="zstd")
+    each = found.select("at", F.explode(F.arrays_zip("rest", "often")).alias("x")).select("at", F.col("x.rest").alias("e"), F.col("x.often").alias("times"))
+    far = each.join(model.others, "e").groupBy("at").agg(F.sum(F.col("times") * F.col("ratio")).alias("far"))
+    both = found.drop("rest", "often").join(far, "at", "left")
+    return both.select(*names, (F.col("near") + F.coalesce("far", F.lit(0))).alias("total"), "words")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -278,14 +313,13 @@ def trained(rows: DataFrame, how: Smoothing = Smoothing(), calibrate: int = 50_0
     n0, n1 = sizes.get((0, False), 0), sizes.get((1, False), 0)
     if not n0 or not n1:
         return None
-    counts = settled(counted(rows.where(~chosen)), "expressions")
-    model = model_of(weighed(counts, n0, n1, how, budget), how)
+    model = model_of(weighed(tallied(counted(rows.where(~chosen))), n0, n1, how, budget), how)
 
     held = sum(v for (_, h), v in sizes.items() if h)
     part = rows.where(chosen)
     if held > calibrate:
         part = part.where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(1_000_000)) < int(1_000_000 * calibrate / held))
-    seen = part.select(*text_key(F.col("text")), "toxic").join(totals(part, model), ["key", "more"]).select("total", "words", "toxic").collect()
+    seen = totals(part.select("text", "toxic"), model).select("total", "words", "toxic").collect()
     seen.sort()  # sums of the fit depend on the order
     y = np.array([r["toxic"] for r in seen], dtype=float)
     if not len(y) or y.min() == y.max():
@@ -315,9 +349,8 @@ def scored(documents: DataFrame, labels: DataFrame, how: Smoothing = Smoothing()
     own = [F.col("doc_id").cast("bigint").alias("doc_id"), (fold(3) == 1).alias("held_out")]
     if model is None:
         return documents.select(*own, F.lit(0.5).alias("score"))
-    rows = documents.select(*own, *text_key(whole_text()))
-    found = totals(documents.select(whole_text().alias("text")), model)
-    return rows.join(found, ["key", "more"]).select("doc_id", "held_out", model.score(F.col("total"), F.col("words")).alias("score"))
+    found = totals(documents.select(*own, whole_text().alias("text")), model)
+    return found.select("doc_id", "held_out", model.score(F.col("total"), F.col("words")).alias("score"))
 
 
 def not_toxic(
@@ -327,9 +360,9 @@ def not_toxic(
     model = toxicity_model(documents, labels, how, budget)
     if model is None:
         return documents.where(F.lit(0.5) < limit)
-    found = totals(documents.select(whole_text().alias("text")), model)
+    found = totals(documents.select(*text_key(whole_text()), whole_text().alias("text")), model)
     high = found.where(model.score(F.col("total"), F.col("words")) >= limit)
-    high = settled(high.select(F.col("key").alias("__key"), F.col("more").alias("__more")), "toxic")
+    high = settled(high.select(F.col("key").alias("__key"), F.col("more").alias("__more")).distinct(), "toxic")
     side = sized(high, budget=budget)
     key, more = text_key(whole_text())
     return documents.join(F.broadcast(side.rows) if side.small() else side.rows, (F.col("__key") == key) & (F.col("__more") == more), "left_anti")

@@ -101,3 +101,48 @@ def test_joined_expressions_score_like_those_at_hand(spark):
         scores = toxicity.scored(documents, known, toxicity.Smoothing(at_hand=at_hand)).collect()
         found.append(sorted((-1 if r["doc_id"] is None else r["doc_id"], r["score"]) for r in scores))
     assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+
+
+def plain_expressions(text):
+    words = toxicity.WORD.findall(text.lower())
+    return words, list(zip(words, words[1:], strict=False))
+
+
+def test_counts_ratios_and_sums_equal_plain_ones(spark):
+    """200 documents: every expression counted, weighed and summed one by one."""
+    from collections import Counter, defaultdict
+
+    rows, labels = insulting(20)
+    rows, toxic = rows[:200], dict(labels[:200])
+    how = toxicity.Smoothing(at_hand=50)
+    frame = spark.createDataFrame([(t, toxic[i]) for i, t in rows], "text string, toxic int").repartition(3)
+    n = Counter(toxic.values())
+    counts = defaultdict(lambda: [0, 0])
+    for i, text in rows:
+        words, pairs = plain_expressions(text)
+        for e in {*words, *pairs}:
+            counts[e][toxic[i]] += 1
+    ends = Counter(e[1] for e in counts if isinstance(e, tuple))
+    kinds = {kind: [c for e, c in counts.items() if isinstance(e, kind)] for kind in (str, tuple)}
+    freed = {k: max(sum(1 if c[x] == 1 else 0.75 for c in cs if c[x]) / sum(c[x] for c in cs) for x in (0, 1)) for k, cs in kinds.items()}
+    held = sum(map(sum, kinds[tuple]))
+
+    def ratio(e):
+        c0, c1 = counts[e] if e in counts else (0, 0)
+        if max(c0, c1) < 2:
+            return 0
+        shared = ends[e[1]] * held / 200 / len(kinds[tuple]) if isinstance(e, tuple) else (c0 + c1) / 200
+        of = toxicity.log_ratios(*(np.array([float(x)]) for x in (c0, c1, shared, freed[type(e)])), n[0], n[1], how)
+        return int(of[0])
+
+    weights = toxicity.weighed(toxicity.tallied(toxicity.counted(frame)), n[0], n[1], how, toxicity.JoinBudget())
+    wanted = {e: ratio(e) for e, c in counts.items() if max(c) > 1}
+    got = sorted(r["ratio"] for r in weights.collect())
+    assert len(got) == len(wanted) and np.abs(np.array(got) - sorted(wanted.values())).max() <= 1
+    model = toxicity.model_of(weights, how)
+    assert 0 < len(model.keys) <= 50
+    texts = spark.createDataFrame([*rows, (999, ""), (1000, "never seen before")], "id long, text string")
+    for r in toxicity.totals(texts, model).collect():
+        words, pairs = plain_expressions(dict(rows).get(r["id"], "never seen before" if r["id"] == 1000 else ""))
+        assert r["words"] == len(words)
+        assert abs(r["total"] - sum(map(ratio, words)) - sum(map(ratio, pairs))) <= len(words) + len(pairs)
