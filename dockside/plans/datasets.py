@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +43,12 @@ class DatasetSpec:
     cleanup_staging: bool = True
     cleanup_final: bool = True
     cleanup_stale: bool = True
+    #: Buckets of the final table; about a gigabyte each is a good size.
+    buckets: int = 8
+    #: States of the final table that stay readable, the current one included.
+    keep_states: int = 2
+    #: Written parts that nothing names are dropped from this age on.
+    orphan_age: timedelta = timedelta(days=1)
 
     def columns_of(self, kind: type[T.DataType]) -> list[str]:
         return [f.name for f in self.schema.fields if isinstance(f.dataType, kind)]

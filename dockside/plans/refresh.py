@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from dockside.sinks.tables import (
     append_batch,
     batch_id_of,
     create_tables,
+    newest_staged,
     publish,
     read_final,
     read_staging,
@@ -56,10 +58,13 @@ def newest_stamp(staging: DataFrame, spec: DatasetSpec, as_of: date | str) -> in
     return left.agg(F.unix_micros(F.max(STAMP)).alias("newest")).first()["newest"]
 
 
-def next_final(final: DataFrame, staging: DataFrame, spec: DatasetSpec, as_of: date | str) -> DataFrame:
+def next_final(
+    final: DataFrame, staging: DataFrame, spec: DatasetSpec, as_of: date | str, newest: Callable[[], int | None] | None = None
+) -> DataFrame:
     """The final table after upsert of the recent batches, retention and stale removal.
 
-    ``staging`` comes with its load day.  The deletes are moved ahead of the
+    ``staging`` comes with its load day; ``newest`` tells the newest load time that
+    staging retention leaves, where that is known without a look at all of it.  The deletes are moved ahead of the
     upsert, which gives the same rows: an old row that they delete would be
     replaced or deleted afterwards, and a staged row older than the newest batch
     would be deleted afterwards.  So a nightly run reads the newest batch, and
@@ -72,7 +77,7 @@ def next_final(final: DataFrame, staging: DataFrame, spec: DatasetSpec, as_of: d
         return delete_out_of_window(rows, spec.date_column, as_of, spec.days_back, spec.days_forward)
 
     recent = recent_batches(staging, as_of, spec.recent_days, LOAD_DAY)
-    newest = newest_stamp(staging, spec, as_of) if spec.cleanup_stale else None
+    newest = (newest() if newest else newest_stamp(staging, spec, as_of)) if spec.cleanup_stale else None
     if newest is None:
         return in_time(upsert_newest(in_time(final), recent, KEY, spec.newest_first))
 
@@ -96,12 +101,13 @@ def load_batch(
     as_of: date | str,
     stamp: datetime,
     use_merge: bool = True,
-    notes: dict[str, str] | None = None,
+    notes: dict[str, str | int] | None = None,
 ) -> int:
     """Append a batch and bring the final table up to date; returns rows loaded.
 
     The new state is live before staging is trimmed; with ``notes``, a failure of
-    the trim is noted there under "cleanup" and the load stands.
+    the trim is noted there under "cleanup" and the load stands; otherwise the
+    number of staged rows that went is.
 
     An empty batch leaves both tables as they are.  Without ``use_merge`` only
     staging grows.
@@ -110,10 +116,13 @@ def load_batch(
     loaded = append_batch(spark, database, spec, prepared(rows, spec, stamp), batch_id_of(stamp))
     if loaded and use_merge:
         staging = read_staging(spark, database, spec, with_load_day=True)
-        publish(spark, database, spec, next_final(read_final(spark, database, spec), staging, spec, as_of))
+        newest = lambda: newest_staged(spark, database, spec, as_of)
+        publish(spark, database, spec, next_final(read_final(spark, database, spec), staging, spec, as_of, newest))
         if spec.cleanup_staging:
             try:
-                trim_staging(spark, database, spec, as_of)
+                deleted = trim_staging(spark, database, spec, as_of)
+                if notes is not None:
+                    notes["staging_rows_deleted"] = deleted
             except Exception as problem:
                 if notes is None:
                     raise

@@ -69,7 +69,7 @@ def run(
     }
     for name in chosen:
         spec = specs[name]
-        notes: dict[str, str] = {}
+        notes: dict[str, str | int] = {}
         try:
             with scratch_tables(spark):
                 rows = spec.sample(spark, day) if samples else extract(spec, src, window)

@@ -2,59 +2,40 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from dockside.operators.filters import recent_batches
-from dockside.operators.joins import DEFAULT_BUDGET, JoinBudget, keep_matching, once, sized
-from dockside.operators.latest import latest_per_key
-from dockside.operators.retention import delete_out_of_window
-from dockside.operators.upsert import upsert
-from dockside.plans.datasets import KEY, DatasetSpec, with_missing_keys
+from dockside.functions.dates import as_day
+from dockside.plans.datasets import DatasetSpec, with_missing_keys
 from dockside.plans.refresh import coerced
-from dockside.session import scratch_tables
-from dockside.sinks.tables import (
-    BATCH,
-    LOAD_DAY,
-    append_batch,
-    create_tables,
-    publish,
-    read_final,
-    read_staging,
-    staging_name,
-    trim_staging,
-)
+from dockside.sinks.states import merge_arrivals
+from dockside.sinks.tables import appended, create_tables, of_batches, trim_staging
 
 
 def apply_arrivals(
-    rows: DataFrame, batch_id: str, database: str, spec: DatasetSpec, as_of: date | str, budget: JoinBudget
+    rows: DataFrame, batch_id: str, database: str, spec: DatasetSpec, as_of: date | str
 ) -> None:
     """Stage one micro-batch and upsert the keys it brought.
 
-    Those keys take their newest row over all recent staging, so a late batch
-    never overwrites a newer row.  A replay of the same micro-batch rewrites the
-    same staging partitions and ends in the same state.  Rows without a key get
-    the dataset's own.  Staged rows outside the retention window go once their
-    batch is no longer recent; until then they still win over late batches.
-    Stale removal expects complete batches and is left out.
+    Arriving rows compete with the rows of the final table's state, so a late
+    batch never overwrites a newer row; of staging only the batch itself is read,
+    and of the final table only the buckets it touches are rewritten.  A replay of
+    the same micro-batch replaces its staged rows and ends in the same state.  Rows
+    without a key get the dataset's own.  Batches that are no longer recent are
+    staged only.  Staged rows outside the retention window go once their batch is
+    no longer recent; until then they still win over late batches.  Stale removal
+    expects complete batches and is left out.
     """
     spark = rows.sparkSession
-    if not append_batch(spark, database, spec, with_missing_keys(coerced(rows, spec), spec), batch_id):
+    staged = appended(spark, database, spec, with_missing_keys(coerced(rows, spec), spec), batch_id)
+    if not staged:
         return
-    recent = recent_batches(read_staging(spark, database, spec, with_load_day=True), as_of, spec.recent_days, LOAD_DAY)
-    recent = recent.select(*spec.schema.names)
-    arrived = spark.table(staging_name(database, spec)).where(F.col(BATCH) == batch_id).select(KEY).distinct()
-    touched = keep_matching(recent, sized(arrived, budget=budget), KEY)
-    with scratch_tables(spark):
-        latest = once(latest_per_key(touched, KEY, spec.newest_first), "latest", budget=budget)
-        merged = upsert(read_final(spark, database, spec), latest.rows, KEY, small_source=latest.small(KEY))
-        if spec.cleanup_final:
-            merged = delete_out_of_window(merged, spec.date_column, as_of, spec.days_back, spec.days_forward)
-        publish(spark, database, spec, merged)
+    oldest = as_day(as_of) - timedelta(days=spec.recent_days)
+    recent = [b for b in staged if b.load_date >= oldest]
+    merge_arrivals(spark, database, spec, of_batches(spark, database, spec, recent).select(*spec.schema.names), as_of)
     if spec.cleanup_staging:
         trim_staging(spark, database, spec, as_of, spec.recent_days)
 
@@ -67,7 +48,6 @@ def upsert_stream(
     checkpoint: str,
     as_of: date | str,
     files_per_batch: int = 1000,
-    budget: JoinBudget = DEFAULT_BUDGET,
 ) -> StreamingQuery:
     """Work through the stamped parquet batches in ``landing``, then stop.
 
@@ -81,7 +61,7 @@ def upsert_stream(
         arriving.writeStream.queryName(f"{spec.name}_upserts")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(
-            lambda rows, number: apply_arrivals(rows, f"{stream}{number:012d}", database, spec, as_of, budget)
+            lambda rows, number: apply_arrivals(rows, f"{stream}{number:012d}", database, spec, as_of)
         )
         .trigger(availableNow=True)
         .start()

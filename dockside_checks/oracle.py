@@ -167,6 +167,10 @@ ORACLE: dict[str, str] = {
     "src_param_binding": over_views(f"SELECT po, postr, dateexp FROM pohdr WHERE {SPAN}"),
     "src_rename_columns": over_views("SELECT * FROM pohdr"),
     "snk_append_staging": over_views(f"SELECT {COLUMNS} FROM staged"),
+    "snk_batch_ledger": over_views(
+        "SELECT load_date, count(*) AS rows, count(*) FILTER (business_date IS NULL) AS undated, "
+        "min(business_date) AS least_day, max(business_date) AS greatest_day FROM staged GROUP BY load_date"
+    ),
     "fil_in_list": over_views(
         f"SELECT po, postr, pocode FROM pohdr WHERE postr IN {STORES} AND pocode IN ('O', 'D')"
     ),
@@ -290,10 +294,12 @@ ORACLE: dict[str, str] = {
     ),
     "mrg_upsert": over_lifecycle(f"SELECT {COLUMNS} FROM merged"),
     "del_out_of_window": over_lifecycle(f"SELECT {COLUMNS} FROM staged WHERE {KEPT}"),
+    "snk_trim_staging": over_lifecycle(f"SELECT {COLUMNS} FROM staged WHERE {KEPT}"),
     "del_stale": over_lifecycle(
         f"SELECT {COLUMNS} FROM newest WHERE NOT COALESCE(load_date < (SELECT load_date FROM last_batch), FALSE)"
     ),
     "po_inbound": over_views("SELECT * FROM inbound", *INBOUND),
+    "src_extract_from_files": over_views("SELECT * FROM inbound", *INBOUND),
     "po_inbound_dedup": over_views(
         "SELECT * FROM inbound QUALIFY row_number() OVER (PARTITION BY record_key ORDER BY "
         "shipnotice_date DESC NULLS LAST, latest_datercv DESC NULLS LAST, rcvdqty DESC, ooqty DESC, "
@@ -311,4 +317,5 @@ ORACLE: dict[str, str] = {
     ),
     "load_backfill": over_lifecycle(f"SELECT {COLUMNS} FROM merged WHERE {KEPT}", text_keys=True),
     "str_incremental_upsert": over_lifecycle(f"SELECT {COLUMNS} FROM merged WHERE {KEPT}", text_keys=True),
+    "str_upsert_bucketed": over_lifecycle(f"SELECT {COLUMNS} FROM merged WHERE {KEPT}", text_keys=True),
 }

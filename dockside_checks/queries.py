@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import fields, replace
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -33,12 +33,12 @@ from dockside.operators.retention import delete_out_of_window, delete_stale
 from dockside.operators.upsert import upsert
 from dockside.plans import breakout as br
 from dockside.plans import po_inbound as inb
-from dockside.plans.datasets import KEY, DatasetSpec
+from dockside.plans.datasets import KEY, DatasetSpec, extract, inbound_spec
 from dockside.plans.refresh import coerced, load_batch
 from dockside.rules import MISSING_TYPE
 from dockside.session import scratch_path, tune
-from dockside.sinks.tables import append_batch, create_tables, publish, read_final
-from dockside.sources.inputs import SourceTables, run_sql
+from dockside.sinks.tables import append_batch, create_tables, ledger, publish, read_final, read_staging, trim_staging
+from dockside.sources.inputs import SourceTables, TableRef, open_sources, run_sql
 from dockside.sources.naming import plain_names
 from dockside.streaming.incremental import upsert_stream
 
@@ -60,6 +60,16 @@ def src_windowed_extract(src: SourceTables) -> DataFrame:
     return within(src.pohdr, "dateexp", WINDOW)
 
 
+def src_extract_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables as files, opened by name and run through the dataset's extract."""
+    given, folder = sources(tune(spark), sf_dir), scratch_path(spark, "files")
+    names = [f.name for f in fields(SourceTables) if getattr(given, f.name) is not None]
+    for name in names:
+        getattr(given, name).write.parquet(f"{folder}/{name}")
+    opened = open_sources(spark, {name: TableRef("parquet", f"{folder}/{name}") for name in names})
+    return extract(inbound_spec(RULES), opened, WINDOW)
+
+
 def src_param_binding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "SELECT po, postr, dateexp FROM {headers} WHERE dateexp BETWEEN :start_date AND :end_date"
     return run_sql(tune(spark), text, WINDOW, headers=sources(spark, sf_dir).pohdr)
@@ -100,7 +110,7 @@ def fil_rolling_window(src: SourceTables) -> DataFrame:
 
 def join_star_inner(src: SourceTables) -> DataFrame:
     orders = once(inb.tracked_orders(src, WINDOW, RULES), "orders", "po")
-    known = sized(inb.items(src.skufile, src.vendmain))
+    known = once(inb.items(src.skufile, src.vendmain), "items", "sku")
     lines = attach(attach(src.podtl, orders, "po"), known, "sku")
     return lines.select("po", "type", "sku", "style", "vendname", "oounit", "rcunit")
 
@@ -131,7 +141,7 @@ def children_of(src: SourceTables) -> DataFrame:
 
 def allocations_of(src: SourceTables) -> DataFrame:
     repeats = inb.notice_repeats(src.wim, inb.family_headers(src.family_hdr))
-    allocated = inb.allocated_units(src.asndtl, sized(repeats))
+    allocated = inb.allocated_units(src.asndtl, once(repeats, "repeats", "asn"))
     return inb.known_only(allocated, inb.item_copies(src.skufile), "qty")
 
 
@@ -173,8 +183,8 @@ def join_parent_summary(src: SourceTables) -> DataFrame:
 def agg_sum_wide_key(src: SourceTables) -> DataFrame:
     orders = inb.tracked_orders(src, WINDOW, RULES)
     receipts = inb.latest_receipts(src.purhst, RULES)
-    known = sized(inb.items(src.skufile, src.vendmain))
-    return inb.order_lines(sized(orders.join(receipts, "po", "left")), src.podtl, known)
+    known = once(inb.items(src.skufile, src.vendmain), "items", "sku")
+    return inb.order_lines(once(orders.join(receipts, "po", "left"), "orders", "po"), src.podtl, known)
 
 
 def agg_distinct_parents(src: SourceTables) -> DataFrame:
@@ -188,12 +198,12 @@ def agg_listagg_ordered(src: SourceTables) -> DataFrame:
 def agg_child_qty(src: SourceTables) -> DataFrame:
     parents = once(br.parent_orders(src, WINDOW, RULES).select("po_man"), "parents", "po_man")
     children = once(keep_matching(br.child_headers(src.pohdr, src.potype, RULES), parents, "po_man"), "children", "po")
-    return br.child_quantities(children, src.child_dtl, sized(inb.items(src.child_sku, src.vendmain)))
+    return br.child_quantities(children, src.child_dtl, once(inb.items(src.child_sku, src.vendmain), "items", "sku"))
 
 
 def agg_pivot_store(src: SourceTables) -> DataFrame:
     children = br.child_headers(src.pohdr, src.potype, RULES)
-    known = sized(inb.items(src.child_sku, src.vendmain))
+    known = once(inb.items(src.child_sku, src.vendmain), "items", "sku")
     rows = br.child_quantities(once(children, "children", "po"), src.child_dtl, known)
     return br.store_pivot(rows, [F.col("po_man"), F.col("sku"), F.col("dateexp")], RULES)
 
@@ -338,9 +348,31 @@ def snk_append_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("record_key", "business_date", "event_id", "value", "load_date")
 
 
-def seeded_tables(spark: SparkSession, label: str, seed_rows: DataFrame) -> str:
+def staged_by_week(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """Every event in staging, a batch per week of load days; the first batch twice."""
+    database = fresh_tables(tune(spark), label)
+    rows, week = staging(spark, sf_dir), F.pmod(F.datediff("load_date", F.lit(EVENTS_AS_OF)), F.lit(5))
+    for number in (0, 1, 2, 3, 4, 0):
+        append_batch(spark, database, EVENTS, rows.where(week == number), f"part {number}")
+    return database
+
+
+def snk_batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger notes of each staged load day."""
+    database = staged_by_week(spark, sf_dir, "ledger")
+    return ledger(spark, database, EVENTS).select("load_date", "rows", "undated", "least_day", "greatest_day")
+
+
+def snk_trim_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging after a trim by the ledger."""
+    database = staged_by_week(spark, sf_dir, "trim")
+    trim_staging(spark, database, EVENTS, EVENTS_AS_OF)
+    return shown(read_staging(spark, database, EVENTS))
+
+
+def seeded_tables(spark: SparkSession, label: str, seed_rows: DataFrame, spec: DatasetSpec = EVENTS) -> str:
     database = fresh_tables(spark, label)
-    publish(spark, database, EVENTS, seed(seed_rows))
+    publish(spark, database, spec, seed(seed_rows))
     return database
 
 
@@ -362,22 +394,34 @@ def load_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def str_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches land in files out of order and are worked off in micro-batches."""
+    return upserted(spark, sf_dir, EVENTS, 2)
+
+
+def str_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in 24 buckets and batch by batch, each state on the one before."""
+    return upserted(spark, sf_dir, replace(EVENTS, buckets=24), 1)
+
+
+def upserted(spark: SparkSession, sf_dir: str, spec: DatasetSpec, files_per_batch: int) -> DataFrame:
     rows = staging(tune(spark), sf_dir)
-    database = seeded_tables(spark, "stream", coerced(rows, EVENTS))
+    database = seeded_tables(spark, "stream", coerced(rows, EVENTS), spec)
     landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "progress")
     rows.repartition(4, "load_timestamp").select(*EVENTS.schema.names).write.parquet(landing)
     upsert_stream(
-        spark, database, EVENTS, landing, checkpoint, EVENTS_AS_OF, files_per_batch=2
+        spark, database, spec, landing, checkpoint, EVENTS_AS_OF, files_per_batch=files_per_batch
     ).awaitTermination()
     return shown(read_final(spark, database, EVENTS))
 
 
 QUERIES: dict[str, Query] = {
     "src_windowed_extract": over_sources(src_windowed_extract),
+    "src_extract_from_files": src_extract_from_files,
     "src_param_binding": src_param_binding,
     "src_rename_columns": over_sources(src_rename_columns),
     "src_typed_inputs": over_sources(src_typed_inputs),
     "snk_append_staging": snk_append_staging,
+    "snk_batch_ledger": snk_batch_ledger,
+    "snk_trim_staging": snk_trim_staging,
     "fil_in_list": over_sources(fil_in_list),
     "fil_date_between": over_sources(lambda src: within(src.pohdr, "dateexp", WINDOW).select("po", "dateexp")),
     "fil_non_blank": over_sources(lambda src: src.pohdr.where(non_blank(F.col("po_man"))).select("po", "po_man")),
@@ -427,4 +471,5 @@ QUERIES: dict[str, Query] = {
     "load_lifecycle": load_lifecycle,
     "load_backfill": load_backfill,
     "str_incremental_upsert": str_incremental_upsert,
+    "str_upsert_bucketed": str_upsert_bucketed,
 }

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from dockside.functions.dates import date_window
 from dockside.operators.filters import recent_batches
-from dockside.operators.joins import JoinBudget
 from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_out_of_window, delete_stale
 from dockside.operators.upsert import upsert
@@ -21,13 +20,13 @@ from dockside.plans.refresh import load_batch, next_final, prepared
 from dockside.plans.runs import create_all, run
 from dockside.schemas import BREAKOUT_SCHEMA, INBOUND_SCHEMA, table_schema
 from dockside.session import SCRATCH_DATABASE, scratch_path
+from dockside.sinks.states import current_state, partitions_of
 from dockside.sinks.tables import (
     append_batch,
     create_tables,
     publish,
     read_final,
     read_staging,
-    snapshots,
     trim_staging,
 )
 from dockside.streaming.incremental import upsert_stream
@@ -100,8 +99,8 @@ def test_publishing_keeps_one_state_back(spark, database):
     create_tables(spark, database, SPEC)
     names = [publish(spark, database, SPEC, prepared(batch(spark, ("a", 0, n)), SPEC, NOW)) for n in range(3)]
     assert final_rows(spark, database) == [("a", 2)]
-    assert snapshots(spark, database, SPEC) == {"current": names[2], "previous": names[1]}
-    assert [spark.catalog.tableExists(n) for n in names] == [False, True, True]
+    assert current_state(spark, database, SPEC).kept == (names[2], names[1])
+    assert len({p["version"] for p in partitions_of(spark, f"{database}.{SPEC.final_table}__buckets")}) == 2
 
 
 def test_a_failed_state_leaves_the_old_one(spark, database):
@@ -120,7 +119,7 @@ def test_trimming_rewrites_and_drops_partitions(spark, database):
         "good": batch(spark, ("f", 60, 6)),
     }.items():
         append_batch(spark, database, SPEC, prepared(rows, SPEC, NOW), name)
-    trim_staging(spark, database, SPEC, TODAY)
+    assert trim_staging(spark, database, replace(SPEC, orphan_age=timedelta(0)), TODAY) == 3
     left = read_staging(spark, database, SPEC).collect()
     assert sorted(r["record_key"] for r in left) == ["b", "c", "f"]
     assert spark.sql(f"SHOW PARTITIONS {database}.{SPEC.staging_table}").count() == 2
@@ -269,8 +268,7 @@ def stamped(spark, *rows):
     return spark.createDataFrame(data, SPEC.schema)
 
 
-@pytest.mark.parametrize("budget", [JoinBudget(), JoinBudget(0)])
-def test_micro_batches_end_where_one_batch_does(spark, database, budget):
+def test_micro_batches_end_where_one_batch_does(spark, database):
     landing, progress = scratch_path(spark, "landing"), scratch_path(spark, "progress")
     arrivals = [
         stamped(spark, ("a", 0, 1, 9), ("b", 0, 1, 9), ("w", 0, 1, 9)),
@@ -280,7 +278,7 @@ def test_micro_batches_end_where_one_batch_does(spark, database, budget):
     for arrival in arrivals:
         arrival.coalesce(1).write.mode("append").parquet(landing)
     stream = lambda: upsert_stream(
-        spark, database, SPEC, landing, progress, TODAY, files_per_batch=1, budget=budget
+        spark, database, SPEC, landing, progress, TODAY, files_per_batch=1
     ).awaitTermination()
     stream()
     expected = [("", 8), ("a", 3), ("b", 1), ("c", 1)]
