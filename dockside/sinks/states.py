@@ -22,6 +22,7 @@ import time
 import uuid
 from dataclasses import dataclass
 from datetime import date, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -192,7 +193,7 @@ def drop_partitions(spark: SparkSession, table: str, partitions: list[str]) -> N
 
 def partitions_of(spark: SparkSession, table: str) -> list[dict[str, str]]:
     listed = [r[0].split("/") for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    return [dict(x.split("=", 1) for x in parts) for parts in listed]
+    return [{k: unquote(v) for k, v in (x.split("=", 1) for x in parts)} for parts in listed]
 
 
 def publish(spark: SparkSession, database: str, spec: DatasetSpec, rows: DataFrame) -> str:
