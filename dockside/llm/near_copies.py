@@ -248,14 +248,11 @@ def components(links: DataFrame) -> DataFrame:
             return roots
 
 
-def near_copy_groups(documents: DataFrame, how: Likeness = Likeness()) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``documents``.
+def grouped_classes(documents: DataFrame, how: Likeness) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and (cls, component_id, stays) of their classes, both written.
 
-    component_id is the least doc_id that links reach, the row's own included.
-    A text without words, or a missing one, has an empty set and is linked with
-    nothing.  Rows that share a doc_id count one by one; a row without one takes
-    part with its text and gets the least id of its group, if there is any.  An
-    empty table gives no rows.
+    ``stays`` is the row key that one_of_each_group leaves of the component: the
+    one with the least doc_id, rows without one last, then the least key.
     """
     rows = settled(signed(documents, how), "signed")
     classes = settled(
@@ -264,6 +261,7 @@ def near_copy_groups(documents: DataFrame, how: Likeness = Likeness()) -> DataFr
         .agg(
             F.min("row_key").alias("id"),
             F.min("doc_id").alias("least_id"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")).alias("first"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("sig").alias("sig"),
         ),
@@ -294,27 +292,48 @@ def near_copy_groups(documents: DataFrame, how: Likeness = Likeness()) -> DataFr
     more = settled(alike(crossing, signatures, sets, how), "more")
     if not more.isEmpty():
         grouped = components(links.unionByName(more))
-    ids = classes.select("cls", "id", "least_id").join(grouped.withColumnRenamed("node", "id"), "id", "left")
+    ids = classes.select("cls", "id", "least_id", "first").join(grouped.withColumnRenamed("node", "id"), "id", "left")
     ids = ids.withColumn("root", F.coalesce("root", "id"))
-    least = ids.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = settled(ids.join(least, "root").select("cls", "component_id"), "named")
+    least = ids.groupBy("root").agg(F.min("least_id").alias("component_id"), F.min("first")["row_key"].alias("stays"))
+    return rows, settled(ids.join(least, "root").select("cls", "component_id", "stays"), "named")
+
+
+def near_copy_groups(documents: DataFrame, how: Likeness = Likeness()) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``documents``.
+
+    component_id is the least doc_id that links reach, the row's own included.
+    A text without words, or a missing one, has an empty set and is linked with
+    nothing.  Rows that share a doc_id count one by one; a row without one takes
+    part with its text and gets the least id of its group, if there is any.  An
+    empty table gives no rows.
+    """
+    rows, named = grouped_classes(documents, how)
     return (
         rows.select("doc_id", "n_shingles", "cls")
-        .join(named, "cls", "left")
+        .join(named.drop("stays"), "cls", "left")
         .select("doc_id", "n_shingles", F.coalesce("component_id", F.when(F.col("cls").isNull(), F.col("doc_id"))).alias("component_id"))
     )
 
 
+#: Name of a column that only lives inside ``one_of_each_group``.
+ROW_OF_GROUP = "__near_copies_row_of_group"
+
+
 def one_of_each_group(documents: DataFrame, how: Likeness = Likeness()) -> DataFrame:
     """One row of ``documents`` for each group of near copies, in its own columns.
 
-    The row with the least doc_id stays; of rows that share it, one.  Groups
-    without any id, and single rows without one, stay whole.
+    The row with the least doc_id stays, rows without one last; what a group is
+    depends on texts only, so rows that share a doc_id but not their text are kept
+    or dropped each with its own group, and of repeated rows one stays.  Texts
+    without words, or missing ones, are in no group and all stay.  Very long texts
+    are compared whole; columns of any name come through; an empty table stays empty.
     """
-    groups = near_copy_groups(documents, how)
-    stays = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__stays")).distinct()
-    unnamed = documents.where(F.col("doc_id").isNull())
-    chosen = documents.join(stays, documents["doc_id"].cast("bigint") == F.col("__stays"), "left_semi")
-    numbered = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    first = chosen.withColumn("__n", F.row_number().over(numbered)).where(F.col("__n") == 1).drop("__n")
-    return first.unionByName(unnamed)
+    has_words = whole_text().rlike("[^" + BLANK_CLASS[1:-1] + "]")
+    _, named = grouped_classes(documents, how)
+    stays = named.select(F.col("stays").alias(ROW_OF_GROUP)).distinct()
+    keyed_rows = documents.where(has_words).withColumn(ROW_OF_GROUP, F.xxhash64(F.col("doc_id"), whole_text()))
+    chosen = keyed_rows.join(stays, ROW_OF_GROUP, "left_semi")
+    numbered = Window.partitionBy(ROW_OF_GROUP).orderBy(F.lit(0))
+    place = ROW_OF_GROUP + "_place"
+    one = chosen.withColumn(place, F.row_number().over(numbered)).where(F.col(place) == 1)
+    return one.select(*[F.col(f"`{c}`") for c in documents.columns]).unionByName(documents.where(~has_words))

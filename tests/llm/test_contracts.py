@@ -144,6 +144,19 @@ def test_one_of_each_group_stays(odd):
     assert ids.count(None) == 2
 
 
+def test_no_unique_text_is_lost(spark):
+    """Ids that a unique text shares with a copy, and rows without an id, in the stage that keeps one of each group."""
+    own = lambda k: " ".join(f"u{k}x{i}" for i in range(40))
+    copied = " ".join(f"c{i}" for i in range(60))
+    rows = [(k, own(k), "a") for k in range(10)] + [(k, copied, "b") for k in range(4, 10)] + [(k, own(k), "a") for k in (1, 1)]
+    rows += [(None, copied, "c"), (None, own(77), "d"), (None, own(77), "e"), (None, "", "f"), (None, None, "g"), (3, " ", "h"), (3, " ", "h")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    left = near_copies.one_of_each_group(frame)
+    found = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"] or "") for r in left.collect())
+    wanted = [(k, own(k)) for k in range(10)] + [(4, copied), (-1, own(77)), (-1, ""), (-1, ""), (3, " "), (3, " ")]
+    assert left.columns == frame.columns and found == sorted(wanted)
+
+
 def test_large_group_of_near_copies(spark):
     """Copies that differ pairwise, among texts that share a passage only."""
     random = np.random.default_rng(1)
