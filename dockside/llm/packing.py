@@ -116,22 +116,38 @@ def patterned(left: np.ndarray, units: int) -> list[tuple[Filling, int]]:
     matrix[0] = 0
     repeats = non_negative_fit(matrix, counts.astype(float))
     for k in np.argsort(-repeats, kind="stable"):
-        way = [int(u) for u in ways[k] if u]
-        times = min(round(float(repeats[k])), *(int(counts[u]) // way.count(u) for u in way))
+        way = sorted((int(u) for u in ways[k] if u), reverse=True)
+        times = round(float(repeats[k]))
         while times > 0:
-            # The longest that are left in each bin; where a bin comes twice, its documents are shared out.
-            filling = tuple(int(np.flatnonzero(left[: u * step + 1])[-1]) for u in way)
-            used = min(times, *(int(left[u]) // filling.count(u) for u in filling))
-            if not used:  # one document of this length is left for a bin that comes more than once
+            filling = exact_filling(left, [u * step for u in way], step)
+            used = min([times, *(int(left[u]) // filling.count(u) for u in filling)])
+            if not filling or not used:  # nothing is left for a bin, or one document for a bin that comes twice
                 break
             plan.append((filling, used))
-            for u, b in zip(filling, way, strict=True):
+            for u in filling:
                 left[u] -= used
-                counts[b] -= used
             times -= used
     return plan
 
 
+def exact_filling(left: np.ndarray, most: list[int], slack: int) -> Filling:
+    """Lengths for the bins of a pattern, the longest that are left up to each; empty where a bin has none.
+
+    Lengths fall short of their bins, so the last one may be as long as the room
+    that the others really leave.  A filling that would leave more than ``slack``
+    is not begun: best fit finds better ones.
+    """
+    filling: list[int] = []
+    for at, limit in enumerate(most):
+        room = len(left) - 1 - sum(filling)
+        limit = room if at == len(most) - 1 else limit
+        fitting = np.flatnonzero(left[: limit + 1])
+        if not len(fitting) or not fitting[-1]:
+            return ()
+        filling.append(int(fitting[-1]))
+    return tuple(filling) if len(left) - 1 - sum(filling) <= slack else ()
+
+
 def best_fit(left: np.ndarray, begun: list[tuple[Filling, int]]) -> list[tuple[Filling, int]]:
     """``begun`` and the documents in ``left``: longest first, into the least room that is enough."""
     capacity = len(left) - 1
@@ -165,12 +181,11 @@ def plan_of(histogram: np.ndarray, units: int = UNITS) -> list[tuple[Filling, in
 
     ``histogram[u]`` documents have length ``u``, up to a whole sequence.  Only
     the fitted patterns see lengths in ``units`` bins; capacities are exact.
-    Of best fit with patterns and without, the plan with fewer sequences holds.
+    What the patterns leave is packed best-fit, into their fillings' rooms first.
     """
-    histogram = histogram.astype(np.int64)
-    left = histogram.copy()
+    left = histogram.astype(np.int64)
     begun = patterned(left, units)
-    return min((best_fit(left, begun), best_fit(histogram, [])), key=lambda plan: sum(n for _, n in plan))
+    return best_fit(left, begun)
 
 
 def slots_of(plan: list[tuple[Filling, int]]) -> list[tuple[int, int, int, int, int, int]]:
@@ -200,7 +215,8 @@ def packed(pieces: DataFrame, sequence: int = SEQUENCE, units: int = UNITS, shar
     order = [c for c in pieces.columns]
     placed = settled(
         pieces.withColumn("_bin", F.col("length").cast("int")).withColumn(
-            "_shard", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(parts)).cast("int")
+            # By a number of the row: rows that repeat, or have no id, are spread like others.
+            "_shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int")
         ),
         "pieces",
     )
