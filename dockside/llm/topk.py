@@ -4,8 +4,8 @@ Vectors are cut into document-range blocks, each with the least and greatest
 value of every dimension (a term).  A query's bound for a block is the sum of
 the larger products; a task visits its blocks in descending order of the bounds
 and scores them through their forward index (the matrix of the block) until no
-bound reaches the k-th score of any query.  Integers below 2^53 are exact in the
-floating-point products.
+bound reaches the k-th score of any query.  Where no sum can reach 2^53, floating
+point products are exact and fast; beyond that integers are multiplied.
 """
 
 from __future__ import annotations
@@ -26,8 +26,36 @@ RANGES = 24
 
 
 def scaled(vector: str, factor: int = 1024) -> Column:
-    """floor(factor * x) of each component, computed in double precision."""
-    return F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * factor).cast("bigint"))
+    """floor(factor * x) of each component, computed in double precision; an error where no bigint holds it."""
+    large = F.raise_error(F.lit("a component is too large for an integer")).cast("bigint")
+
+    def whole(x: Column) -> Column:
+        product = x.cast("double") * factor
+        return F.when(F.abs(product) < float(1 << 63), F.floor(product).cast("bigint")).otherwise(large)
+
+    return F.transform(F.col(vector), whole)
+
+
+#: Stands for no score; also below it no score of a vector can be told apart.
+NO_SCORE = -(1 << 63) + 1
+
+
+def reach(rows: np.ndarray, queries: np.ndarray) -> int:
+    """No sum of products, nor a part of one, is larger than this in size."""
+    most = [max(abs(int(m.max())), abs(int(m.min()))) for m in (rows, queries)]
+    return most[0] * most[1] * rows.shape[1]
+
+
+def inner_products(queries: np.ndarray, rows: np.ndarray, largest: int) -> np.ndarray:
+    """Exact, as int64; an error where a score is beyond that."""
+    if largest < 1 << 53:
+        return (queries.astype(float) @ rows.T.astype(float)).astype(np.int64)
+    if largest < 1 << 63:
+        return queries @ rows.T
+    exact = queries.astype(object) @ rows.T.astype(object)
+    if max(abs(x) for x in exact.ravel()) > -NO_SCORE - 1:
+        raise ArithmeticError("a score is too large for a bigint")
+    return exact.astype(np.int64)
 
 
 def whole_vectors(rows: DataFrame, vector: str) -> DataFrame:
@@ -46,8 +74,12 @@ def best_of_blocks(ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, q
     blocks = [near[at : at + BLOCK] for at in range(0, len(near), BLOCK)]
     low = np.stack([matrix[b].min(axis=0) for b in blocks])
     high = np.stack([matrix[b].max(axis=0) for b in blocks])
-    bounds = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
-    scores = np.full((len(queries), k), -np.inf)
+    largest = reach(matrix, queries)
+    signed = queries.astype(float)
+    bounds = np.maximum(signed, 0) @ high.T.astype(float) + np.minimum(signed, 0) @ low.T.astype(float)
+    if largest >= 1 << 53:  # sums of rounded products may fall short of the true ones
+        bounds += largest * 2.0**-40
+    scores = np.full((len(queries), k), NO_SCORE)
     found = np.full((len(queries), k), np.iinfo(np.int64).max)
     for b in np.argsort(-bounds.max(axis=0), kind="stable"):
         # A tie with the k-th score may still win by its smaller id.
@@ -55,15 +87,16 @@ def best_of_blocks(ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, q
         if not len(wanted):
             continue
         members = blocks[b]
-        new = queries[wanted] @ matrix[members].T
-        new[query_ids[wanted][:, None] == ids[members][None, :]] = -np.inf
+        new = inner_products(queries[wanted], matrix[members], largest)
+        new[query_ids[wanted][:, None] == ids[members][None, :]] = NO_SCORE
         all_scores = np.concatenate([scores[wanted], new], axis=1)
         all_ids = np.concatenate([found[wanted], np.broadcast_to(ids[members], new.shape)], axis=1)
+        all_ids = np.where(all_scores == NO_SCORE, np.iinfo(np.int64).max, all_ids)
         best = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
         scores[wanted] = np.take_along_axis(all_scores, best, axis=1)
         found[wanted] = np.take_along_axis(all_ids, best, axis=1)
-    rows, places = np.nonzero(scores > -np.inf)
-    return rows, found[rows, places], scores[rows, places].astype(np.int64)
+    rows, places = np.nonzero(scores > NO_SCORE)
+    return rows, found[rows, places], scores[rows, places]
 
 
 def exact_top_k(vectors: DataFrame, queries: DataFrame, vector: str = "embedding", k: int = 10) -> DataFrame:
@@ -92,10 +125,10 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, vector: str = "embedding
         F.col("query_id").alias("id"), F.col("q").alias("v"), F.lit(True).alias("asks"),
         spread("query_id", groups).alias("grp"), F.explode(F.sequence(F.lit(0), F.lit(ranges - 1))).alias("rng"),
     )
-    # By the vector's content too: a vector that a third of the rows share stays spread out.
-    right = whole.select(
+    # By a number of the row: vectors and ids that a third of the rows share are spread out.
+    right = whole.withColumn("row", F.monotonically_increasing_id()).select(
         F.col("vec_id").alias("id"), "v", F.lit(False).alias("asks"),
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"), spread("vec_id", ranges).alias("rng"),
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"), F.pmod(F.xxhash64("row"), F.lit(ranges)).cast("int").alias("rng"),
     )
 
     def search(part: pd.DataFrame) -> pd.DataFrame:
@@ -108,8 +141,8 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, vector: str = "embedding
                 continue
             q_ids = asks["id"].to_numpy(np.int64)
             pick, ids, scores = best_of_blocks(
-                rows["id"].to_numpy(np.int64), np.stack(rows["v"].to_list()).astype(float),
-                q_ids, np.stack(asks["v"].to_list()).astype(float), k,
+                rows["id"].to_numpy(np.int64), np.stack(rows["v"].to_list()),
+                q_ids, np.stack(asks["v"].to_list()), k,
             )
             out.append(pd.DataFrame({"query_id": q_ids[pick], "vec_id": ids, "score": scores}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
