@@ -19,15 +19,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Whether Spark removes a query's shuffle files at its end; otherwise they stay until the driver collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settled(rows: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``rows`` written to the shared checkpoint folder and read back.
 
     Cuts the lineage: what is built on it survives the loss of any executor
-    without computing ``rows`` again, and sees the same rows each time.
+    without computing ``rows`` again, and sees the same rows each time.  The
+    shuffle files behind it serve nothing any more and go with the write.
     """
-    path = scratch_path(rows.sparkSession, label)
-    rows.write.parquet(path, compression=compression)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    spark = rows.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        rows.write.parquet(path, compression=compression)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def whole_text(column: str = "text") -> Column:
