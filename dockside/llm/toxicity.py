@@ -20,7 +20,8 @@ models, per word; a logistic curve, fitted on labelled rows that the counts have
 not seen, makes a probability of it.
 
 The log-ratios are a written table.  The most frequent expressions, as many as
-fit a fixed room, are looked up where texts are read; all others are joined.
+fit a fixed room, are looked up where texts are read; all others are met by
+buckets of hashes.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -195,13 +199,14 @@ class Model:
 
     ``keys`` (ascending hashes) and ``ratios`` are those at hand, bounded by
     ``Smoothing.at_hand``; ``others`` (e, ratio) is the table of the rest, and
-    ``bits`` its filter.
+    ``bits`` its filter; about ``far`` times a counted document holds one of them.
     """
 
     keys: np.ndarray
     ratios: np.ndarray
     bits: np.ndarray
     others: DataFrame
+    far: float
     curve: np.ndarray
 
     def score(self, total: Column, words: Column) -> Column:
@@ -214,12 +219,13 @@ class Model:
 
 def model_of(weights: DataFrame, how: Smoothing) -> Model:
     """The model without its curve, from the written ``weights``."""
-    at_hand, least = 0, None
+    at_hand, least, far = 0, None, 0.0
     for row in weights.groupBy("level").count().orderBy(F.desc("level")).collect():
         at_hand += row["count"]
         if at_hand > how.at_hand:
-            break
-        least = row["level"]
+            far += row["count"] * 2 ** ((row["level"] + 1) / 4)
+        else:
+            least = row["level"]
     near = F.col("level") >= F.lit(least) if least is not None else F.lit(False)
     table = weights.where(near).select("e", "ratio").toArrow()
     keys, ratios = (table[c].to_numpy().astype(np.int64) for c in ("e", "ratio"))
@@ -229,62 +235,237 @@ def model_of(weights: DataFrame, how: Smoothing) -> Model:
     marks = others.groupBy(F.expr(f"pmod(shiftright(e, 6), {cells})").alias("cell")).agg(F.expr("bit_or(shiftleft(1L, CAST(e & 63 AS INT)))").alias("bits")).toArrow()
     bits = np.zeros(cells, np.uint64)
     bits[marks["cell"].to_numpy().astype(np.int64)] = marks["bits"].to_numpy().astype(np.int64).view(np.uint64)
-    return Model(keys.view(np.uint64)[order], ratios[order], bits, others, np.zeros(4))
+    return Model(keys.view(np.uint64)[order], ratios[order], bits, others, far, np.zeros(4))
 
 
 def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("key"), F.hash(text).alias("more")]
 
 
-#: Texts whose expressions are handed on together.
-TEXTS_AT_ONCE = 256
+#: Texts that are looked up between two looks at what has gathered.
+TEXTS_AT_ONCE = 1024
+
+#: Distinct texts of a chunk, whose expressions travel together: places in it have 16 bits.
+CHUNK_TEXTS = 1 << 16
+
+#: Expressions that a chunk gathers before it is handed on.
+CHUNK_EXPRESSIONS = 1 << 20
+
+#: Expressions that share a bucket, as far as the counts foretell.
+BUCKET_EXPRESSIONS = 1 << 20
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Unsigned 64-bit columns of one length, each in as few bytes a number as its largest needs."""
+    out = [len(columns[0]).to_bytes(4, "little")]
+    for values in columns:
+        width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+        planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+        out += [bytes([width]), planes.tobytes()]
+    return b"".join(out)
+
+
+def unpacked(data: bytes) -> list[np.ndarray]:
+    """What ``packed`` was given."""
+    n, at, out = int.from_bytes(data[:4], "little"), 4, []
+    while at < len(data):
+        width = data[at]
+        values = np.zeros((n, 8), np.uint8)
+        values[:, :width] = np.frombuffer(data, np.uint8, n * width, at + 1).reshape(width, n).T
+        out.append(values.reshape(-1).view("<u8").astype(np.uint64))
+        at += 1 + n * width
+    return out
+
+
+class Chunk:
+    """Distinct texts of one task, and those of their expressions that are not at hand."""
+
+    def __init__(self, number: int):
+        self.number = number
+        self.texts: dict[bytes, tuple[int, int, int]] = {}
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def full(self) -> bool:
+        return self.size >= CHUNK_EXPRESSIONS or len(self.texts) + TEXTS_AT_ONCE > CHUNK_TEXTS
+
+    def add(self, slot: int, e: np.ndarray, times: np.ndarray) -> None:
+        self.found.append((e, np.full(len(e), slot, np.uint64), times.astype(np.uint64)))
+        self.size += len(e)
+
+    def by_bucket(self, bits: int) -> Iterator[tuple[int, bytes]]:
+        """(bucket, packed steps from hash to hash, slots, times); a bucket has the hashes with the same first bits."""
+        if not self.size:
+            return
+        e, slots, times = (np.concatenate(x) for x in zip(*self.found, strict=True))
+        order = np.argsort(e)
+        e, slots, times = e[order], slots[order], times[order]
+        bucket = e >> np.uint64(64 - bits)
+        edges = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(e)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            yield int(bucket[a]), packed(np.diff(e[a:b], prepend=np.uint64(0)), slots[a:b], times[a:b])
+
+
+def summed(data: bytes, keys: np.ndarray, ratios: np.ndarray) -> bytes:
+    """Packed (slots, sums of log-ratios) of one bucket of a chunk; sums in two's complement, sign folded into the last bit."""
+    steps, slots, times = unpacked(data)
+    e = np.cumsum(steps, dtype=np.uint64)
+    place = np.minimum(np.searchsorted(keys, e), len(keys) - 1)
+    known = keys[place] == e
+    held, inverse = np.unique(slots[known], return_inverse=True)
+    sums = np.zeros(len(held), np.int64)
+    np.add.at(sums, inverse, ratios[place[known]] * times[known].astype(np.int64))
+    return packed(held, ((sums << 1) ^ (sums >> 63)).view(np.uint64))
+
+
+#: Rows on their way to the weights: a weight (``_at`` its hash, ``_amount`` its ratio), a bucket of a chunk, a text
+#: (``_amount`` what was at hand).  Of a chunk's rows on their way back, the sums come first.
+WEIGHT, PART, TEXT = 0, 1, 2
+TRAVEL = "_bucket int, _kind int, _at bigint, _slot int, _amount bigint, _words bigint, _data binary"
+TRAVEL_TYPES = {
+    "_bucket": pa.int32(), "_kind": pa.int32(), "_at": pa.int64(), "_slot": pa.int32(),
+    "_amount": pa.int64(), "_words": pa.int64(), "_data": pa.binary(),
+}
+
+
+def batch_of(schema: pa.Schema, rows: int, **columns) -> pa.RecordBatch:
+    """A batch in which all other columns are null."""
+    arrays = [
+        pa.nulls(rows, f.type) if f.name not in columns else columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], f.type)
+        for f in schema
+    ]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def travelling(own: pa.Schema, *, back: bool = False) -> pa.Schema:
+    kinds = [(n, t) for n, t in TRAVEL_TYPES.items() if not (back and n == "_bucket")]
+    return pa.schema([(f.name, f.type) for f in own if f.name != "text" and f.name not in TRAVEL_TYPES] + kinds)
+
+
+def runs_of(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(begin, end) of each run of equal neighbours."""
+    edges = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return ((a, b) for a, b in zip(edges, edges[1:], strict=False) if a < b)
+
+
+def weighed_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by bucket and kind: each chunk's part becomes its sums, texts pass; one bucket's weights are held at a time."""
+    bucket, parts, table = None, [], None
+    for batch in batches:
+        schema = travelling(batch.schema, back=True)
+        buckets, kinds = (batch.column(c).to_numpy() for c in ("_bucket", "_kind"))
+        at, data = [], []
+        for a, b in runs_of(buckets):
+            if buckets[a] != bucket:
+                bucket, parts, table = buckets[a], [], None
+            weights, some = (int((kinds[a:b] == kind).sum()) for kind in (WEIGHT, PART))
+            if weights:
+                parts.append(tuple(batch.column(c).slice(a, weights).to_numpy() for c in ("_at", "_amount")))
+            if some and table is None:
+                keys, ratios = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 2
+                keys = keys.view(np.uint64)
+                order = np.argsort(keys)
+                table = keys[order], ratios[order]
+            if some and len(table[0]):
+                at.append(batch.column("_at").slice(a + weights, some))
+                data += [summed(x, *table) for x in batch.column("_data").slice(a + weights, some).to_pylist()]
+        if data:
+            yield batch_of(schema, len(data), _kind=np.full(len(data), PART), _at=pa.concat_arrays(at), _data=data)
+        yield batch.filter(pa.array(kinds == TEXT)).select(schema.names)
+
+
+def added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by chunk and kind: each text with its sum; one chunk's sums are held at a time."""
+    chunk, sums = None, np.zeros(CHUNK_TEXTS, np.int64)
+    for batch in batches:
+        chunks, kinds = (batch.column(c).to_numpy() for c in ("_at", "_kind"))
+        texts = batch.filter(pa.array(kinds == TEXT))
+        total = []
+        for a, b in runs_of(chunks):
+            if chunks[a] != chunk:
+                chunk = chunks[a]
+                sums[:] = 0
+            some = int((kinds[a:b] == PART).sum())
+            for data in batch.column("_data").slice(a, some).to_pylist():
+                slots, folded = unpacked(data)
+                sums[slots.astype(np.int64)] += (folded >> np.uint64(1)).view(np.int64) ^ -(folded & np.uint64(1)).view(np.int64)
+            slots, near = (batch.column(c).slice(a + some, b - a - some).to_numpy() for c in ("_slot", "_amount"))
+            total.append(near + sums[slots])
+        own = [n for n in texts.schema.names if n not in TRAVEL_TYPES]
+        total = np.concatenate(total) if total else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([*map(texts.column, own), pa.array(total), texts.column("_words")], [*own, "total", "words"])
 
 
 def totals(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` (own columns and ``text``) with total and words instead of the text: summed log-ratios and number of words.
 
-    A text sums what is at hand where it is read.  The rest, one narrow row per
-    expression, meets the table in a join; of it only what the filter lets through.
+    A text sums what is at hand where it is read.  The rest, of it only what the
+    filter lets through, meets the table by buckets of hashes: the texts of a task
+    go in chunks, one packed row per chunk and bucket, and their sums come back
+    the same way.  Equal texts of a chunk are looked up once.  ``rows`` must come
+    in the same order when a task is repeated.
     """
-    shared = rows.sparkSession.sparkContext.broadcast((model.keys, model.ratios, model.bits))  # bounded by Smoothing.at_hand and FILTER_BITS
-    own = [f for f in rows.schema.fields if f.name != "text"]
-    names = [f.name for f in own]
+    context = rows.sparkSession.sparkContext
+    shared = context.broadcast((model.keys, model.ratios, model.bits))  # bounded by Smoothing.at_hand and FILTER_BITS
+    bits = max(8 * context.defaultParallelism, int(model.far / BUCKET_EXPRESSIONS), 2).bit_length()
+    own = T.StructType([f for f in rows.schema.fields if f.name != "text"])
+    names = own.names
 
-    def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        keys, ratios, bits = shared.value
+        keys, ratios, marks = shared.value
+        first = TaskContext.get().partitionId() << 32
+        chunk, schema = Chunk(first), None
+
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            parts = list(chunk.by_bucket(bits))
+            if parts:
+                bucket, data = zip(*parts, strict=True)
+                n = len(parts)
+                yield batch_of(schema, n, _bucket=bucket, _kind=np.full(n, PART), _at=np.full(n, chunk.number), _data=data)
+
+        def looked_up(text: str) -> tuple[int, int, int]:
+            """(slot, sum of what is at hand, number of words)"""
+            key = xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+            if key not in chunk.texts:
+                words, pairs = expressions(text, hashes)
+                e, times = np.unique(np.concatenate([words, pairs[1:]]), return_counts=True)
+                near, known = 0, np.zeros(len(e), bool)
+                if len(keys):
+                    place = np.minimum(np.searchsorted(keys, e), len(keys) - 1)
+                    known = keys[place] == e
+                    near = int((ratios[place] * times)[known].sum())
+                known |= (marks[(e >> np.uint64(6)) % np.uint64(len(marks))] >> (e & np.uint64(63))) & np.uint64(1) == 0
+                slot = len(chunk.texts)
+                chunk.add(slot, e[~known], times[~known])
+                chunk.texts[key] = slot, near, len(words)
+            return chunk.texts[key]
+
         for batch in batches:
-            for at in range(0, len(batch), TEXTS_AT_ONCE):
-                some = batch.iloc[at : at + TEXTS_AT_ONCE]
-                sums, sizes, rest, often = [], [], [], []
-                for text in some["text"]:
-                    words, pairs = expressions(text, hashes)
-                    e, times = np.unique(np.concatenate([words, pairs[1:]]), return_counts=True)
-                    known = np.zeros(len(e), bool)
-                    total = 0
-                    if len(keys):
-                        place = np.minimum(np.searchsorted(keys, e), len(keys) - 1)
-                        known = keys[place] == e
-                        total = int((ratios[place] * times)[known].sum())
-                    known |= (bits[(e >> np.uint64(6)) % np.uint64(len(bits))] >> (e & np.uint64(63))) & np.uint64(1) == 0
-                    sums.append(total)
-                    sizes.append(len(words))
-                    rest.append(e[~known].view(np.int64))
-                    often.append(times[~known].astype(np.int32))
-                frame = some[names].copy()
-                for name, values in (("near", sums), ("words", sizes), ("rest", rest), ("often", often)):
-                    frame[name] = pd.Series(values, index=some.index)
-                yield frame
-
-    schema = T.StructType(own).simpleString()[len("struct<") : -1]
-    found = rows.mapInPandas(look_up, f"{schema}, near bigint, words bigint, rest array<bigint>, often array<int>".lstrip(", "))
-    if model.others.isEmpty():
-        return found.select(*names, F.col("near").alias("total"), "words")
-    found = settled(found.withColumn("at", F.monotonically_increasing_id()), "looked-up", compression="zstd")
-    each = found.select("at", F.explode(F.arrays_zip("rest", "often")).alias("x")).select("at", F.col("x.rest").alias("e"), F.col("x.often").alias("times"))
-    far = each.join(model.others, "e").groupBy("at").agg(F.sum(F.col("times") * F.col("ratio")).alias("far"))
-    both = found.drop("rest", "often").join(far, "at", "left")
-    return both.select(*names, (F.col("near") + F.coalesce("far", F.lit(0))).alias("total"), "words")
+            schema = travelling(batch.schema)
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                some = batch.slice(at, TEXTS_AT_ONCE)
+                if chunk.full():
+                    yield from handed_on()
+                    chunk = Chunk(chunk.number + 1)
+                slot, near, words = zip(*map(looked_up, some.column("text").to_pylist()), strict=True)
+                n = some.num_rows
+                travel = {"_bucket": np.full(n, chunk.number & ((1 << bits) - 1)), "_kind": np.full(n, TEXT), "_at": np.full(n, chunk.number)}
+                yield batch_of(schema, n, _slot=slot, _amount=near, _words=words, **travel, **{c: some.column(c) for c in names})
+        yield from handed_on()
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own)
+    found = rows.mapInArrow(look_up, f"{schema}, {TRAVEL}".lstrip(", "))
+    if not model.far:
+        return found.select(*names, F.col("_amount").alias("total"), F.col("_words").alias("words"))
+    weights = model.others.select(
+        F.shiftrightunsigned("e", 64 - bits).cast("int").alias("_bucket"), F.lit(WEIGHT).alias("_kind"), F.col("e").alias("_at"), F.col("ratio").alias("_amount")
+    )
+    met = found.unionByName(weights, allowMissingColumns=True).repartition("_bucket").sortWithinPartitions("_bucket", "_kind")
+    back = TRAVEL.removeprefix("_bucket int, ")
+    parts = met.mapInArrow(weighed_parts, f"{schema}, {back}".lstrip(", "))
+    parts = parts.repartition("_at").sortWithinPartitions("_at", "_kind")
+    return parts.mapInArrow(added_up, f"{schema}, total bigint, words bigint".lstrip(", "))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -319,7 +500,8 @@ def trained(rows: DataFrame, how: Smoothing = Smoothing(), calibrate: int = 50_0
     part = rows.where(chosen)
     if held > calibrate:
         part = part.where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(1_000_000)) < int(1_000_000 * calibrate / held))
-    seen = totals(part.select("text", "toxic"), model).select("total", "words", "toxic").collect()
+    part = settled(part.select("text", "toxic"), "calibration")  # a join may give its rows in another order when repeated
+    seen = totals(part, model).select("total", "words", "toxic").collect()
     seen.sort()  # sums of the fit depend on the order
     y = np.array([r["toxic"] for r in seen], dtype=float)
     if not len(y) or y.min() == y.max():
