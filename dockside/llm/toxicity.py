@@ -67,13 +67,18 @@ def expressions(text: str, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     return words, pairs
 
 
+def classes_of(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the usable labels; the greater where an id has several."""
+    usable = labels.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    return usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
 def labelled(documents: DataFrame, labels: DataFrame, budget: JoinBudget) -> DataFrame:
     """(doc_id, text, toxic, part) of rows with a usable label.
 
     The labels are measured; only while they fit the budget are they broadcast.
     """
-    usable = labels.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    side = sized(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), budget=budget)
+    side = sized(classes_of(labels), budget=budget)
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
     return rows.join(F.broadcast(side.rows) if side.small() else side.rows, "doc_id")
 
@@ -482,42 +487,65 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.concatenate([[b[0] - slopes @ mean], slopes])
 
 
-def trained(rows: DataFrame, how: Smoothing = Smoothing(), calibrate: int = 50_000, budget: JoinBudget = JoinBudget()) -> Model | None:
-    """The model of ``rows`` (doc_id, text, toxic); none without rows of both classes.
+def counts_model(rows: DataFrame, how: Smoothing, budget: JoinBudget) -> tuple[Model, dict[tuple[int, bool], int]] | None:
+    """The model of ``rows`` (doc_id, text, toxic) without its curve, and the rows per class and part.
 
-    Counts cover all rows but those of the calibration part; the curve is
-    fitted on at most about ``calibrate`` of these, chosen by hash.
+    Counts cover all rows but those of the calibration part.  None without rows
+    of both classes.
     """
-    chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(how.calibration)) == 0
-    found = rows.groupBy("toxic", chosen.alias("held")).agg(F.count("*").alias("n")).collect()
+    found = rows.groupBy("toxic", calibrates(how, F.xxhash64("doc_id", "text")).alias("held")).agg(F.count("*").alias("n")).collect()
     sizes = {(r["toxic"], r["held"]): r["n"] for r in found}
     n0, n1 = sizes.get((0, False), 0), sizes.get((1, False), 0)
     if not n0 or not n1:
         return None
-    model = model_of(weighed(tallied(counted(rows.where(~chosen))), n0, n1, how, budget), how)
+    seen = rows.where(~calibrates(how, F.xxhash64("doc_id", "text")))
+    return model_of(weighed(tallied(counted(seen)), n0, n1, how, budget), how), sizes
+
+
+def calibrates(how: Smoothing, pick: Column) -> Column:
+    """Whether a labelled row, by its hash, belongs to the part that is not counted."""
+    return F.pmod(pick, F.lit(how.calibration)) == 0
+
 
-    held = sum(v for (_, h), v in sizes.items() if h)
-    part = rows.where(chosen)
+def curve_of(found: DataFrame, known: DataFrame, sizes: dict[tuple[int, bool], int], how: Smoothing, calibrate: int, budget: JoinBudget) -> np.ndarray:
+    """The logistic curve, from the totals of the calibration part.
+
+    Fitted on at most about ``calibrate`` rows, chosen by hash.
+    """
+    held = sum(n for (_, part), n in sizes.items() if part)
+    part = found.where(calibrates(how, F.col("_pick")))
     if held > calibrate:
-        part = part.where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(1_000_000)) < int(1_000_000 * calibrate / held))
-    part = settled(part.select("text", "toxic"), "calibration")  # a join may give its rows in another order when repeated
-    seen = totals(part, model).select("total", "words", "toxic").collect()
+        part = part.where(F.pmod(F.col("_draw"), F.lit(1_000_000)) < int(1_000_000 * calibrate / held))
+    side = sized(classes_of(known), budget=budget)
+    seen = part.withColumnRenamed("_doc", "doc_id").join(F.broadcast(side.rows) if side.small() else side.rows, "doc_id")
+    seen = seen.select("total", "words", "toxic").collect()
     seen.sort()  # sums of the fit depend on the order
     y = np.array([r["toxic"] for r in seen], dtype=float)
     if not len(y) or y.min() == y.max():
-        return replace(model, curve=np.array([np.log(n1 / n0), 1.0, 0.0, 0.0]))
+        return np.array([np.log(sizes[1, False] / sizes[0, False]), 1.0, 0.0, 0.0])
     total, words = (np.array([r[c] for r in seen], dtype=float) for c in ("total", "words"))
     words = np.maximum(words, 1)
-    x = np.c_[total / SCALE / words, total / SCALE / np.sqrt(words), np.log(words)]
-    return replace(model, curve=logistic(x, y, np.ones(len(y))))
+    return logistic(np.c_[total / SCALE / words, total / SCALE / np.sqrt(words), np.log(words)], y, np.ones(len(y)))
 
 
-def toxicity_model(
-    documents: DataFrame, labels: DataFrame, how: Smoothing = Smoothing(), budget: JoinBudget = JoinBudget()
-) -> Model | None:
-    """The model learnt from rows whose crc32(doc_id) mod 3 is not 1."""
-    training = labelled(documents, labels.where(fold(3) != 1), budget)
-    return trained(training, how, budget=budget)
+def judged(
+    documents: DataFrame, labels: DataFrame, own: list[Column], how: Smoothing, calibrate: int = 50_000, budget: JoinBudget = JoinBudget()
+) -> DataFrame | None:
+    """The columns ``own`` of every document, and its score; None without labels of both classes.
+
+    The model is learnt from rows whose crc32(doc_id) mod 3 is not 1.  Every text is
+    looked up once: the curve is fitted on the written totals of the same pass.
+    """
+    known = labels.where(fold(3) != 1)
+    learnt = counts_model(labelled(documents, known, budget), how, budget)
+    if learnt is None:
+        return None
+    model, sizes = learnt
+    doc, text = F.col("doc_id").cast("bigint"), whole_text()
+    rows = documents.select(*own, doc.alias("_doc"), F.xxhash64(doc, text).alias("_pick"), F.xxhash64(text, doc).alias("_draw"), text.alias("text"))
+    found = settled(totals(rows, model), "totals")
+    model = replace(model, curve=curve_of(found, known, sizes, how, calibrate, budget))
+    return found.withColumn("score", model.score(F.col("total"), F.col("words"))).drop("_doc", "_pick", "_draw", "total", "words")
 
 
 def scored(documents: DataFrame, labels: DataFrame, how: Smoothing = Smoothing()) -> DataFrame:
@@ -527,23 +555,23 @@ def scored(documents: DataFrame, labels: DataFrame, how: Smoothing = Smoothing()
     missing or other label is not learnt from; rows that repeat score alike; an
     empty table gives no rows.  Without labels of both classes every score is 0.5.
     """
-    model = toxicity_model(documents, labels, how)
     own = [F.col("doc_id").cast("bigint").alias("doc_id"), (fold(3) == 1).alias("held_out")]
-    if model is None:
-        return documents.select(*own, F.lit(0.5).alias("score"))
-    found = totals(documents.select(*own, whole_text().alias("text")), model)
-    return found.select("doc_id", "held_out", model.score(F.col("total"), F.col("words")).alias("score"))
+    found = judged(documents, labels, own, how)
+    return documents.select(*own, F.lit(0.5).alias("score")) if found is None else found
 
 
 def not_toxic(
     documents: DataFrame, labels: DataFrame, limit: float = 0.7, how: Smoothing = Smoothing(), budget: JoinBudget = JoinBudget()
 ) -> DataFrame:
-    """The rows of ``documents`` that score below ``limit``, in their own columns."""
-    model = toxicity_model(documents, labels, how, budget)
-    if model is None:
+    """The rows of ``documents`` that score below ``limit``, in their own columns.
+
+    Equal texts stay or go together, ties with ``limit`` go.  An empty table gives
+    no rows; without labels of both classes every score is 0.5.
+    """
+    found = judged(documents, labels, text_key(whole_text()), how, budget=budget)
+    if found is None:
         return documents.where(F.lit(0.5) < limit)
-    found = totals(documents.select(*text_key(whole_text()), whole_text().alias("text")), model)
-    high = found.where(model.score(F.col("total"), F.col("words")) >= limit)
+    high = found.where(F.col("score") >= limit)
     high = settled(high.select(F.col("key").alias("__key"), F.col("more").alias("__more")).distinct(), "toxic")
     side = sized(high, budget=budget)
     key, more = text_key(whole_text())
