@@ -23,7 +23,7 @@ def test_every_query_has_its_sql():
 
 
 def test_entry(spark, con):
-    assert driver.entry(spark).count() == con.sql(f"SELECT count(*) FROM ({ORACLE['po_inbound']})").fetchone()[0]
+    assert driver.entry(spark).count() == con.execute(f"SELECT count(*) FROM ({ORACLE['po_inbound']})").fetchone()[0]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
