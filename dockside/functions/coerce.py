@@ -1,8 +1,8 @@
 """Raw column to typed column, with the defaults the target tables rely on.
 
 Built from ``try_cast``, so bad input never fails under ANSI mode.  The one
-input that must fail a load, a number that would lose its fraction, raises
-inside the expression: the write job dies and nothing is published.
+input that must fail a load, a number that no BIGINT holds unchanged, raises inside
+the expression, or is left NULL where the load counts such rows and refuses the batch.
 """
 
 from __future__ import annotations
@@ -20,24 +20,38 @@ LAST_DAY = "2262-04-11"
 DECIMAL_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 
 
-def to_integer(value: Column, kind: T.DataType | None = None, label: str = "value") -> Column:
-    """BIGINT; unreadable or missing is 0, a fraction is an error."""
-    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint"))
+WHOLE_KINDS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def readings(value: Column, kind: T.DataType | None) -> tuple[Column, Column]:
+    """``value`` as BIGINT where that loses nothing, and as DOUBLE where it is a number; else NULL."""
     text = value.cast("string")
-    exact = text.try_cast("bigint")
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         real = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
     else:
         real = F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double"))
     rounded = F.when(real == F.floor(real), real.try_cast("bigint"))
-    failure = F.raise_error(F.concat(F.lit(f"{label}: not a whole number: "), text)).cast("bigint")
-    return (
-        F.when(exact.isNotNull(), exact)
-        .when(rounded.isNotNull(), rounded)
-        .when(real.isNotNull(), failure)
-        .otherwise(F.lit(0).cast("bigint"))
-    )
+    return F.coalesce(text.try_cast("bigint"), rounded), real
+
+
+def is_misfit(value: Column, kind: T.DataType | None = None) -> Column:
+    """TRUE for a number that no BIGINT holds unchanged: a fraction, one too large, an infinity."""
+    if isinstance(kind, WHOLE_KINDS):
+        return F.lit(False)
+    whole, real = readings(value, kind)
+    return whole.isNull() & real.isNotNull()
+
+
+def to_integer(value: Column, kind: T.DataType | None = None, label: str = "value", strict: bool = True) -> Column:
+    """BIGINT; unreadable or missing is 0, a misfit is an error (NULL if not ``strict``)."""
+    zero = F.lit(0).cast("bigint")
+    if isinstance(kind, WHOLE_KINDS):
+        return F.coalesce(value.cast("bigint"), zero)
+    whole, real = readings(value, kind)
+    failure = F.lit(None)
+    if strict:
+        failure = F.raise_error(F.concat(F.lit(f"{label}: not a whole number: "), value.cast("string")))
+    return F.when(whole.isNotNull(), whole).when(real.isNotNull(), failure.cast("bigint")).otherwise(zero)
 
 
 def to_day(value: Column, kind: T.DataType | None = None) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from datetime import date, datetime, timezone
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_out_of_window
 from dockside.operators.upsert import upsert_newest
 from dockside.plans.datasets import KEY, STAMP, DatasetSpec, with_key
+from dockside.plans.misfits import MisfitError, counted, keep_rejected
 from dockside.sinks.tables import (
     LOAD_DAY,
     append_batch,
@@ -32,12 +34,12 @@ from dockside.sinks.tables import (
 log = logging.getLogger(__name__)
 
 
-def coerced(rows: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Every declared column that is present, in its declared type."""
+def coerced(rows: DataFrame, spec: DatasetSpec, strict: bool = True) -> DataFrame:
+    """Every declared column that is present, in its declared type; ``strict`` as in ``to_integer``."""
     given = {f.name: f.dataType for f in rows.schema.fields}
     changes = {}
     for name in set(spec.columns_of(T.LongType)) & given.keys():
-        changes[name] = to_integer(F.col(name), given[name], name)
+        changes[name] = to_integer(F.col(name), given[name], name, strict)
     for name in set(spec.columns_of(T.DateType)) & given.keys():
         changes[name] = to_day(F.col(name), given[name])
     for name in set(spec.columns_of(T.StringType)) & given.keys():
@@ -45,9 +47,9 @@ def coerced(rows: DataFrame, spec: DatasetSpec) -> DataFrame:
     return rows.withColumns(changes) if changes else rows
 
 
-def prepared(rows: DataFrame, spec: DatasetSpec, stamp: datetime) -> DataFrame:
+def prepared(rows: DataFrame, spec: DatasetSpec, stamp: datetime, strict: bool = True) -> DataFrame:
     """A batch ready for staging: typed, keyed, stamped, in schema order."""
-    ready = with_key(coerced(rows, spec), spec).withColumn(STAMP, F.lit(stamp))
+    ready = with_key(coerced(rows, spec, strict), spec).withColumn(STAMP, F.lit(stamp))
     absent = {f.name: F.lit(None).cast(f.dataType) for f in spec.schema.fields if f.name not in ready.columns}
     return (ready.withColumns(absent) if absent else ready).select(*spec.schema.names)
 
@@ -101,7 +103,7 @@ def load_batch(
     as_of: date | str,
     stamp: datetime,
     use_merge: bool = True,
-    notes: dict[str, str | int] | None = None,
+    notes: dict[str, Any] | None = None,
 ) -> int:
     """Append a batch and bring the final table up to date; returns rows loaded.
 
@@ -109,11 +111,25 @@ def load_batch(
     the trim is noted there under "cleanup" and the load stands; otherwise the
     number of staged rows that went is.
 
+    A batch with numbers that no BIGINT holds is refused as a whole: it is written but
+    never noted in the ledger, its misfits are counted on the way, and their rows
+    are kept beside staging before the load fails with ``MisfitError``.
+
     An empty batch leaves both tables as they are.  Without ``use_merge`` only
     staging grows.
     """
     create_tables(spark, database, spec)
-    loaded = append_batch(spark, database, spec, prepared(rows, spec, stamp), batch_id_of(stamp))
+    batch_id = batch_id_of(stamp)
+    watched, seen = counted(rows, spec)
+
+    def refuse_misfits() -> None:
+        if seen is not None and seen.get.get("refused"):
+            counts = keep_rejected(spark, database, spec, rows, batch_id)
+            if notes is not None:
+                notes["violations"] = counts
+            raise MisfitError(counts)
+
+    loaded = append_batch(spark, database, spec, prepared(watched, spec, stamp, strict=False), batch_id, refuse_misfits)
     if loaded and use_merge:
         staging = read_staging(spark, database, spec, with_load_day=True)
         newest = lambda: newest_staged(spark, database, spec, as_of)

@@ -69,7 +69,7 @@ def run(
     }
     for name in chosen:
         spec = specs[name]
-        notes: dict[str, str | int] = {}
+        notes: dict[str, Any] = {}
         try:
             with scratch_tables(spark):
                 rows = spec.sample(spark, day) if samples else extract(spec, src, window)
@@ -80,7 +80,7 @@ def run(
                 outcome = {"status": "no_data", "message": f"no {name} rows in the date range"}
         except Exception as problem:
             log.exception("dataset %s failed", name)
-            outcome = {"status": "error", "error": str(problem)}
+            outcome = {"status": "error", "error": str(problem), **notes}
             report["status"] = "partial_failure" if report["status"] == "success" else "error"
         report["results"][name] = outcome
     if all(outcome["status"] == "error" for outcome in report["results"].values()):

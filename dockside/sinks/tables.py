@@ -12,6 +12,7 @@ Entries tell which partitions a trim or a look for the newest batch has to open.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from time import time_ns
@@ -155,15 +156,30 @@ def read_staging(spark: SparkSession, database: str, spec: DatasetSpec, with_loa
     return rows.select(*spec.schema.names, *([LOAD_DAY] if with_load_day else []))
 
 
-def append_batch(spark: SparkSession, database: str, spec: DatasetSpec, rows: DataFrame, batch_id: str) -> int:
+def append_batch(
+    spark: SparkSession,
+    database: str,
+    spec: DatasetSpec,
+    rows: DataFrame,
+    batch_id: str,
+    check: Callable[[], None] | None = None,
+) -> int:
     """Write one stamped batch to staging; returns its row count.
 
-    Written again, a batch replaces its own rows of the same load days.
+    Written again, a batch replaces its own rows of the same load days.  ``check`` is
+    called when all rows are written and none counts yet; if it raises, none ever does.
     """
-    return sum(b.rows for b in appended(spark, database, spec, rows, batch_id))
+    return sum(b.rows for b in appended(spark, database, spec, rows, batch_id, check))
 
 
-def appended(spark: SparkSession, database: str, spec: DatasetSpec, rows: DataFrame, batch_id: str) -> list[Batch]:
+def appended(
+    spark: SparkSession,
+    database: str,
+    spec: DatasetSpec,
+    rows: DataFrame,
+    batch_id: str,
+    check: Callable[[], None] | None = None,
+) -> list[Batch]:
     """Like ``append_batch``, but returns the partitions written."""
     unstamped = F.raise_error(F.lit("a staged row needs a load time")).cast("date")
     stamped = (
@@ -172,6 +188,8 @@ def appended(spark: SparkSession, database: str, spec: DatasetSpec, rows: DataFr
         .withColumn(BATCH, F.lit(batch_id))
     )
     entries = write_staged(spark, database, spec, stamped)
+    if check is not None:
+        check()
     note(spark, database, spec, entries)
     return entries
 

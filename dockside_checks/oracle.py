@@ -276,6 +276,17 @@ ORACLE: dict[str, str] = {
                       ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS x
           FROM lineitem)
         SELECT l_orderkey, l_linenumber, COALESCE(CAST(TRY_CAST(x AS DOUBLE) AS BIGINT), 0) AS quantity FROM raw""",
+    "typ_violations": """
+        WITH raw AS (
+          SELECT CASE l_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'abc' WHEN 3 THEN '1e3'
+                      WHEN 4 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '.5' WHEN 5 THEN '1e30'
+                      ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS quantity,
+                 CASE WHEN l_orderkey % 7 > 1 THEN CAST(l_extendedprice AS DOUBLE) END AS price
+          FROM lineitem),
+        read AS (SELECT 'quantity' AS column_name, TRY_CAST(quantity AS DOUBLE) AS x FROM raw
+                 UNION ALL SELECT 'price', price FROM raw)
+        SELECT column_name, COUNT(*) FILTER (WHERE x <> floor(x) OR abs(x) >= 9223372036854775808.0) AS misfits
+        FROM read GROUP BY column_name""",
     "typ_date_coerce": """
         WITH raw AS (
           SELECT o_orderkey,

@@ -34,8 +34,10 @@ from dockside.operators.upsert import upsert
 from dockside.plans import breakout as br
 from dockside.plans import po_inbound as inb
 from dockside.plans.datasets import KEY, DatasetSpec, extract, inbound_spec
+from dockside.plans.misfits import violations
 from dockside.plans.refresh import coerced, load_batch
 from dockside.rules import MISSING_TYPE
+from dockside.schemas import table_schema
 from dockside.session import scratch_path, tune
 from dockside.sinks.tables import append_batch, create_tables, ledger, publish, read_final, read_staging, trim_staging
 from dockside.sources.inputs import SourceTables, TableRef, open_sources, run_sql
@@ -286,6 +288,33 @@ def typ_int_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("l_orderkey", "l_linenumber", to_integer(raw, label="quantity").alias("quantity"))
 
 
+MEASURES = DatasetSpec(
+    name="measures",
+    staging_table="measures_staging",
+    final_table="measures_final",
+    schema=table_schema("quantity bigint, price bigint, l_orderkey bigint"),
+    date_column="",
+)
+
+
+def typ_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers per column that would not survive as integers."""
+    lines = table(tune(spark), sf_dir, "lineitem")
+    whole = F.col("l_quantity").cast("bigint").cast("string")
+    kind = F.col("l_orderkey") % 7
+    quantity = (
+        F.when(kind == 0, None)
+        .when(kind == 1, "")
+        .when(kind == 2, "abc")
+        .when(kind == 3, "1e3")
+        .when(kind == 4, F.concat(whole, F.lit(".5")))
+        .when(kind == 5, "1e30")
+        .otherwise(whole)
+    )
+    price = F.when(kind > 1, F.col("l_extendedprice").cast("double"))
+    return violations(lines.select("l_orderkey", quantity.alias("quantity"), price.alias("price")), MEASURES)
+
+
 def typ_date_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(tune(spark), sf_dir, "orders")
     day = F.col("o_orderdate").cast("date")
@@ -459,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "fn_date_arith": over_staging(fn_date_arith),
     "fn_record_key_null_safe": over_sources(fn_record_key_null_safe),
     "typ_int_coerce": typ_int_coerce,
+    "typ_violations": typ_violations,
     "typ_date_coerce": typ_date_coerce,
     "typ_string_coerce": over_sources(typ_string_coerce),
     "mrg_upsert": over_staging(mrg_upsert),

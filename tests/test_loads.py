@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 from datetime import date, datetime, timedelta, timezone
 from random import Random
@@ -16,6 +17,7 @@ from dockside.operators.latest import latest_per_key
 from dockside.operators.retention import delete_out_of_window, delete_stale
 from dockside.operators.upsert import upsert
 from dockside.plans.datasets import DatasetSpec, breakout_spec, default_datasets, extract, inbound_spec
+from dockside.plans.misfits import MisfitError, rejected_name
 from dockside.plans.refresh import load_batch, next_final, prepared
 from dockside.plans.runs import create_all, run
 from dockside.schemas import BREAKOUT_SCHEMA, INBOUND_SCHEMA, table_schema
@@ -189,6 +191,33 @@ def test_a_fraction_fails_the_load(spark, database):
     assert final_rows(spark, database) == [("a", 1)] and staged_count(spark, database) == 1
 
 
+def test_misfits_are_counted_and_their_rows_kept(spark, database):
+    spec = replace(SPEC, schema=table_schema("record_key string, d date, n bigint, m bigint, load_timestamp timestamp"))
+    load(spark, database, batch(spark, ("a", 0, 1)), spec=spec)
+    raw = spark.createDataFrame(
+        [("b", "1", 2.0), ("c", "1.5", 2.5), ("d", "x", float("inf")), ("e", None, None), ("f", "1e30", 3.0)],
+        "record_key string, n string, m double",
+    ).withColumn("d", F.lit(TODAY))
+    for _ in range(2):  # the same batch again replaces its rejected rows
+        notes = {}
+        with pytest.raises(MisfitError) as refused:
+            load(spark, database, raw, 1, spec, notes=notes)
+        assert refused.value.counts == notes["violations"] == {"m": 2, "n": 2}
+        kept = spark.table(rejected_name(database, spec)).collect()
+        found = {json.loads(r["raw"])["record_key"]: sorted(r["columns"]) for r in kept}
+        assert len(kept) == 3 and found == {"c": ["m", "n"], "d": ["m"], "f": ["n"]}
+    assert final_rows(spark, database, spec) == [("a", 1)] and staged_count(spark, database, spec) == 1
+    load(spark, database, raw.where("record_key IN ('b', 'e')"), 1, spec)
+    assert final_rows(spark, database, spec) == [("b", 1), ("e", 0)]
+    assert load(spark, database, raw.limit(0), 2, spec) == 0
+
+
+def test_a_run_reports_misfits(spark, database):
+    broken = lambda spark, day: batch(spark, ("a", 0, 1)).withColumn("n", F.lit(0.5))
+    report = run(spark, database, None, TODAY, datasets={"small": replace(SPEC, sample=broken)}, samples=True)
+    assert report["status"] == "error" and report["results"]["small"]["violations"] == {"n": 1}
+
+
 def test_raw_text_is_typed_and_keyed(spark, database):
     spec = inbound_spec()
     raw = spark.createDataFrame(
