@@ -1,18 +1,30 @@
-"""SentencePiece encoding and decoding by a weighted finite-state transducer.
-
-Three machines are compiled from a model file: the normaliser (spaces become the
-visible blank, one is put in front), the pieces (an arc per piece, over its
-characters) and the byte fallback (an arc per character, over its UTF-8 bytes).
-They are composed with each input as it is read; the answer is the shortest path
-in the tropical semiring, where weights add along a path and the least total wins.
-
-The weights make the path the one that byte-pair merges would choose: the state
-after an arc remembers its piece, and an arc costs nothing if merging the text
-of both pieces alone would leave the two as they are, else infinitely much.  A
-text's merges are exactly the path on which every pair of neighbours is of the
-first kind.  A path over bytes costs one per byte, so it is taken where no piece
-covers a character.  Words do not interact, so the path of a word is found once
-per worker and remembered.
+"""SentencePiece encoding and decoding by weighted finite-state transducers.
+
+Three machines are compiled from a model file:
+
+* the normaliser, of one state: an arc per character, blanks become the visible
+  one, and one is written in front of a text;
+* the pieces: an arc per piece over its characters.  In a model of summed scores it
+  weighs the negated score.  In a model of pair merges the state after an arc
+  remembers its piece, and an arc weighs nothing if merging the text of the last
+  piece and its own alone leaves both as they are, else infinitely much;
+* the byte fallback: an arc per character without a piece, over its UTF-8 bytes.
+  It weighs one per byte, or in a model of summed scores what an unknown piece does.
+
+They are composed with each input as it is read, and the answer is the shortest
+path in the tropical semiring: weights add along a path, the least total wins.
+Arcs are weighed only when the search comes to them.
+
+Merging a text never crosses the ends of the pieces it leaves, so it leaves any two
+neighbours of them apart also when they are merged alone; and the first merge that
+crossed an end would show in the two pieces at that end.  So the merges of a text
+are the one path of finite weight, and for each place in the text there is one state
+of finite weight.  No path crosses a place that no piece spans, so texts are
+cut there and the path of each word is found once per worker and remembered.
+
+Refused are models with a character map, with blanks removed, with user-defined or
+unused pieces, or with scores above zero where they are summed.  Sums are kept in double
+precision; the library's single precision may settle near ties in very long words otherwise.
 """
 
 from __future__ import annotations
@@ -22,6 +34,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -34,10 +47,16 @@ BLANK = "▁"
 
 # Fixed values of the model file's format: kinds of pieces, and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-PAIR_MERGES = 2
+SUMMED_SCORES, PAIR_MERGES = 1, 2
 
-#: In a path, a character without a piece; and the end of the shorter pieces.
-BARE, NO_MORE = -1, -2
+#: How far the score of an unknown piece is below the least one; fixed value.
+UNKNOWN_BELOW = 10.0
+
+#: In a path, a character without a piece.
+BARE = -1
+
+#: Characters read, weight, and the piece written.
+Arc = tuple[int, float, int]
 
 #: Words and pairs remembered per worker; a full memory of pairs starts anew.
 KEPT_WORDS = 400_000
@@ -92,8 +111,9 @@ class Transducer:
             message = list(fields(file.read()))
         trainer = dict(fields(next(v for k, v in message if k == 2)))
         normaliser = dict(fields(next((v for k, v in message if k == 3), b"")))
-        if trainer.get(3, 1) != PAIR_MERGES or normaliser.get(2):
-            raise ValueError("only models of pair merges without a character map are compiled")
+        self.merges = trainer.get(3, SUMMED_SCORES) == PAIR_MERGES
+        if trainer.get(3, SUMMED_SCORES) not in (SUMMED_SCORES, PAIR_MERGES) or normaliser.get(2):
+            raise ValueError("only models of pair merges or summed scores without a character map are compiled")
         if normaliser.get(4, 1) or not normaliser.get(5, 1):
             raise ValueError("only normalisers that keep all blanks and show them are compiled")
         self.dummy_prefix = bool(normaliser.get(3, 1))
@@ -118,17 +138,20 @@ class Transducer:
         for byte, number in self.bytes.items():
             self.raw[number] = bytes([byte])
         self.unknown = self.kinds.index(UNKNOWN)
-        #: The longest piece that each beginning of a piece holds in front.
-        self.beginnings: dict[str, int] = {}
+        if self.merges and not set("".join(self.number)) <= set(self.number):
+            raise ValueError("only merges in which every character of a piece is a piece are compiled")
+        if not self.merges and max(self.score.values()) > 0:
+            raise ValueError("only scores up to 0 are summed")
+        self.unknown_weight = UNKNOWN_BELOW - min(self.score.values())
+        self.lengths = [*map(len, self.texts), 1]
+        #: The arcs along each beginning of a piece: length, weight and number, long ones first.
+        self.arcs: dict[str, tuple[Arc, ...]] = {}
         for text in sorted(self.number, key=len):
             for end in range(1, len(text) + 1):
                 front = text[:end]
-                self.beginnings[front] = self.number.get(front, self.beginnings.get(front[:-1], BARE))
-        #: The next shorter piece in front of each piece, and its length; the last entries are those of ``BARE``.
-        self.lengths = [*map(len, self.texts), 1]
-        self.shorter = [self.beginnings.get(text[:-1], NO_MORE) for text in self.texts] + [NO_MORE]
-        if not set("".join(self.number)) <= set(self.number):
-            raise ValueError("only models in which every character of a piece is a piece are compiled")
+                if front not in self.arcs:
+                    less = self.arcs[front[:-1]] if end > 1 else ()
+                    self.arcs[front] = (self.arc(front), *less) if front in self.number else less or (self.bare(front),)
         #: Where no piece spans a cut, no merge does; letters may be cut from the rest in most models.
         odd = re.escape("".join(c for c in self.number if re.fullmatch("[^\\W\\d_]", c) and not c.isalpha()))
         letter, other = f"[^\\W\\d_{odd}]", f"(?:(?!{BLANK})[\\W\\d_{odd}])"
@@ -140,6 +163,14 @@ class Transducer:
     def normalised(self, text: str) -> str:
         return ((" " if self.dummy_prefix and text else "") + text).replace(" ", BLANK)
 
+    def arc(self, piece: str) -> Arc:
+        """The arc of a piece, apart from what its neighbour adds."""
+        return len(piece), 0.0 if self.merges else -self.score[piece], self.number[piece]
+
+    def bare(self, char: str) -> Arc:
+        """The fallback's arc over a character."""
+        return 1, float(len(char.encode("utf-8", "replace"))) if self.merges else self.unknown_weight, BARE
+
     def merged(self, text: str) -> list[str]:
         """The pieces that merges leave of a short text, best score first, then leftmost."""
         parts, score = list(text), self.score.get
@@ -153,12 +184,12 @@ class Transducer:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def neighbours(self, left: int, right: int) -> bool:
-        """Whether merging leaves the two pieces apart; that arc is free, any other infinite."""
+    def apart(self, left: int, right: int) -> bool:
+        """Whether merging leaves the two pieces (the second alone, after ``BARE``) as they are."""
         if len(self.pairs) >= KEPT_PAIRS:
             self.pairs.clear()
-        two = [self.texts[left], self.texts[right]]
-        found = self.pairs[left << 32 | right] = self.merged("".join(two)) == two
+        pieces = [self.texts[number] for number in (left, right) if number != BARE]
+        found = self.pairs[left << 32 | right] = self.merged("".join(pieces)) == pieces
         return found
 
     def fallback(self, char: str) -> list[int]:
@@ -167,62 +198,57 @@ class Transducer:
             return [self.unknown]
         return [self.bytes[b] for b in char.encode("utf-8", "replace")]
 
-    def longest(self, word: str, at: int) -> int:
-        """The longest piece that starts there, or ``BARE``."""
-        beginnings, size = self.beginnings, len(word)
-        number, end = BARE, at + 1
-        while end <= size:
-            longer = beginnings.get(word[at:end])
-            if longer is None:
-                break
-            number, end = longer, end + 1
-        return number
-
     def shortest(self, word: str) -> list[int]:
-        """Composition with one word, depth first over the free arcs, long ones first.
+        """Ids along the path of least weight through the composition with one word.
 
-        States are places, each with the piece that ends there; a character without
-        one joins nothing.  The pieces that merging leaves of a beginning are the
-        only free path to its end, so a place that was left once is not tried again.
+        The arc of least total is settled place by place; of equal totals the farther
+        place comes first, then the arc from the earlier place.
         """
-        shorter, lengths, pairs, size = self.shorter, self.lengths, self.pairs, len(word)
-        path: list[int] = []
-        tried = bytearray(size + 1)
-        at, before, number = 0, BARE, self.longest(word, 0)
+        arcs, pairs, merges, size = self.arcs, self.pairs, self.merges, len(word)
+        into: list[int | None] = [None] * (size + 1)
+        agenda: list[tuple[float, int, int, int]] = []
+        total, end, number = 0.0, 0, BARE
         while True:
-            while number != NO_MORE:
-                end = at + lengths[number]
-                if not tried[end]:
-                    if number == BARE or before == BARE:
+            into[end] = number
+            if end == size:
+                break
+            along, stop = None, end + 1
+            while stop <= size and (longer := arcs.get(word[end:stop])) is not None:
+                along, stop = longer, stop + 1
+            for length, weight, number in along or (self.bare(word[end]),):
+                heappush(agenda, (total + weight, -end - length, end, number))
+            while True:
+                total, end, start, number = heappop(agenda)
+                if into[-end] is None:
+                    if number == BARE or not merges:
                         break
-                    free = pairs.get(before << 32 | number)
-                    if self.neighbours(before, number) if free is None else free:
+                    finite = pairs.get(into[start] << 32 | number)
+                    if self.apart(into[start], number) if finite is None else finite:
                         break
-                number = shorter[number]
-            if number != NO_MORE:
-                path.append(number)
-                if end == size:
-                    break
-                tried[end] = 1
-                at, before, number = end, number, self.longest(word, end)
-            elif path:
-                number = path.pop()
-                at -= lengths[number]
-                before, number = path[-1] if path else BARE, shorter[number]
-            else:
-                path = [self.number.get(piece, BARE) for piece in self.merged(word)]
-                break
+            end = -end
+        path: list[int] = []
+        at = size
+        while at:
+            number = into[at]
+            path.append(number)
+            at -= self.lengths[number]
+        path.reverse()
         if min(path) != BARE:
             return path
-        out, at = [], 0
+        out = []
         for number in path:
             out += [number] if number != BARE else self.fallback(word[at])
-            at += lengths[number]
+            at += self.lengths[number]
         return out
 
     def encode(self, text: str) -> np.ndarray:
         parts = self.words.findall(self.normalised(text))
-        return np.frombuffer(b"".join(map(self.paths.__getitem__, parts)), dtype="<u4")
+        ids = np.frombuffer(b"".join(map(self.paths.__getitem__, parts)), dtype="<u4")
+        if len(self.bytes) == 256 or len(ids) < 2:
+            return ids
+        # Without bytes, a run of unknown characters is one unknown piece.
+        again = np.concatenate([[False], (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)])
+        return ids[~again]
 
     def decode(self, ids: np.ndarray) -> str:
         """The machines run backwards: pieces and bytes to text, without the blank in front."""
