@@ -18,6 +18,8 @@ from dockside.operators.retention import delete_out_of_window
 from dockside.operators.upsert import upsert_newest
 from dockside.plans.datasets import KEY, STAMP, DatasetSpec, with_key
 from dockside.plans.misfits import MisfitError, counted, keep_rejected
+from dockside.sinks.changes import counted_changes
+from dockside.sinks.states import current_state
 from dockside.sinks.tables import (
     LOAD_DAY,
     append_batch,
@@ -107,9 +109,10 @@ def load_batch(
 ) -> int:
     """Append a batch and bring the final table up to date; returns rows loaded.
 
-    The new state is live before staging is trimmed; with ``notes``, a failure of
-    the trim is noted there under "cleanup" and the load stands; otherwise the
-    number of staged rows that went is.
+    The new state is live before its changes are counted and staging is trimmed.
+    With ``notes`` these hold the rows of the final table by what became of them
+    ("final_rows", where the old state is kept) and the number of staged rows that
+    went; a failure of either step is noted instead and the load stands.
 
     A batch with numbers that no BIGINT holds is refused as a whole: it is written but
     never noted in the ledger, its misfits are counted on the way, and their rows
@@ -133,7 +136,15 @@ def load_batch(
     if loaded and use_merge:
         staging = read_staging(spark, database, spec, with_load_day=True)
         newest = lambda: newest_staged(spark, database, spec, as_of)
+        before = current_state(spark, database, spec)
         publish(spark, database, spec, next_final(read_final(spark, database, spec), staging, spec, as_of, newest))
+        if notes is not None and spec.keep_states > 1:
+            try:
+                after = current_state(spark, database, spec)
+                notes["final_rows"] = counted_changes(spark, database, spec, before, after, as_of)
+            except Exception as problem:
+                log.exception("changes of %s were not counted", spec.name)
+                notes["final_rows"] = f"failed: {problem}"
         if spec.cleanup_staging:
             try:
                 deleted = trim_staging(spark, database, spec, as_of)

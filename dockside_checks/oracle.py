@@ -153,6 +153,26 @@ def over_lifecycle(select: str, text_keys: bool = False) -> str:
     return f"WITH {views},\n{LIFECYCLE.strip()}\n{select}"
 
 
+FRESH = "NOT COALESCE(load_date < (SELECT load_date FROM last_batch), FALSE)"
+
+
+def changes_into(state: str) -> str:
+    """Rows of the seed and of a later state by what became of them."""
+    return over_lifecycle(
+        f"""SELECT c.change, COUNT(f.change) AS rows
+FROM (VALUES ('unchanged'), ('replaced'), ('added'), ('out_of_window'), ('stale')) c(change)
+LEFT JOIN (
+  SELECT CASE WHEN s.record_key IS NULL THEN 'added'
+              WHEN n.record_key IS NULL AND s.kept THEN 'stale'
+              WHEN n.record_key IS NULL THEN 'out_of_window'
+              WHEN s.load_date = n.load_date THEN 'unchanged' ELSE 'replaced' END AS change
+  FROM (SELECT record_key, load_date, {KEPT} AS kept FROM seed) s
+  FULL JOIN ({state}) n ON n.record_key = s.record_key) f ON f.change = c.change
+GROUP BY c.change""",
+        text_keys=True,
+    )
+
+
 MANAGED = ("child_sum", "allocation", "managed")
 INBOUND = ("receipt", "line", "invoice", "shipment", *MANAGED, "inbound")
 BREAKOUT = ("parent", "parent_store", "parent_sum", "any_child", "child", "breakout")
@@ -322,11 +342,12 @@ ORACLE: dict[str, str] = {
     "breakout_pivot": over_views("SELECT * FROM breakout", *BREAKOUT),
     "sort_breakout_output": over_views("SELECT * FROM breakout", *BREAKOUT),
     "load_lifecycle": over_lifecycle(
-        f"SELECT {COLUMNS} FROM merged WHERE {KEPT} "
-        "AND NOT COALESCE(load_date < (SELECT load_date FROM last_batch), FALSE)",
+        f"SELECT {COLUMNS} FROM merged WHERE {KEPT} AND {FRESH}",
         text_keys=True,
     ),
     "load_backfill": over_lifecycle(f"SELECT {COLUMNS} FROM merged WHERE {KEPT}", text_keys=True),
+    "pipe_load_changes": changes_into(f"SELECT {COLUMNS} FROM merged WHERE {KEPT} AND {FRESH}"),
+    "pipe_backfill_changes": changes_into(f"SELECT {COLUMNS} FROM merged WHERE {KEPT}"),
     "str_incremental_upsert": over_lifecycle(f"SELECT {COLUMNS} FROM merged WHERE {KEPT}", text_keys=True),
     "str_upsert_bucketed": over_lifecycle(f"SELECT {COLUMNS} FROM merged WHERE {KEPT}", text_keys=True),
 }

@@ -39,6 +39,8 @@ from dockside.plans.refresh import coerced, load_batch
 from dockside.rules import MISSING_TYPE
 from dockside.schemas import table_schema
 from dockside.session import scratch_path, tune
+from dockside.sinks.changes import state_changes
+from dockside.sinks.states import current_state
 from dockside.sinks.tables import append_batch, create_tables, ledger, publish, read_final, read_staging, trim_staging
 from dockside.sources.inputs import SourceTables, TableRef, open_sources, run_sql
 from dockside.sources.naming import plain_names
@@ -421,6 +423,23 @@ def load_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_lifecycle(spark, sf_dir, replace(EVENTS, cleanup_stale=False))
 
 
+def pipe_load_changes(spark: SparkSession, sf_dir: str, spec: DatasetSpec = EVENTS) -> DataFrame:
+    """What the load of the last day's batch does to the rows of the final table."""
+    rows = coerced(staging(tune(spark), sf_dir), spec)
+    database = seeded_tables(spark, "changes", rows)
+    earlier = F.col("load_date") < F.lit(EVENTS_AS_OF)
+    append_batch(spark, database, spec, rows.where(earlier), "earlier")
+    before = current_state(spark, database, spec)
+    stamp = datetime(EVENTS_AS_OF.year, EVENTS_AS_OF.month, EVENTS_AS_OF.day, tzinfo=timezone.utc)
+    load_batch(spark, database, spec, rows.where(~earlier).drop("load_date"), EVENTS_AS_OF, stamp)
+    return state_changes(spark, database, spec, before, current_state(spark, database, spec), EVENTS_AS_OF)
+
+
+def pipe_backfill_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without stale removal."""
+    return pipe_load_changes(spark, sf_dir, replace(EVENTS, cleanup_stale=False))
+
+
 def str_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches land in files out of order and are worked off in micro-batches."""
     return upserted(spark, sf_dir, EVENTS, 2)
@@ -500,6 +519,8 @@ QUERIES: dict[str, Query] = {
     "sort_breakout_output": over_sources(lambda src: br.breakout_sorted(src, WINDOW, RULES)),
     "load_lifecycle": load_lifecycle,
     "load_backfill": load_backfill,
+    "pipe_load_changes": pipe_load_changes,
+    "pipe_backfill_changes": pipe_backfill_changes,
     "str_incremental_upsert": str_incremental_upsert,
     "str_upsert_bucketed": str_upsert_bucketed,
 }
