@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from dockside.functions.dates import as_day, date_window
 from dockside.plans.datasets import DatasetSpec, default_datasets, extract
 from dockside.plans.refresh import load_batch
-from dockside.session import scratch_tables, tune
+from dockside.session import scratch_tables, sweep_scratch, tune
 from dockside.sinks.tables import create_tables
 from dockside.sources.inputs import SourceTables
 
@@ -67,6 +67,10 @@ def run(
         "timestamp": loaded_at.isoformat(),
         "results": {},
     }
+    try:
+        sweep_scratch(spark)
+    except Exception:
+        log.exception("old scratch tables were not dropped")
     for name in chosen:
         spec = specs[name]
         notes: dict[str, Any] = {}

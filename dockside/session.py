@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
+from datetime import timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,6 +81,9 @@ _OPEN_SCRATCH: ContextVar[list[str] | None] = ContextVar("open_scratch", default
 
 SCRATCH_DATABASE = "dockside_scratch"
 
+#: No job and no reader of a result needs its scratch tables for longer.
+SCRATCH_AGE = timedelta(days=7)
+
 
 @contextmanager
 def scratch_tables(spark: SparkSession):
@@ -98,12 +103,12 @@ def written(rows: DataFrame, label: str) -> DataFrame:
 
     Reads of it survive the loss of any executor, and its files tell Spark its
     true size.  Outside a ``scratch_tables`` block the table stays, since the
-    result built on it is still to be read.
+    result built on it is still to be read; ``sweep_scratch`` drops it once it is old.
     """
     spark = rows.sparkSession
     if not spark.catalog.databaseExists(SCRATCH_DATABASE):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DATABASE} LOCATION '{scratch_path(spark, 'dockside')}'")
-    name = f"{SCRATCH_DATABASE}.{label}_{uuid.uuid4().hex}"
+    name = f"{SCRATCH_DATABASE}.{label}_{time.time_ns():020d}_{uuid.uuid4().hex}"
     made = _OPEN_SCRATCH.get()
     if made is not None:
         made.append(name)
@@ -111,6 +116,19 @@ def written(rows: DataFrame, label: str) -> DataFrame:
     return spark.table(name)
 
 
+def sweep_scratch(spark: SparkSession, older_than: timedelta = SCRATCH_AGE) -> int:
+    """Drop scratch tables made longer ago than that, whose owner died or never closed them; returns how many."""
+    if not spark.catalog.databaseExists(SCRATCH_DATABASE):
+        return 0
+    latest = time.time_ns() - older_than // timedelta(microseconds=1) * 1000
+    names = [row["tableName"] for row in spark.sql(f"SHOW TABLES IN {SCRATCH_DATABASE}").collect() if not row["isTemporary"]]
+    made = {name: name.rsplit("_", 2)[-2] for name in names if name.count("_") >= 2}
+    old = [name for name, at in made.items() if at.isdigit() and int(at) < latest]
+    for name in old:
+        spark.sql(f"DROP TABLE IF EXISTS {SCRATCH_DATABASE}.{name}")
+    return len(old)
+
+
 def side_by_side(*jobs: Callable[[], Any]) -> list[Any]:
     """Results of jobs that do not wait for each other, submitted together."""
     with ThreadPoolExecutor(len(jobs)) as pool:

@@ -8,7 +8,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from dockside.session import local_session, scratch_path  # noqa: E402
+from dockside.session import local_session, scratch_path, scratch_tables  # noqa: E402
 from dockside.sources.inputs import SourceTables  # noqa: E402
 
 
@@ -19,6 +19,16 @@ def spark():
     return session
 
 
+@pytest.fixture(autouse=True)
+def closed_scratch(request):
+    """Scratch tables of a test go with it."""
+    if "spark" not in request.fixturenames:
+        yield
+        return
+    with scratch_tables(request.getfixturevalue("spark")):
+        yield
+
+
 @pytest.fixture
 def database(spark):
     """Name of a database of its own, with a folder of its own."""
