@@ -124,6 +124,51 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE = {
+    "op10_quality_rules": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, COALESCE(text, '') AS text, COALESCE(CAST(source AS VARCHAR), '') AS host
+            FROM documents
+        ), cut AS (
+            SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+                   list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM docs
+        ), word AS (
+            SELECT r, unnest(words) AS w, unnest(range(len(words))) AS i FROM cut
+        ), three AS (
+            SELECT r, i, w, lead(w) OVER following AS x, lead(w, 2) OVER following AS y
+            FROM word WINDOW following AS (PARTITION BY r ORDER BY i)
+        ), again AS (
+            SELECT r, i FROM three WHERE y IS NOT NULL QUALIFY count(*) OVER (PARTITION BY r, w, x, y) > 1
+        ), repeated AS (
+            SELECT r, SUM(gap) AS n
+            FROM (SELECT r, LEAST(3, COALESCE(lead(i) OVER (PARTITION BY r ORDER BY i) - i, 3)) AS gap FROM again)
+            GROUP BY r
+        ), line AS (
+            SELECT r, host, text, len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS n,
+                   trim(regexp_replace(translate(lower(raw), '123456789' || chr(9) || chr(11) || chr(12) || chr(13),
+                                                 '000000000    '), '  +', ' ', 'g'), ' ') AS plain
+            FROM (SELECT r, host, text, unnest(lines) AS raw FROM cut)
+        ), hosts AS (
+            SELECT host, COUNT(DISTINCT text) AS documents FROM docs GROUP BY host
+        ), frequent AS (
+            SELECT l.host, l.plain FROM line l JOIN hosts h ON h.host = l.host
+            GROUP BY l.host, l.plain, h.documents
+            HAVING COUNT(DISTINCT l.text) > GREATEST(20, h.documents * 0.005)
+        ), removed AS (
+            SELECT r, SUM(n) AS n FROM line SEMI JOIN frequent USING (host, plain) GROUP BY r
+        ), base AS (
+            SELECT c.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+                   CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+                   CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                   CAST(COALESCE(p.n, 0) AS BIGINT) AS n_repeat_words, CAST(COALESCE(g.n, 0) AS BIGINT) AS words_removed
+            FROM cut c LEFT JOIN repeated p ON p.r = c.r LEFT JOIN removed g ON g.r = c.r
+        )
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+               AND n_words - words_removed >= 0.5 * n_words AS kept
+        FROM base
+    """,
     "op8_exact_top_k": """
         WITH whole AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
