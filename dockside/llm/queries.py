@@ -124,6 +124,36 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE = {
+    "op5_minhash_near_dedup": r"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), each AS (
+            SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(w) = 0 THEN []
+                WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS shingle
+            FROM docs
+        ), sizes AS (
+            SELECT doc_id, COUNT(*) AS n FROM each GROUP BY doc_id
+        ), shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS n
+            FROM each x JOIN each y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
+        ), links AS (
+            SELECT a, b FROM shared s JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * s.n >= 80 * (p.n + q.n - s.n)
+        ), reached(a, b) AS (
+            SELECT a, b FROM links
+            UNION
+            SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+        ), least AS (
+            SELECT a AS doc_id, MIN(b) AS b FROM reached GROUP BY a
+        )
+        SELECT doc_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_shingles,
+               CAST(LEAST(doc_id, COALESCE(b, doc_id)) AS BIGINT) AS component_id, doc_id <= COALESCE(b, doc_id) AS kept
+        FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+    """,
     "op10_quality_rules": r"""
         WITH docs AS (
             SELECT row_number() OVER () AS r, doc_id, COALESCE(text, '') AS text, COALESCE(CAST(source AS VARCHAR), '') AS host
