@@ -176,7 +176,11 @@ def cleaned_text(removed: Column) -> Column:
 
 
 def kept_documents(documents: DataFrame, host: str = "source", limits: LineLimits = LineLimits()) -> DataFrame:
-    """The documents that pass, in their own columns, without their frequent lines."""
+    """The documents that pass, in their own columns, without their frequent lines.
+
+    Missing and empty texts fail; very long ones are judged whole; rows that repeat
+    are judged alike; a line exactly at a limit stays; an empty table gives no rows.
+    """
     rows = line_rules(documents, host, limits).where(F.col(f"{RULES}.kept"))
     text = cleaned_text(F.coalesce(F.col(f"{RULES}.removed"), F.array().cast("array<bigint>")))
     changed = {"text": text}

@@ -33,6 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in its place in a sequence of at most 2048 tokens; a missing text is empty."""
     return packing.pack_documents(read_table(tune(spark), sf_dir, "documents"), BYTE_VOCABULARY)
 
 
@@ -41,21 +42,25 @@ def predicted(scores: DataFrame, limit: float) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and verdict of every document, learnt from labels outside the held-out fold; a missing text is empty."""
     tune(spark)
     return predicted(toxicity.scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")), 0.7)
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, as counts and spans; a missing text holds none."""
     return secrets_scan.scanned(read_table(tune(spark), sf_dir, "documents"))
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from labels outside the held-out fold; a missing text is empty."""
     tune(spark)
     scores = quality_model.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return predicted(scores, 0.3)
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of near copies of every document; texts without words are linked with nothing."""
     documents = read_table(tune(spark), sf_dir, "documents")
     groups = near_copies.near_copy_groups(documents, near_copies.Likeness(words=4))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
@@ -63,27 +68,32 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by the word vocabulary, from a cache that starts empty; a missing text has none."""
     documents = read_table(tune(spark), sf_dir, "documents")
     found = counts.token_counts(documents, WORD_VOCABULARY, scratch_path(spark, "token-cache"))
     return found.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, and the text that they decode to; a missing text is empty."""
     return piece_transducer.round_trips(read_table(tune(spark), sf_dir, "documents"), PIECE_MODEL)
 
 
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all vectors for every hundredth vector; vectors that are missing or not finite take no part."""
     vectors = read_table(tune(spark), sf_dir, "embeddings")
     return topk.exact_top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
 
 
 def op9_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as read back from the token files; a missing text is its end id alone."""
     documents = read_table(tune(spark), sf_dir, "documents")
     manifest = arrow_files.write_sequences(documents, scratch_path(spark, "sequences"), WORD_VOCABULARY)
     return arrow_files.read_documents(manifest)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document; a missing text has no words and fails."""
     rows = quality_rules.line_rules(read_table(tune(spark), sf_dir, "documents"))
     shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "words_removed")
     return rows.select("doc_id", *[F.col(f"{quality_rules.RULES}.{c}").alias(c) for c in shown])

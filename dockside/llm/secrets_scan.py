@@ -272,7 +272,9 @@ def scanned(documents: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = l
 def masked(documents: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[secret]") -> DataFrame:
     """All rows and columns of ``documents``, each stretch of secrets replaced by ``mask``.
 
-    A missing text stays missing.  Overlapping spans are one stretch.
+    A missing text stays missing, an empty one empty; very long ones are masked whole.
+    Overlapping spans are one stretch.  Rows that repeat are masked alike; an empty
+    table gives no rows.
     """
 
     def hide(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
