@@ -29,6 +29,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -83,8 +84,16 @@ def labelled(documents: DataFrame, labels: DataFrame, budget: JoinBudget) -> Dat
     return rows.join(F.broadcast(side.rows) if side.small() else side.rows, "doc_id")
 
 
-def counted(rows: DataFrame) -> DataFrame:
-    """(e, word, c0, c1): documents of each class that hold the expression; its last word, which is ``e`` for a word."""
+#: Parts that the expressions are dealt into by hash, a power of two.  Each is counted in a pass of its own, so only its share is on disk.
+COUNT_PARTS = 2
+
+
+def counted(rows: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
+    """(e, word, c0, c1) of one part of the expressions, all by default.
+
+    The documents of each class that hold the expression; its last word, which is
+    ``e`` for a word.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
@@ -93,6 +102,8 @@ def counted(rows: DataFrame) -> DataFrame:
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
                 words, pairs = expressions(text, hashes)
                 both, last = np.concatenate([words, pairs[1:]]), np.concatenate([words, words[1:]])
+                own = both & np.uint64(parts - 1) == part
+                both, last = both[own], last[own]
                 e, first = np.unique(both, return_index=True)
                 found[toxic].append((e, last[first]))
             for toxic, sets in found.items():
@@ -101,20 +112,26 @@ def counted(rows: DataFrame) -> DataFrame:
                     e, first, n = np.unique(np.concatenate([x for x, _ in sets]), return_index=True, return_counts=True)
                     yield pd.DataFrame({"e": e.view(np.int64), "word": last[first].view(np.int64), "c0": n * (1 - toxic), "c1": n * toxic})
 
-    parts = rows.select("text", "toxic").mapInPandas(count, "e bigint, word bigint, c0 bigint, c1 bigint")
-    return parts.groupBy("e").agg(F.max("word").alias("word"), F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    found = rows.select("text", "toxic").mapInPandas(count, "e bigint, word bigint, c0 bigint, c1 bigint")
+    return found.groupBy("e").agg(F.max("word").alias("word"), F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
 
 
-#: A row of ``tallied`` is one expression that some class holds twice, or the sums over the pairs that end in a word, or over all words.
+#: A row of ``tallied`` is one expression that some class holds twice, or the sums over the pairs that end in a word, or over
+#: all words; sums are of one part of the expressions.
 REPEATED, ENDING, WORDS = 0, 1, 2
 
 
-def tallied(counts: DataFrame) -> DataFrame:
-    """What the model needs of the counts, in one written table of kinds.
+def tallied(*counts: DataFrame) -> DataFrame:
+    """What the model needs of the counts, given by parts, in written tables of kinds.
 
     Expressions that no class holds twice, most of all, go in as sums only, so the
-    table is far smaller than the counts; both parts come from one shuffle.
+    tables are far smaller than the counts; both kinds come from one shuffle.  Each
+    part is written, and its shuffle removed, before the next is counted.
     """
+    return reduce(DataFrame.unionByName, map(tallied_part, counts))
+
+
+def tallied_part(counts: DataFrame) -> DataFrame:
     repeated = counts.where(F.greatest("c0", "c1") > 1)
     repeated = repeated.select(F.lit(REPEATED).alias("kind"), "e", "word", "c0", "c1", *[F.lit(0).cast("bigint").alias(c) for c in ("k", "k0", "k1", "s0", "s1")])
     is_pair = F.col("e") != F.col("word")
@@ -180,7 +197,7 @@ def weighed(tallies: DataFrame, n0: int, n1: int, how: Smoothing, budget: JoinBu
     repeated = tallies.where(F.col("kind") == REPEATED)
     is_pair = F.col("e") != F.col("word")
     words = repeated.where(~is_pair).select(*columns, ((F.col("c0") + F.col("c1")) / n).alias("shared"), F.lit(freed(WORDS)).alias("backoff"))
-    ends = sized(sums.where(F.col("kind") == ENDING).select("word", F.col("k").alias("ending")), budget=budget)
+    ends = sized(sums.where(F.col("kind") == ENDING).groupBy("word").agg(F.sum("k").alias("ending")), budget=budget)
     pairs = repeated.where(is_pair).join(F.broadcast(ends.rows) if ends.small() else ends.rows, "word")
     # Of all pairs that documents hold, so many a document would end in the word.
     per_pair = (mass[ENDING]["c0"] + mass[ENDING]["c1"]) / n / mass[ENDING]["k"] if ENDING in mass else 0.0
@@ -499,7 +516,8 @@ def counts_model(rows: DataFrame, how: Smoothing, budget: JoinBudget) -> tuple[M
     if not n0 or not n1:
         return None
     seen = rows.where(~calibrates(how, F.xxhash64("doc_id", "text")))
-    return model_of(weighed(tallied(counted(seen)), n0, n1, how, budget), how), sizes
+    tallies = tallied(*[counted(seen, part, COUNT_PARTS) for part in range(COUNT_PARTS)])
+    return model_of(weighed(tallies, n0, n1, how, budget), how), sizes
 
 
 def calibrates(how: Smoothing, pick: Column) -> Column:
@@ -507,17 +525,23 @@ def calibrates(how: Smoothing, pick: Column) -> Column:
     return F.pmod(pick, F.lit(how.calibration)) == 0
 
 
-def curve_of(found: DataFrame, known: DataFrame, sizes: dict[tuple[int, bool], int], how: Smoothing, calibrate: int, budget: JoinBudget) -> np.ndarray:
-    """The logistic curve, from the totals of the calibration part.
+def drawn(doc: Column, text: Column, sizes: dict[tuple[int, bool], int], how: Smoothing, calibrate: int) -> Column:
+    """``doc`` on rows that the curve is fitted on if they are labelled, null on others.
 
-    Fitted on at most about ``calibrate`` rows, chosen by hash.
+    At most about ``calibrate`` rows of the calibration part, chosen by hash.
     """
     held = sum(n for (_, part), n in sizes.items() if part)
-    part = found.where(calibrates(how, F.col("_pick")))
+    chosen = calibrates(how, F.xxhash64(doc, text))
     if held > calibrate:
-        part = part.where(F.pmod(F.col("_draw"), F.lit(1_000_000)) < int(1_000_000 * calibrate / held))
+        chosen &= F.pmod(F.xxhash64(text, doc), F.lit(1_000_000)) < int(1_000_000 * calibrate / held)
+    return F.when(chosen, doc)
+
+
+def curve_of(found: DataFrame, known: DataFrame, sizes: dict[tuple[int, bool], int], budget: JoinBudget) -> np.ndarray:
+    """The logistic curve, from the totals of the rows that are ``drawn``."""
     side = sized(classes_of(known), budget=budget)
-    seen = part.withColumnRenamed("_doc", "doc_id").join(F.broadcast(side.rows) if side.small() else side.rows, "doc_id")
+    seen = found.select(F.col("_doc").alias("doc_id"), "total", "words").where(F.col("doc_id").isNotNull())
+    seen = seen.join(F.broadcast(side.rows) if side.small() else side.rows, "doc_id")
     seen = seen.select("total", "words", "toxic").collect()
     seen.sort()  # sums of the fit depend on the order
     y = np.array([r["toxic"] for r in seen], dtype=float)
@@ -542,10 +566,10 @@ def judged(
         return None
     model, sizes = learnt
     doc, text = F.col("doc_id").cast("bigint"), whole_text()
-    rows = documents.select(*own, doc.alias("_doc"), F.xxhash64(doc, text).alias("_pick"), F.xxhash64(text, doc).alias("_draw"), text.alias("text"))
+    rows = documents.select(*own, drawn(doc, text, sizes, how, calibrate).alias("_doc"), text.alias("text"))
     found = settled(totals(rows, model), "totals")
-    model = replace(model, curve=curve_of(found, known, sizes, how, calibrate, budget))
-    return found.withColumn("score", model.score(F.col("total"), F.col("words"))).drop("_doc", "_pick", "_draw", "total", "words")
+    model = replace(model, curve=curve_of(found, known, sizes, budget))
+    return found.withColumn("score", model.score(F.col("total"), F.col("words"))).drop("_doc", "total", "words")
 
 
 def scored(documents: DataFrame, labels: DataFrame, how: Smoothing = Smoothing()) -> DataFrame:

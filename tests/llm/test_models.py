@@ -146,3 +146,24 @@ def test_counts_ratios_and_sums_equal_plain_ones(spark):
         words, pairs = plain_expressions(dict(rows).get(r["id"], "never seen before" if r["id"] == 1000 else ""))
         assert r["words"] == len(words)
         assert abs(r["total"] - sum(map(ratio, words)) - sum(map(ratio, pairs))) <= len(words) + len(pairs)
+
+
+def test_parts_count_each_expression_once(spark, monkeypatch):
+    """The parts share no expression, each moves only its own, and the model is that of a single pass."""
+    rows, labels = insulting(20)
+    rows, toxic = rows[:200], dict(labels[:200])
+    frame = spark.createDataFrame([(t, toxic[i]) for i, t in rows], "text string, toxic int").repartition(3)
+    whole = sorted(map(tuple, toxicity.counted(frame).collect()))
+    parts = [toxicity.counted(frame, part, toxicity.COUNT_PARTS) for part in range(toxicity.COUNT_PARTS)]
+    found = [sorted(map(tuple, part.collect())) for part in parts]
+    assert sorted(sum(found, [])) == whole and max(map(len, found)) < 0.6 * len(whole)
+    how, n = toxicity.Smoothing(), [sum(t == x for t in toxic.values()) for x in (0, 1)]
+    weights = [toxicity.weighed(toxicity.tallied(*x), *n, how, toxicity.JoinBudget()) for x in ([toxicity.counted(frame)], parts)]
+    once, in_parts = [sorted(map(tuple, w.collect())) for w in weights]
+    assert in_parts == once and once
+
+    seen, settled = [], toxicity.settled
+    monkeypatch.setattr(toxicity, "settled", lambda rows, label, *more: seen.append(label) or settled(rows, label, *more))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    assert toxicity.scored(documents, spark.createDataFrame(labels, "doc_id long, toxic int")).count() == len(rows)
+    assert seen.count("expressions") == toxicity.COUNT_PARTS > 1
