@@ -5,9 +5,12 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from dockside.plans import breakout as br
 from dockside.plans import po_inbound as inb
+from dockside.rules import OrderRules
 
 ROWS = 1_000_000
+STORES = OrderRules(store_columns=tuple((store, f"s{store}") for store in range(25)))
 
 
 @pytest.fixture
@@ -40,3 +43,11 @@ def test_a_join_of_sums_is_dealt_to_small_tasks(many_partitions):
     tasks, total = tasks_and_total(found, F.col("breakoutqty") + F.col("allocated"))
     assert total == sum(i % 9 + i % 7 for i in range(ROWS))
     assert tasks >= 8
+
+
+def test_a_pivot_is_dealt_to_small_tasks(many_partitions):
+    rows = keyed(many_partitions, dateexp=F.lit("1998-01-01").cast("date"), postr=F.col("id") % 25, oounit=F.col("id") % 9)
+    found = br.store_pivot(rows, [F.col("po_man"), F.col("sku"), F.col("dateexp")], STORES)
+    tasks, total = tasks_and_total(found, sum((F.col(f"s{store}") for store in range(25)), F.lit(0)))
+    assert total == sum(i % 9 for i in range(ROWS))
+    assert tasks >= 6
